@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 def category_map(spec: Column | str) -> Column:
     """``"i:n,j:m"`` as ``map<int,int>``; entries without a colon are left out, the last one counts."""
-    entries = F.filter(F.split(spec, ","), lambda entry: entry.contains(":"))
-    pairs = F.transform(entries, lambda entry: F.struct(
-        F.split(entry, ":")[0].cast("int").alias("key"), F.split(entry, ":")[1].cast("int").alias("value")))
-    backwards = F.reverse(F.transform(pairs, lambda pair: pair["key"]))
-    last = F.filter(pairs, lambda pair, at: F.array_position(backwards, pair["key"]) == F.size(pairs) - at)
-    return F.map_from_entries(last)
+    def add(known: Column, entry: Column) -> Column:
+        index, arity = (F.split(entry, ":")[i].cast("int") for i in (0, 1))
+        others = F.map_filter(known, lambda key, _: key != index)
+        return F.when(entry.contains(":"), F.map_concat(others, F.create_map(index, arity))).otherwise(known)
+
+    return F.aggregate(F.split(spec, ","), F.create_map().cast("map<int,int>"), add)
 
 
 def parse_categories(spec: str | None) -> dict[int, int]:

@@ -31,6 +31,21 @@ def squared_distance(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return total
 
 
+# Products of up to this many factors are written out, which stays in generated code.
+WRITTEN_OUT = 120
+
+
+def dot(x: Column, weights: Sequence[float], start: float = 0.0) -> Column:
+    """``start`` plus the product of an ``array<double>`` column with fixed weights."""
+    if len(weights) <= WRITTEN_OUT:
+        total = F.lit(0.0)
+        for i, w in enumerate(weights):
+            total = total + x[i] * F.lit(float(w))
+        return total + F.lit(float(start))
+    products = F.zip_with(x, F.lit([float(w) for w in weights]), lambda a, b: a * b)
+    return F.aggregate(products, F.lit(float(start)), lambda total, p: total + p)
+
+
 def gaussian_similarity(distance_squared: Column) -> Column:
     return F.exp(-distance_squared / F.lit(2.0))
 

@@ -10,22 +10,21 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.categories import feature_width
-from gridloom.functions.columns import at_least_zero
+from gridloom.functions.columns import WRITTEN_OUT, at_least_zero, dot
 from gridloom.operators.split import mini_batch
 
 HINGE = "hinge"
 SQUARED = "squared"
 START_INTERCEPT = 1.0  # fixed value: the descent starts at weight 0 and intercept 1
 
-# Sums of up to this many (grid point, weight) pairs are plain columns of one
-# aggregate, which stays in generated code; wider problems go through numpy.
-COLUMN_LIMIT = 120
-
 
 @dataclass
 class LinearModel:
@@ -38,7 +37,7 @@ class LinearModel:
     params: dict[str, str] = field(default_factory=dict)
 
     def margin(self, features: str = "features") -> Column:
-        return _margin(vector_to_array(features), self.weights, self.intercept)
+        return dot(vector_to_array(features), self.weights, self.intercept)
 
     def transform(self, rows: DataFrame) -> DataFrame:
         scored = rows.withColumn("margin", self.margin())
@@ -57,16 +56,6 @@ class LinearModel:
         return LinearModel(row["loss"], list(row["weights"]), row["intercept"], row["iterations"])
 
 
-def _margin(x: Column, weights: Sequence[float], intercept: float) -> Column:
-    if len(weights) <= COLUMN_LIMIT:
-        total = F.lit(0.0)
-        for i, w in enumerate(weights):
-            total = total + x[i] * F.lit(float(w))
-        return total + F.lit(float(intercept))
-    products = F.zip_with(x, F.lit([float(w) for w in weights]), lambda a, b: a * b)
-    return F.aggregate(products, F.lit(float(intercept)), lambda total, p: total + p)
-
-
 @dataclass
 class _Point:
     """Descent state of one grid point; the last weight is the intercept if there is one."""
@@ -159,14 +148,44 @@ def _array_gradients(batch: DataFrame, points: Sequence[_Point], loss: str, widt
     return list(values / ordered[0]["rows"])
 
 
+# Above this many features the matrix of second moments is too large for the driver.
+MOMENT_LIMIT = 2000
+
+
+def _moments(rows: DataFrame, width: int) -> np.ndarray | None:
+    """Sums of products of (features, 1, label) over all rows, in one pass; None without rows."""
+    whole = VectorAssembler(inputCols=["features", "one", "label"], outputCol="z").transform(
+        rows.select("features", F.lit(1.0).alias("one"), "label")).select("z")
+    vectors = MLUtils.convertVectorColumnsFromML(whole, "z")
+    sums = RowMatrix(vectors, numCols=width + 2).computeGramianMatrix().toArray()
+    return sums if sums[width, width] else None
+
+
+def _descend_by_moments(rows: DataFrame, points: Sequence[_Point], width: int, size: int,
+                        iterations: int, reg_type: str, tol: float) -> None:
+    """Least squares: the gradient is linear in the weights, so one pass serves every iteration."""
+    sums = _moments(rows, width)
+    if sums is None:
+        return
+    count = sums[width, width]
+    squares, products = sums[:size, :size] / count, sums[:size, width + 1] / count
+    for point in points:
+        for iteration in range(1, iterations + 1):
+            if point.done:
+                break
+            point.update(squares @ point.weights - products, iteration, reg_type, tol)
+
+
 def descend(rows: DataFrame, loss: str, grid: Sequence[tuple[float, float]], iterations: int = 100,
             reg_type: str = "l2", intercept: bool = True, tol: float = 0.001,
             fraction: float = 1.0) -> list[LinearModel]:
     """Gradient descent for every ``(step, regularisation)`` point of the grid at once.
 
-    Each iteration is one aggregate over the stored rows that serves all points
-    still moving, so a grid costs as many passes as its slowest point. Only the
-    weights come to the driver.
+    Least squares on all rows takes a single pass. Otherwise each iteration is one
+    aggregate over the stored rows that serves all points still moving, so a grid
+    costs as many passes as its slowest point. Only sums and weights come to the
+    driver. Up to ``WRITTEN_OUT`` sums are plain columns of
+    the aggregate; wider problems go through one matrix product per Arrow batch.
     """
     width = feature_width(rows)
     size = width + int(intercept)
@@ -174,8 +193,17 @@ def descend(rows: DataFrame, loss: str, grid: Sequence[tuple[float, float]], ite
     if intercept:
         start[width] = START_INTERCEPT
     points = [_Point(float(s), float(r), start.copy()) for s, r in grid]
-    by_columns = size <= COLUMN_LIMIT
+    if loss == SQUARED and fraction >= 1.0 and width <= MOMENT_LIMIT:
+        _descend_by_moments(rows, points, width, size, iterations, reg_type.lower(), tol)
+    else:
+        _descend_by_passes(rows, points, loss, width, size, iterations, reg_type.lower(), tol, fraction)
+    return [LinearModel(loss, [float(w) for w in p.weights[:width]],
+                        float(p.weights[width]) if intercept else 0.0, p.updates) for p in points]
+
 
+def _descend_by_passes(rows: DataFrame, points: Sequence[_Point], loss: str, width: int, size: int,
+                       iterations: int, reg_type: str, tol: float, fraction: float) -> None:
+    by_columns, intercept = size <= WRITTEN_OUT, size > width
     x = vector_to_array("features")
     if by_columns:
         stored = rows.select("label", x.alias("x")).select(
@@ -183,7 +211,7 @@ def descend(rows: DataFrame, loss: str, grid: Sequence[tuple[float, float]], ite
     else:
         stored = rows.select("label", x.alias("x"))
     stored = stored.persist(StorageLevel.MEMORY_AND_DISK)
-    chunk = max(1, COLUMN_LIMIT // size) if by_columns else len(points)
+    chunk = max(1, WRITTEN_OUT // size) if by_columns else len(points)
     gradients = _column_gradients if by_columns else _array_gradients
     try:
         for iteration in range(1, iterations + 1):
@@ -194,11 +222,9 @@ def descend(rows: DataFrame, loss: str, grid: Sequence[tuple[float, float]], ite
             for at in range(0, len(moving), chunk):
                 part = moving[at:at + chunk]
                 for point, gradient in zip(part, gradients(batch, part, loss, width, intercept)):
-                    point.update(gradient, iteration, reg_type.lower(), tol)
+                    point.update(gradient, iteration, reg_type, tol)
     finally:
         stored.unpersist()
-    return [LinearModel(loss, [float(w) for w in p.weights[:width]],
-                        float(p.weights[width]) if intercept else 0.0, p.updates) for p in points]
 
 
 def train_svm(rows: DataFrame, step: float = 1.0, reg: float = 0.01, **options) -> LinearModel:

@@ -12,6 +12,8 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.columns import dot
+
 
 def fit_components(rows: DataFrame, n: int) -> PCAModel:
     return PCA(k=n, inputCol="features", outputCol="projected").fit(rows)
@@ -49,7 +51,6 @@ def singular_values(rows: DataFrame, n: int) -> SingularValues:
     v = found.V.toArray()
     kept = int((values > 1e-7 * values[0]).sum()) if len(values) else 0
     x = vector_to_array("features")
-    columns = [F.aggregate(F.zip_with(x, F.lit((v[:, j] / values[j]).tolist()), lambda a, b: a * b),
-                           F.lit(0.0), lambda total, term: total + term) for j in range(kept)]
+    columns = [dot(x, (v[:, j] / values[j]).tolist()) for j in range(kept)]
     u = rows.withColumn("u", array_to_vector(F.array(*columns))).drop("features")
     return SingularValues(values[:kept].tolist(), v[:, :kept], u)

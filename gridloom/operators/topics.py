@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.session import ensure_checkpoint_dir
 
@@ -21,5 +21,5 @@ def topic_terms(model: LDAModel) -> DataFrame:
     matrix = model.topicsMatrix().toArray()
     rows = [(topic, term, float(matrix[term, topic]))
             for topic in range(matrix.shape[1]) for term in range(matrix.shape[0])]
-    return model.describeTopics(1).sparkSession.createDataFrame(
+    return SparkSession.getActiveSession().createDataFrame(
         rows, "topic int, term int, weight double")

@@ -37,6 +37,7 @@ class Algorithm:
     larger_is_better: bool
     shown: tuple[tuple[str, str], ...]
     fit_grid: Callable[[DataFrame, Sequence[Params]], list[Any]]
+    reads_once: bool = False  # one pass or an own stored copy serves the whole grid
 
 
 def _each(fit: Callable[[DataFrame, Params], Any]) -> Callable[[DataFrame, Sequence[Params]], list[Any]]:
@@ -95,7 +96,7 @@ _BOOST_SHOWN = (_CATEGORIES, ("iterations", "numiterations"), ("learningRate", "
 ALGORITHMS: dict[int, Algorithm] = {
     1: Algorithm(
         "SVM", LABELLED, {**_DESCENT, "regparam": "0.01", "regtype": "l2"}, ("step", "regparam"),
-        "F_measure", True, _DESCENT_SHOWN, _descent(linear.HINGE)),
+        "F_measure", True, _DESCENT_SHOWN, _descent(linear.HINGE), True),
     2: Algorithm(
         "logistic_regression", LABELLED,
         {**_SUPERVISED, "numclasses": "2", "iterations": "100", "regparam": "0.0", "regtype": "l2",
@@ -107,7 +108,7 @@ ALGORITHMS: dict[int, Algorithm] = {
     3: Algorithm(
         "NativeBayes", LABELLED, {**_SUPERVISED, "lambda": "1.0", "modeltype": "multinomial"}, (),
         "F_measure", True, (("lambda", "lambda"), ("modelType", "modeltype")),
-        _each(lambda rows, p: train_bayes(rows, float(p["lambda"]), p["modeltype"]))),
+        _each(lambda rows, p: train_bayes(rows, float(p["lambda"]), p["modeltype"])), True),
     4: Algorithm(
         "decision_tree classifier", LABELLED, {**_TREE, "numclasses": "2", "impurity": "gini"},
         ("maxdepth", "maxbins"), "F_measure", True,
@@ -126,7 +127,7 @@ ALGORITHMS: dict[int, Algorithm] = {
         _each(lambda rows, p: trees.train_boosted_classifier(rows, **_boost_options(p)))),
     7: Algorithm(
         "linear_regression", LABELLED, {**_DESCENT, "regparam": "0.0", "regtype": "none"},
-        ("step", "regparam"), "MSE", False, _DESCENT_SHOWN, _descent(linear.SQUARED)),
+        ("step", "regparam"), "MSE", False, _DESCENT_SHOWN, _descent(linear.SQUARED), True),
     8: Algorithm(
         "decision_tree regressor", LABELLED, {**_TREE, "impurity": "variance"},
         ("maxdepth", "maxbins"), "MSE", False,
@@ -144,7 +145,7 @@ ALGORITHMS: dict[int, Algorithm] = {
     11: Algorithm(
         "IsotonicRegression", ISOTONIC, {**_SUPERVISED, "isotonic": "true"}, (), "MSE", False,
         (("isotonic", "isotonic"),),
-        _each(lambda rows, p: train_isotonic(rows, truth(p["isotonic"])))),
+        _each(lambda rows, p: train_isotonic(rows, truth(p["isotonic"]))), True),
     12: Algorithm(
         "AlternatingLeastSquares", RATED,
         {"rank": "10", "iterations": "20", "lambda": "0.01", "alpha": "0.01",

@@ -94,10 +94,11 @@ def _cluster_quality(model) -> tuple[str, float]:
 def train_job(spark: SparkSession, job_id: str, algorithm_id: int, params: Params,
               database: str | None = None, information: str | None = tables.TRAIN_INFORMATION,
               registry: str = tables.MODEL_PATHS, seed: int | None = None,
-              split_key: str | None = None) -> JobResult:
+              split_key: str | None = None, partitions: int | None = None) -> JobResult:
     """Train every grid point, measure it on the test rows, keep predictions and models.
 
-    ``split_key`` splits by the hash of that column instead of at random. Tables
+    ``split_key`` splits by the hash of that column instead of at random;
+    ``partitions`` spreads a source of too few splits. Tables
     are written only where the parameters name one (``saveresult``,
     ``savemodel``); ``information`` takes the messages.
     """
@@ -106,13 +107,20 @@ def train_job(spark: SparkSession, job_id: str, algorithm_id: int, params: Param
     points = grid_points(params, algorithm.grid)
     started = now_millis()
     data = _shaped(training_input(spark, params, database), algorithm, params)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    if partitions:
+        data = data.repartition(partitions)
     supervised = algorithm.shape not in (CLUSTERED, RATED)
     ratio = float(params.get("ratio", "1.0")) if supervised else 1.0
+    # Rows are stored when several passes read them, and for a random split, whose
+    # two sides must come from the same copy. A split by key needs no copy.
+    if not algorithm.reads_once or (ratio < 1.0 and not split_key):
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
     if split_key:
         train, test = split_by_key(data, ratio, split_key)
     else:
         train, test = split_at_random(data, ratio, seed)
+    if test is not None and not data.is_cached and len(points) > 1:
+        test = test.persist(StorageLevel.MEMORY_AND_DISK)
     if algorithm.shape == CLUSTERED:
         test = data
     elif algorithm.shape == RATED:
@@ -131,7 +139,9 @@ def train_job(spark: SparkSession, job_id: str, algorithm_id: int, params: Param
                 spark, model, base, job_id, algorithm.app_name, registry, database)
             result.points.append(entry)
     finally:
-        data.unpersist()
+        for stored in (data, test):
+            if stored is not None and stored.is_cached:
+                stored.unpersist()
     _report(spark, result, algorithm, information, started, database)
     return result
 

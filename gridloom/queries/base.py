@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.session import shared_dir
-from gridloom.sources.sql import register_tables, run_sql
+from gridloom.sources.sql import register_tables, run_sql, spread_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +46,11 @@ def rounded(*names: str, digits: int = 6) -> list[Column]:
     return [F.round(n, digits).alias(n) for n in names]
 
 
+def training(spark: SparkSession, text: str, table: str = "lineitem") -> DataFrame:
+    """Rows of a text over one table, for trainers that pass over them many times."""
+    return spread_out(run_sql(spark, text), table)
+
+
 def sql(spark: SparkSession, text: str) -> DataFrame:
     return run_sql(spark, text)
 

@@ -11,7 +11,7 @@ from gridloom.operators.pairs import radius_squared, similar_pairs
 from gridloom.operators.scoring import score
 from gridloom.queries.base import (
     LINE_POINTS, ORDER_FLAGS, PART_CENTRES, PART_POINTS, RATINGS, SIGNAL_POINTS, TARGET_POINTS,
-    USER_COUNTS, nearest_sql, query, rounded, scratch, spread, sql)
+    USER_COUNTS, nearest_sql, query, rounded, scratch, spread, sql, training)
 from gridloom.queries.relational import MIN_SIMILARITY, PLANE
 from gridloom.sources import files
 
@@ -60,8 +60,8 @@ def descent_sql(source: str, loss: str, step: float, reg: float, iterations: int
     return "WITH " + ", ".join(ctes) + " " + " UNION ALL ".join(parts)
 
 
-def _descent_weights(spark, text: str, loss: str, step: float, reg: float, iterations: int):
-    points = rows.labelled_points(sql(spark, text))
+def _descent_weights(spark, source, loss: str, step: float, reg: float, iterations: int):
+    points = rows.labelled_points(source)
     found = []
     for kind in ("l2", "l1", "none"):
         model = linear.descend(points, loss, [(step, reg)], iterations, kind, tol=0.0)[0]
@@ -72,12 +72,12 @@ def _descent_weights(spark, text: str, loss: str, step: float, reg: float, itera
 
 @query("m1_svm", descent_sql(SIGNAL_POINTS, linear.HINGE, 1.0, 0.01, 4))
 def m1_svm(spark):
-    return _descent_weights(spark, SIGNAL_POINTS, linear.HINGE, 1.0, 0.01, 4)
+    return _descent_weights(spark, training(spark, SIGNAL_POINTS), linear.HINGE, 1.0, 0.01, 4)
 
 
 @query("m7_linear_regression", descent_sql(TARGET_POINTS, linear.SQUARED, 0.5, 0.05, 4))
 def m7_linear_regression(spark):
-    return _descent_weights(spark, TARGET_POINTS, linear.SQUARED, 0.5, 0.05, 4)
+    return _descent_weights(spark, sql(spark, TARGET_POINTS), linear.SQUARED, 0.5, 0.05, 4)
 
 
 def _linear_scores(text: str, loss: str, step: float, reg: float, kind: str, prediction: str) -> str:
@@ -279,9 +279,9 @@ def m5_forest_default(spark):
 @query("m10_boosted_default")
 def m10_boosted_default(spark):
     """Ten boosting steps of depth 3."""
-    points = rows.labelled_points(sql(spark, TARGET_POINTS))
-    model = trees.train_boosted_regressor(points, iterations=10)
-    return metrics.mean_squared_error(score(model, points))
+    model = trees.train_boosted_regressor(
+        rows.labelled_points(training(spark, TARGET_POINTS)), iterations=10)
+    return metrics.mean_squared_error(score(model, rows.labelled_points(sql(spark, TARGET_POINTS))))
 
 
 @query("m25_tree_on_libsvm", f"""
@@ -360,8 +360,9 @@ def refine_ctes(source: str, centres: list[list[float]], iterations: int) -> tup
             f"a{i} AS MATERIALIZED (SELECT k, x0, x1, first(cluster ORDER BY d, cluster) AS cluster "
             f"FROM (SELECT k, x0, x1, cluster, (x0 - c0) * (x0 - c0) + (x1 - c1) * (x1 - c1) AS d "
             f"FROM p, c{i - 1}) AS q GROUP BY k, x0, x1)")
-        ctes.append(f"c{i} AS MATERIALIZED (SELECT cluster, avg(x0) AS c0, avg(x1) AS c1 "
-                    f"FROM a{i} GROUP BY cluster)")
+        ctes.append(f"c{i} AS MATERIALIZED (SELECT c.cluster, coalesce(avg(a.x0), any_value(c.c0)) AS c0, "
+                    f"coalesce(avg(a.x1), any_value(c.c1)) AS c1 "
+                    f"FROM c{i - 1} AS c LEFT JOIN a{i} AS a ON a.cluster = c.cluster GROUP BY c.cluster)")
     return ctes, f"c{iterations}"
 
 
@@ -372,14 +373,14 @@ REFINE_CTES, REFINED = refine_ctes(PART_POINTS, PART_CENTRES, 3)
        f" SELECT cluster, round(c0, 6) AS c0, round(c1, 6) AS c1 FROM {REFINED}", uses="part")
 def m13_kmeans_from_centres(spark):
     """Three steps of k-means from given centres."""
-    points = rows.labelled_points(sql(spark, PART_POINTS))
+    points = rows.labelled_points(training(spark, PART_POINTS, "part"))
     centres = cluster.refine_centres(points, PART_CENTRES, 3, epsilon=0.0).values
     found = [(i, round(a, 6), round(b, 6)) for i, (a, b) in enumerate(centres)]
     return spark.createDataFrame(found, "cluster int, c0 double, c1 double")
 
 
 def _sizes(spark, train):
-    points = rows.cluster_points(sql(spark, PART_POINTS), True).persist()
+    points = rows.cluster_points(training(spark, PART_POINTS, "part"), True).persist()
     try:
         model = train(points)
     finally:
@@ -397,7 +398,7 @@ def m13_kmeans(spark):
        f"FROM ({PART_POINTS}) AS p", uses="part")
 def m14_gaussian_mixture(spark):
     """After every EM step the mixture has the mean of the data."""
-    points = rows.cluster_points(sql(spark, PART_POINTS), True)
+    points = rows.cluster_points(training(spark, PART_POINTS, "part"), True)
     model = cluster.train_mixture(points, k=3, iterations=10)
     means = [sum(w * g.mean[i] for w, g in zip(model.weights, model.gaussians)) for i in range(2)]
     return spark.createDataFrame([tuple(round(float(m), 6) for m in means)], "m0 double, m1 double")
@@ -425,8 +426,8 @@ def m15_bisecting_kmeans(spark):
 @query("m26_kmeans_with_pca", uses="embeddings")
 def m26_kmeans_with_pca(spark):
     """Embeddings on two components, ten clusters: accuracy and cost together."""
-    points = rows.label_first_points(sql(spark, "SELECT label, " + ", ".join(
-        f"embedding[{i}] AS x{i}" for i in range(64)) + " FROM embeddings"))
+    points = rows.label_first_points(training(spark, "SELECT label, " + ", ".join(
+        f"embedding[{i}] AS x{i}" for i in range(64)) + " FROM embeddings", "embeddings"))
     found = cluster.cluster_with_reduction(points, k=10, iterations=20, runs=2, reduce=True)
     return spark.createDataFrame([(found.accuracy, found.cost)], "accuracy double, cost double")
 

@@ -9,6 +9,7 @@ from gridloom.operators import patterns, rows
 from gridloom.plans.jobs import pattern_job
 from gridloom.queries.base import ORDER_FLAGS, query, rounded, scratch, sql
 from gridloom.queries.relational import TRIM_SET
+from gridloom.sources.sql import spread_out
 
 FLAGS = 8
 MASK = " + ".join(f"CASE WHEN c{i} <> '0' THEN {1 << (i - 1)} ELSE 0 END" for i in range(1, FLAGS + 1))
@@ -95,7 +96,7 @@ SELECT '[' || string_agg(word, ',' ORDER BY word) || ']' AS items, freq
 FROM f JOIN common ON s & (1::BIGINT << bit) > 0 GROUP BY s, freq""", uses="documents")
 def m17_fp_growth_text(spark):
     """Words that occur together in at least half of the whole texts."""
-    baskets = rows.text_baskets(spark.table("documents"), "text")
+    baskets = rows.text_baskets(spread_out(spark.table("documents").select("text"), "documents"), "text")
     model = patterns.mine_itemsets(baskets, TEXT_SUPPORT, partitions=8)
     return patterns.itemsets(model).select(bracketed("items").alias("items"), "freq")
 

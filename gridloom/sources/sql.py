@@ -22,6 +22,18 @@ def register_tables(spark: SparkSession, folder: str, names: Iterable[str] = TAB
         read_table(spark, folder, name).createOrReplaceTempView(name)
 
 
+def spread_out(rows: DataFrame, table: str) -> DataFrame:
+    """Rows of a table that has fewer splits than the cluster has cores, over all cores.
+
+    Iterative training on a table of one small file would run in one task. Large
+    tables have more splits than cores and are left as they are: no shuffle.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    splits = spark.table(table).rdd.getNumPartitions()
+    return rows.repartition(cores) if splits < cores else rows
+
+
 def run_sql(spark: SparkSession, text: str, database: str | None = None) -> DataFrame:
     """Rows of a SQL text; unqualified names resolve in ``database`` when given.
 
