@@ -26,9 +26,9 @@ def labelled(points):
 @pytest.mark.parametrize("kind", ["l2", "l1", None])
 @pytest.mark.parametrize("intercept", [True, False])
 def test_svm_equals_library_sgd(points, kind, intercept):
-    theirs = SVMWithSGD.train(labelled(points), iterations=20, step=1.0, regParam=0.01, regType=kind,
+    theirs = SVMWithSGD.train(labelled(points), iterations=6, step=1.0, regParam=0.01, regType=kind,
                               intercept=intercept, convergenceTol=0.0)
-    ours = linear.train_svm(points, iterations=20, reg_type=kind or "none", intercept=intercept, tol=0.0)
+    ours = linear.train_svm(points, iterations=6, reg_type=kind or "none", intercept=intercept, tol=0.0)
     assert np.allclose(ours.weights, theirs.weights.toArray(), atol=1e-9)
     assert ours.intercept == pytest.approx(theirs.intercept, abs=1e-9)
 

@@ -14,7 +14,7 @@ def test_sequential_patterns_of_the_toy_case(spark):
     sequences = spark.createDataFrame(
         [([[1, 2], [3]],), ([[1], [3, 2], [1, 2]],), ([[1, 2], [5]],), ([[6]],)], "sequence array<array<int>>")
     found = patterns.sequential_patterns(sequences, 0.5, 5)
-    sets = F.transform("sequence", F.array_sort)
+    sets = F.transform("sequence", lambda s: F.array_sort(s))
     got = {tuple(map(tuple, r[0])): r[1] for r in found.select(sets, "freq").collect()}
     assert got == {((1,),): 3, ((2,),): 3, ((3,),): 2, ((1, 2),): 3, ((1,), (3,)): 2}
 
