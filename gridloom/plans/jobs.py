@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import grid_id, now_millis
-from gridloom.operators import metrics, patterns, relabel, rows as shapes
+from gridloom.operators import cluster, metrics, patterns, relabel, topics
+from gridloom.operators import rows as shapes
 from gridloom.operators.scoring import score
 from gridloom.operators.split import split_at_random, split_by_key
 from gridloom.plans.algorithms import (
@@ -98,9 +99,9 @@ def train_job(spark: SparkSession, job_id: str, algorithm_id: int, params: Param
     """Train every grid point, measure it on the test rows, keep predictions and models.
 
     ``split_key`` splits by the hash of that column instead of at random;
-    ``partitions`` spreads a source of too few splits. Tables
-    are written only where the parameters name one (``saveresult``,
-    ``savemodel``); ``information`` takes the messages.
+    ``partitions`` spreads a source of too few splits. Tables are written only
+    where the parameters name one (``saveresult``, ``savemodel``); ``information``
+    takes the messages.
     """
     algorithm = ALGORITHMS[int(algorithm_id)]
     params = {**algorithm.defaults, **params}
@@ -228,6 +229,49 @@ def pattern_job(spark: SparkSession, job_id: str, params: Params,
     return written
 
 
+# Defaults of the jobs that have no algorithm id.
+TEXT_PATTERN_DEFAULTS = {"minsupport": "0.5", "numpartitions": "3", "minconfidence": "0.0"}
+TOPIC_DEFAULTS = {"numclusters": "3", "haslabel": "false", "optimizer": "em"}
+GRAPH_DEFAULTS = {"numclusters": "3", "iterations": "50", "modetype": "random"}
+
+
+def text_pattern_job(spark: SparkSession, params: Params,
+                     database: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """FP-growth on blank-separated lines (files, or the columns of a SQL text): itemsets, rules."""
+    params = {**TEXT_PATTERN_DEFAULTS, **params}
+    if _first(params, "path"):
+        lines = spark.read.text(params["path"])
+    else:
+        source = training_input(spark, params, database)
+        lines = source.select(F.concat_ws(" ", *source.columns).alias("value"))
+    model = patterns.mine_itemsets(shapes.text_baskets(lines), float(params["minsupport"]),
+                                   float(params["minconfidence"]), int(params["numpartitions"]))
+    return patterns.itemsets(model), patterns.rules(model)
+
+
+def topic_job(spark: SparkSession, params: Params, database: str | None = None) -> DataFrame:
+    """Topics of term-count rows as ``topic, term, weight``; the model goes to ``savepath``."""
+    params = {**TOPIC_DEFAULTS, **params}
+    documents = shapes.document_vectors(training_input(spark, params, database), truth(params["haslabel"]))
+    model = topics.train_topics(documents, int(params["numclusters"]), optimizer=params["optimizer"])
+    if _first(params, "savepath"):
+        model.save(f"{params['savepath'].rstrip('/')}/{now_millis()}")
+    return topics.topic_terms(model)
+
+
+def graph_job(spark: SparkSession, params: Params, database: str | None = None) -> DataFrame:
+    """Clusters ``id, cluster`` of the edges ``src, dst, weight`` of a SQL text."""
+    params = {**GRAPH_DEFAULTS, **params}
+    edges = training_input(spark, params, database).toDF("src", "dst", "weight").select(
+        F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"),
+        F.col("weight").cast("double").alias("weight"))
+    assigned = cluster.power_iteration(edges, int(params["numclusters"]), int(params["iterations"]),
+                                       params["modetype"])
+    if _first(params, "savepath"):
+        tables.append(assigned, f"{params['savepath'].rstrip('/')}/{now_millis()}")
+    return assigned
+
+
 def score_job(spark: SparkSession, job_id: str, algorithm_id: int | str, model_path: str, text: str,
               target: str = "", dbtype: str = "hive", database: str | None = None) -> DataFrame:
     """Predictions of a saved model for the rows of a SQL text, appended to the target table.

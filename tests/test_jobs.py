@@ -147,6 +147,19 @@ def test_text_file_input(spark, tmp_path):
     assert result.points[0].value == 1.0
 
 
+def test_jobs_without_an_id(spark, tmp_path):
+    (tmp_path / "lines.txt").write_text("a b\na b c\nc\n")
+    itemsets, rules = jobs.text_pattern_job(spark, {"path": str(tmp_path / "lines.txt"), "minconfidence": "0.9"})
+    assert {tuple(r["items"]): r["freq"] for r in itemsets.collect()} == {
+        ("a",): 2, ("b",): 2, ("c",): 2, ("a", "b"): 2}
+    assert rules.count() == 2
+    text = "SELECT id % 2 * 5 AS a, (id + 1) % 2 * 5 AS b FROM range(20)"
+    terms = jobs.topic_job(spark, {"sql": text, "numclusters": "2", "savepath": str(tmp_path / "lda")})
+    assert terms.count() == 4
+    edges = "SELECT id AS src, id + 1 AS dst, 1.0 AS weight FROM range(12)"
+    assert jobs.graph_job(spark, {"sql": edges, "numclusters": "2", "iterations": "5"}).count() == 13
+
+
 def test_grid_order_and_messages():
     points = grid_points({"a": "1,2", "b": "x, y", "c": "0"}, ("a", "b"))
     assert [(p["a"], p["b"]) for p in points] == [("1", "x"), ("1", "y"), ("2", "x"), ("2", "y")]
