@@ -125,9 +125,10 @@ def cluster_report(assigned: DataFrame, cluster: str = "cluster", member: str =
     """Clusters by ascending size with their sorted members, one row per member.
 
     A cluster may hold most of the points, so members stay rows: the order is a
-    range-partitioned sort, never a list gathered in one task.
+    range-partitioned sort, never a list gathered in one task. The sizes are
+    joined without a hint; they are broadcast when their measured size allows it.
     """
     sizes = cluster_sizes(assigned, cluster)
     members = assigned.select(F.col(cluster).alias("cluster"), F.col(member).alias("id"))
-    return members.join(F.broadcast(sizes), "cluster").select("cluster", "size", "id").orderBy(
+    return members.join(sizes, "cluster").select("cluster", "size", "id").orderBy(
         "size", "cluster", "id")

@@ -15,7 +15,7 @@ _MAPPING = T.StructType([T.StructField("cluster", T.DoubleType()),
 def relabel_map(table: DataFrame, k: int) -> dict[float, float]:
     """cluster -> label by greedy choice: larger counts first, then label, then cluster.
 
-    A cluster can lose at most k-1 labels to the other clusters, so its choice is
+    ``k`` is the number of clusters. A cluster can lose at most k-1 labels to the other clusters, so its choice is
     always among its k most frequent labels: k*k rows decide the whole mapping,
     however many labels there are. Only those rows come to the driver.
     """

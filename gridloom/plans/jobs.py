@@ -43,6 +43,11 @@ class JobResult:
     best: int | None = None
     messages: list[str] = field(default_factory=list)
 
+    @property
+    def best_model_path(self) -> str | None:
+        """Where the best point's model was saved; the registry's newest is the last point's."""
+        return None if self.best is None else self.points[self.best].model_path
+
     def metrics(self, spark: SparkSession) -> DataFrame:
         """``job, idx, metric, value, params`` of the evaluated points."""
         found = [(self.job_id, p.index, p.metric, p.value, p.params)
