@@ -154,13 +154,33 @@ MOMENT_LIMIT = 2000
 
 def _moments(rows: DataFrame, width: int) -> np.ndarray | None:
     """Sums of products of (features, 1, label) over all rows, in one pass; None without rows."""
+    size = width + 2
+    if size * (size + 1) // 2 <= WRITTEN_OUT:
+        return _moments_by_columns(rows, width)
+    if rows.isEmpty():
+        return None
     whole = VectorAssembler(inputCols=["features", "one", "label"], outputCol="z").transform(
         rows.select("features", F.lit(1.0).alias("one"), "label")).select("z")
     vectors = MLUtils.convertVectorColumnsFromML(whole, "z")
-    sums = RowMatrix(vectors, numCols=width + 2).computeGramianMatrix().toArray()
+    sums = RowMatrix(vectors, numCols=size).computeGramianMatrix().toArray()
     return sums if sums[width, width] else None
 
 
+def _moments_by_columns(rows: DataFrame, width: int) -> np.ndarray | None:
+    """The same for few features: one generated aggregate over plain columns."""
+    x = vector_to_array("features")
+    names = [*[f"z{i}" for i in range(width)], "one", "label"]
+    plain = rows.select(*[x[i].alias(f"z{i}") for i in range(width)], F.lit(1.0).alias("one"), "label")
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    found = plain.agg(*[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs]).first()
+    if not found[pairs.index((width, width))]:
+        return None
+    sums = np.zeros((len(names), len(names)))
+    for (i, j), value in zip(pairs, found):
+        sums[i, j] = sums[j, i] = value
+    return sums
+
+
 def _descend_by_moments(rows: DataFrame, points: Sequence[_Point], width: int, size: int,
                         iterations: int, reg_type: str, tol: float) -> None:
     """Least squares: the gradient is linear in the weights, so one pass serves every iteration."""

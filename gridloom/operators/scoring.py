@@ -22,5 +22,8 @@ def score(model, points: DataFrame) -> DataFrame:
     rows = points
     if isinstance(model, IsotonicRegressionModel) and "feature" not in points.columns:
         rows = points.withColumn("feature", vector_to_array("features")[0])
+    if hasattr(model, "rawPredictionCol"):  # the label only: no score and probability columns
+        unused = [getattr(model, n) for n in ("rawPredictionCol", "probabilityCol") if hasattr(model, n)]
+        model = model.copy({param: "" for param in unused})
     kept = [c for c in points.columns if c not in ("features", "feature", "weight")]
     return model.transform(rows).select(*kept, F.col("prediction").cast("double").alias("prediction"))

@@ -154,7 +154,10 @@ def train_job(spark: SparkSession, job_id: str, algorithm_id: int, params: Param
 
 def _evaluate(algorithm: Algorithm, entry: PointResult, test: DataFrame, job_id: str, target: str,
               started: str, database: str | None) -> None:
-    scored = score(entry.model, test).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = score(entry.model, test)
+    relabels = algorithm.shape == CLUSTERED and truth(entry.params["haslabel"])
+    if target or relabels:  # read by more than the measure
+        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     unique_id = grid_id(job_id, entry.index) if algorithm.grid else job_id
     try:
         if algorithm.shape == RATED:
@@ -162,16 +165,17 @@ def _evaluate(algorithm: Algorithm, entry: PointResult, test: DataFrame, job_id:
             tables.append(tables.rating_predictions(scored, unique_id, started), target, database)
             return
         shown = scored
-        if algorithm.shape == CLUSTERED and truth(entry.params["haslabel"]):
+        if relabels:
             shown = relabel.relabel(scored, int(entry.params["k"]))
             shown = shown.withColumn("prediction", F.col("newLabel"))
-        if algorithm.shape == CLUSTERED and not truth(entry.params["haslabel"]):
+        if algorithm.shape == CLUSTERED and not relabels:
             entry.metric, entry.value = _cluster_quality(entry.model)
         else:
             entry.metric, entry.value = _measure(algorithm, shown)
         tables.append(tables.prediction_and_label(shown, unique_id, started), target, database)
     finally:
-        scored.unpersist()
+        if scored.is_cached:
+            scored.unpersist()
 
 
 def _report(spark: SparkSession, result: JobResult, algorithm: Algorithm, information: str | None,

@@ -58,6 +58,13 @@ def test_moments_and_passes_agree(points):
         assert np.allclose([*a.weights, a.intercept], b.weights, atol=1e-10)
 
 
+def test_moments_by_matrix_and_by_columns_agree(points, monkeypatch):
+    narrow = linear._moments(points, 3)
+    monkeypatch.setattr(linear, "WRITTEN_OUT", 2)
+    assert np.allclose(narrow, linear._moments(points, 3))
+    assert linear._moments(points.limit(0), 3) is None
+
+
 def test_wide_features_by_matrix_product(points, monkeypatch):
     narrow = linear.descend(points, linear.HINGE, [(1.0, 0.01), (0.5, 0.1)], 6, tol=0.0)
     monkeypatch.setattr(linear, "WRITTEN_OUT", 2)
