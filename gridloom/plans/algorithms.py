@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from gridloom.operators import cluster, linear, trees
@@ -36,16 +38,27 @@ class Algorithm:
     metric: str
     larger_is_better: bool
     shown: tuple[tuple[str, str], ...]
-    fit_grid: Callable[[DataFrame, Sequence[Params]], list[Any]]
+    fit_grid: "GridFit"
     reads_once: bool = False  # one pass or an own stored copy serves the whole grid
 
 
-def _each(fit: Callable[[DataFrame, Params], Any]) -> Callable[[DataFrame, Sequence[Params]], list[Any]]:
-    return lambda rows, points: [fit(rows, p) for p in points]
+GridFit = Callable[[DataFrame, Sequence[Params], int], list[Any]]
 
 
-def _descent(loss: str) -> Callable[[DataFrame, Sequence[Params]], list[Any]]:
-    def fit(rows: DataFrame, points: Sequence[Params]) -> list[Any]:
+def _each(fit: Callable[[DataFrame, Params], Any]) -> GridFit:
+    """One fit per grid point, ``parallelism`` of them at a time on the same stored rows."""
+    def fit_all(rows: DataFrame, points: Sequence[Params], parallelism: int) -> list[Any]:
+        if parallelism <= 1 or len(points) == 1:
+            return [fit(rows, p) for p in points]
+        one = inheritable_thread_target(rows.sparkSession)(lambda p: fit(rows, p))
+        with ThreadPoolExecutor(min(parallelism, len(points))) as pool:
+            return list(pool.map(one, points))
+    return fit_all
+
+
+def _descent(loss: str) -> GridFit:
+    """All grid points in the same passes."""
+    def fit(rows: DataFrame, points: Sequence[Params], parallelism: int) -> list[Any]:
         p = points[0]
         return linear.descend(
             rows, loss, [(float(q["step"]), float(q["regparam"])) for q in points],

@@ -100,11 +100,13 @@ def _cluster_quality(model) -> tuple[str, float]:
 def train_job(spark: SparkSession, job_id: str, algorithm_id: int, params: Params,
               database: str | None = None, information: str | None = tables.TRAIN_INFORMATION,
               registry: str = tables.MODEL_PATHS, seed: int | None = None,
-              split_key: str | None = None, partitions: int | None = None) -> JobResult:
+              split_key: str | None = None, partitions: int | None = None,
+              parallelism: int = 1) -> JobResult:
     """Train every grid point, measure it on the test rows, keep predictions and models.
 
     ``split_key`` splits by the hash of that column instead of at random;
-    ``partitions`` spreads a source of too few splits. Tables are written only
+    ``partitions`` spreads a source of too few splits; ``parallelism`` grid points
+    are trained at a time, which fills a cluster when one fit does not. Tables are written only
     where the parameters name one (``saveresult``, ``savemodel``); ``information``
     takes the messages.
     """
@@ -136,7 +138,7 @@ def train_job(spark: SparkSession, job_id: str, algorithm_id: int, params: Param
     target = _first(params, "saveresult")
     base = _first(params, "savemodel", "savepath")
     try:
-        models = algorithm.fit_grid(train, points)
+        models = algorithm.fit_grid(train, points, parallelism)
         for index, (point, model) in enumerate(zip(points, models)):
             entry = PointResult(index, point, model)
             if test is not None:

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.operators import linear, metrics
+from gridloom.operators import linear, metrics, rows, trees
+from gridloom.operators.scoring import score
 from gridloom.plans.grid import point_message_column
 from gridloom.plans.jobs import score_job, train_job
-from gridloom.queries.base import SIGNAL_POINTS, TARGET_POINTS, query, rounded, scratch
-from gridloom.queries.models import bayes_sql, descent_ctes
+from gridloom.queries.base import (
+    LINE_POINTS, SIGNAL_POINTS, TARGET_POINTS, query, rounded, scratch, sql)
+from gridloom.queries.models import CLASS_STUMP, STUMP, bayes_sql, descent_ctes
 from gridloom.queries.relational import BUCKET_SQL
 from gridloom.sources import control
+from gridloom.sources.models import load_model
 
 IN_TRAIN = f"{BUCKET_SQL} < 700"
 IN_TEST = f"{BUCKET_SQL} >= 700"
@@ -31,6 +34,10 @@ def b5_held_out_scoring(spark):
 GRID = [(0.1, 0.0), (0.1, 0.1), (0.5, 0.0), (0.5, 0.1)]
 
 
+GRID_PARAMS = {"data": TARGET_POINTS, "ratio": "0.7", "step": "0.1,0.5", "regparam": "0.0,0.1",
+               "regtype": "l2", "iterations": "2", "convergencetol": "0"}
+
+
 def grid_sql() -> str:
     """``idx, step, regparam, mse`` of the grid on the held-out rows."""
     ctes, parts = [], []
@@ -46,9 +53,7 @@ def grid_sql() -> str:
 
 
 def _grid_metrics(spark):
-    params = {"data": TARGET_POINTS, "ratio": "0.7", "step": "0.1,0.5", "regparam": "0.0,0.1",
-              "regtype": "l2", "iterations": "2", "convergencetol": "0"}
-    result = train_job(spark, "lr-1", 7, params, information=None, split_key="key")
+    result = train_job(spark, "lr-1", 7, GRID_PARAMS, information=None, split_key="key")
     return result.metrics(spark)
 
 
@@ -80,6 +85,51 @@ def k3_best_of_grid(spark):
     return best.select("job", "best", *rounded("value"))
 
 
+@query("k3_train_information", f"""
+SELECT 'lr-2' AS key_id, idx, round(mse, 6) AS mse FROM ({grid_sql()}) AS g
+UNION ALL
+SELECT 'lr-2' AS key_id, CAST(arg_min(idx, mse) AS INT) + 100 AS idx, round(min(mse), 6) AS mse
+FROM ({grid_sql()}) AS g""")
+def k3_train_information(spark):
+    """The appended messages, read back: one per grid point and one for the best (index + 100)."""
+    target = scratch(spark, "information")
+    train_job(spark, "lr-2", 7, GRID_PARAMS, information=target, split_key="key")
+    message = F.col("message")
+    index = F.coalesce(
+        F.nullif(F.regexp_extract(message, r"number: (\d+)", 1), F.lit("")).cast("int"),
+        F.regexp_extract(message, r"got by (\d+)-th", 1).cast("int") + 100)
+    mse = F.regexp_extract(message, r"MSE(?:: | is )(.*)$", 1).cast("double")
+    return spark.read.orc(target).select("key_id", index.alias("idx"), F.round(mse, 6).alias("mse"))
+
+
+@query("k4_save_model", "SELECT 'nb-' || l_returnflag AS jobId, 'NativeBayes' AS appName, "
+       "CAST(1 AS BIGINT) AS n, min('nb-' || l_returnflag) AS loaded FROM lineitem "
+       "WHERE l_returnflag IN ('A', 'R') GROUP BY l_returnflag")
+def k4_save_model(spark):
+    """Two jobs save a model each; the registry names one path per job, and it can be loaded."""
+    base = scratch(spark, "models")
+    for flag in ("A", "R"):
+        text = LINE_POINTS.replace("l_returnflag = 'R'", f"l_returnflag = '{flag}'")
+        train_job(spark, f"nb-{flag}", 3, {"data": text, "savemodel": f"{base}/{flag}"},
+                  information=None, registry=f"{base}/paths")
+    paths = spark.read.orc(f"{base}/paths")
+    loaded = [(job,) for job in ("nb-A", "nb-R")
+              if load_model(3, control.model_path(paths, job)).numClasses == 2]
+    known = spark.createDataFrame(loaded, "loaded string")
+    counted = paths.groupBy("jobId", "appName").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(known, F.col("jobId") == F.col("loaded"), "left")
+
+
+@query("s8_model_loader", CLASS_STUMP)
+def s8_model_loader(spark):
+    """A saved tree, loaded by its algorithm id, scores as the trained one."""
+    points = rows.labelled_points(sql(spark, SIGNAL_POINTS))
+    path = scratch(spark, "tree")
+    trees.train_tree_classifier(points, **STUMP).save(path)
+    scored = score(load_model(4, path), points)
+    return scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("b8_registry_scoring", f"""
 SELECT CAST(k AS STRING) AS key_id, prediction AS predictLabel, 'score-1' AS uniqueId
 FROM ({bayes_sql(SIGNAL_POINTS)}) AS s""")

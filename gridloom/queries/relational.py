@@ -227,6 +227,18 @@ def o2_latest_row(spark):
                CAST(1700000000000 + event_id AS STRING) AS timestamp FROM events"""))
 
 
+@query("o4_append", """
+SELECT event_type, 2 * count(*) AS n, CAST(2 * sum(event_id) AS BIGINT) AS ids FROM events GROUP BY event_type
+""", uses="events")
+def o4_append(spark):
+    """Appending keeps every row, equal ones too."""
+    target = scratch(spark, "append")
+    for _ in range(2):
+        tables.append(spark.table("events").select("event_id", "event_type"), target)
+    return spark.read.orc(target).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
 # --- row shapes ------------------------------------------------------------------------
 
 @query("f1_labelled_point", f"SELECT CAST(k AS STRING) AS key, CAST(y AS DOUBLE) AS label, x0, x1, x2 "
@@ -306,6 +318,14 @@ def f9_document_vector(spark):
     return documents.select("id", *spread("features", [f"x{i}" for i in range(5)]))
 
 
+@query("f9_generated_ids", "SELECT count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity FROM lineitem")
+def f9_generated_ids(spark):
+    """Rows without a key get ids that are all different."""
+    text = "SELECT l_quantity AS x0, l_linenumber AS x1 FROM lineitem"
+    documents = rows.document_vectors(sql(spark, text)).select("id", *spread("features", ["x0", "x1"]))
+    return documents.agg(F.countDistinct("id").alias("n"), F.sum("x0").alias("quantity"))
+
+
 @query("f10_first_feature", f"SELECT CAST(k AS STRING) AS key, CAST(y AS DOUBLE) AS label, "
        f"x0 AS feature, CAST(1 AS DOUBLE) AS weight FROM ({LINE_POINTS}) AS p")
 def f10_first_feature(spark):
@@ -503,6 +523,12 @@ def k9_cluster_report(spark):
     return cluster.cluster_report(assigned, "prediction", "id")
 
 
+@query("o3_cluster_order", f"SELECT cluster, count(*) AS size FROM ({ASSIGNED_SQL}) AS a "
+       f"GROUP BY 1 ORDER BY size, cluster", uses="part")
+def o3_cluster_order(spark):
+    return metrics.cluster_sizes(assigned_parts(spark), "prediction").orderBy("size", "cluster")
+
+
 @query("a8_best_point", """
 SELECT job, CAST(arg_max(idx, score) AS INT) AS best, max(share) AS value
 FROM (SELECT job, idx, share, share * 1000000 - idx AS score FROM (

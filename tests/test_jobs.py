@@ -147,6 +147,15 @@ def test_text_file_input(spark, tmp_path):
     assert result.points[0].value == 1.0
 
 
+def test_grid_points_trained_side_by_side(spark, control):
+    params = {"data": "SELECT * FROM points", "ratio": "0.7", "maxdepth": "1,2,3"}
+    options = {"information": None, "split_key": "key"}
+    serial = jobs.train_job(spark, "t", 4, params, **options)
+    side_by_side = jobs.train_job(spark, "t", 4, params, parallelism=3, **options)
+    assert [p.value for p in serial.points] == [p.value for p in side_by_side.points]
+    assert [p.model.depth for p in serial.points] == [p.model.depth for p in side_by_side.points]
+
+
 def test_jobs_without_an_id(spark, tmp_path):
     (tmp_path / "lines.txt").write_text("a b\na b c\nc\n")
     itemsets, rules = jobs.text_pattern_job(spark, {"path": str(tmp_path / "lines.txt"), "minconfidence": "0.9"})
