@@ -35,9 +35,9 @@ def squared_distance(left: Sequence[Column], right: Sequence[Column]) -> Column:
 WRITTEN_OUT = 120
 
 
-def dot(x: Column, weights: Sequence[float], start: float = 0.0) -> Column:
+def dot(x: Column, weights: Sequence[float], start: float = 0.0, limit: int = WRITTEN_OUT) -> Column:
     """``start`` plus the product of an ``array<double>`` column with fixed weights."""
-    if len(weights) <= WRITTEN_OUT:
+    if len(weights) <= limit:
         total = F.lit(0.0)
         for i, w in enumerate(weights):
             total = total + x[i] * F.lit(float(w))

@@ -5,17 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import (
     BisectingKMeans, BisectingKMeansModel, GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel,
     PowerIterationClustering)
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.categories import feature_width
 from gridloom.operators.metrics import accuracy, cluster_sizes, nearest_centre, within_cluster_cost
+from gridloom.operators.reduce import Components, fit_components
 from gridloom.operators.relabel import relabel
 from gridloom.session import ensure_checkpoint_dir
 
@@ -82,11 +81,21 @@ def train_bisecting(points: DataFrame, k: int = 4, iterations: int = 20,
 
 @dataclass
 class ReducedClusters:
-    model: PipelineModel
+    model: KMeansModel
+    components: Components | None
     accuracy: float
     cost: float
     relabelled: DataFrame
 
+    def transform(self, points: DataFrame) -> DataFrame:
+        return self.model.transform(_reduced(points, self.components))
+
+
+def _reduced(points: DataFrame, components: Components | None) -> DataFrame:
+    if components is None:
+        return points
+    return components.transform(points).drop("features").withColumnRenamed("projected", "features")
+
 
 def cluster_with_reduction(points: DataFrame, k: int = 3, iterations: int = 50, runs: int = 10,
                            reduce: bool = False, seed: int = SEED) -> ReducedClusters:
@@ -95,13 +104,8 @@ def cluster_with_reduction(points: DataFrame, k: int = 3, iterations: int = 50,
     Both measures are taken: accuracy after relabelling and the cost in the space
     that was clustered.
     """
-    stages, rows = [], points
-    if reduce:
-        pca = PCA(k=2, inputCol="features", outputCol="reduced").fit(points)
-        rows = (pca.transform(points).withColumnRenamed("features", "original")
-                .withColumnRenamed("reduced", "features"))
-        stages.append(pca)
-    rows = rows.persist()
+    components = fit_components(points, 2) if reduce else None
+    rows = _reduced(points, components).persist()
     try:
         kmeans = train_kmeans(rows, k, iterations, runs, seed=seed)
         cost = within_cluster_cost(rows, [c.tolist() for c in kmeans.clusterCenters()]).first()[0]
@@ -109,9 +113,7 @@ def cluster_with_reduction(points: DataFrame, k: int = 3, iterations: int = 50,
         share = accuracy(relabelled, prediction="newLabel").first()[0]
     finally:
         rows.unpersist()
-    if reduce:
-        kmeans = kmeans.copy({kmeans.featuresCol: "reduced"})
-    return ReducedClusters(Pipeline(stages=[*stages, kmeans]).fit(points), share, cost, relabelled)
+    return ReducedClusters(kmeans, components, share, cost, relabelled)
 
 
 def power_iteration(edges: DataFrame, k: int = 3, iterations: int = 50, mode: str = "random") -> DataFrame:

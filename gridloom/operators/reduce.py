@@ -1,31 +1,61 @@
-"""Principal components and singular values of a table of vectors."""
+"""Principal components and singular values of a table of vectors.
+
+Spark sums the products of the features over all rows; only that matrix of
+features x features comes to the driver, where numpy takes its eigenvectors.
+Rows are then projected by column expressions, so they keep their keys.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.columns import dot
+from gridloom.functions.columns import WRITTEN_OUT, dot
+
 
+def _matrix(rows: DataFrame) -> RowMatrix:
+    return RowMatrix(MLUtils.convertVectorColumnsFromML(rows.select("features"), "features"))
 
-def fit_components(rows: DataFrame, n: int) -> PCAModel:
-    return PCA(k=n, inputCol="features", outputCol="projected").fit(rows)
+
+def _projection(v: np.ndarray) -> Column:
+    x = vector_to_array("features")
+    limit = WRITTEN_OUT if v.size <= 10 * WRITTEN_OUT else 0
+    return array_to_vector(F.array(*[dot(x, column.tolist(), limit=limit) for column in v.T]))
+
+
+def _eigen(symmetric: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues from the largest down, and their vectors as columns."""
+    values, vectors = np.linalg.eigh(symmetric)
+    return np.maximum(values[::-1], 0.0), vectors[:, ::-1]
+
+
+@dataclass
+class Components:
+    v: np.ndarray          # features x n
+    explained: list[float]  # share of the variance per component
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """Rows times the components (not centred) in ``projected``."""
+        return rows.withColumn("projected", _projection(self.v))
+
+
+def fit_components(rows: DataFrame, n: int) -> Components:
+    values, vectors = _eigen(_matrix(rows).computeCovariance().toArray())
+    return Components(vectors[:, :n], (values / values.sum())[:n].tolist())
 
 
 def project(rows: DataFrame, n: int) -> DataFrame:
-    """Rows times the top ``n`` components (not centred) in ``projected``."""
     return fit_components(rows, n).transform(rows)
 
 
 def project_features(rows: DataFrame, n: int) -> DataFrame:
-    """The same in place of ``features``; label and key stay."""
+    """The projection in place of ``features``; label and key stay."""
     names = rows.columns
     return (project(rows, n).drop("features").withColumnRenamed("projected", "features")
             .select(*names))
@@ -41,16 +71,12 @@ class SingularValues:
 def singular_values(rows: DataFrame, n: int) -> SingularValues:
     """Top ``n`` singular values with U and V.
 
-    Spark computes the Gram matrix and V; U is then a projection of each row, so
-    it keeps the row's key and needs no join. Values at the level of rounding
-    noise are left out, as U would be undefined for them.
+    Values at the level of rounding noise are left out, as U would be undefined
+    for them.
     """
-    vectors = MLUtils.convertVectorColumnsFromML(rows.select("features"), "features")
-    found = RowMatrix(vectors).computeSVD(n, computeU=False)
-    values = found.s.toArray()
-    v = found.V.toArray()
-    kept = int((values > 1e-7 * values[0]).sum()) if len(values) else 0
-    x = vector_to_array("features")
-    columns = [dot(x, (v[:, j] / values[j]).tolist()) for j in range(kept)]
-    u = rows.withColumn("u", array_to_vector(F.array(*columns))).drop("features")
-    return SingularValues(values[:kept].tolist(), v[:, :kept], u)
+    squares, vectors = _eigen(_matrix(rows).computeGramianMatrix().toArray())
+    values = np.sqrt(squares[:n])
+    kept = int((values > 1e-7 * values[0]).sum())
+    values, v = values[:kept], vectors[:, :kept]
+    u = rows.withColumn("u", _projection(v / values)).drop("features")
+    return SingularValues(values.tolist(), v, u)

@@ -502,7 +502,7 @@ def m22_pca(spark):
 def m22_pca_variance(spark):
     """Shares of the variance that the components explain."""
     model = reduce.fit_components(rows.scoring_points(sql(spark, PLANE_POINTS).drop("y")), 2)
-    shares = [round(float(v), 6) for v in model.explainedVariance.toArray()]
+    shares = [round(v, 6) for v in model.explained]
     return spark.createDataFrame([tuple(shares)], "first double, second double")
 
 

@@ -87,7 +87,7 @@ def test_one_feature_clusters_are_intervals(spark):
 def test_reduction_before_clustering(blobs):
     found = cluster.cluster_with_reduction(blobs, k=3, runs=2, reduce=True)
     assert found.accuracy == 1.0 and found.cost > 0
-    assert found.model.transform(blobs).select("prediction").distinct().count() == 3
+    assert found.transform(blobs).select("prediction").distinct().count() == 3
 
 
 def test_cluster_report_order(spark):

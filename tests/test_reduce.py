@@ -25,7 +25,7 @@ def test_components_and_label(spark):
              ("d", 0, 1, 0, 0, 0, 0), ("e", 1, 1, 1, 0, 0, 0)]
     points = rows.labelled_points(spark.createDataFrame(table))
     model = reduce.fit_components(points, 2)
-    assert model.explainedVariance.toArray() == pytest.approx([0.651252, 0.223638], abs=1e-6)
+    assert model.explained == pytest.approx([0.651252, 0.223638], abs=1e-6)
     reduced = reduce.project_features(points, 2)
     assert reduced.columns == ["key", "label", "features"]
     assert {r["key"]: r["label"] for r in reduced.collect()} == {r[0]: float(r[1]) for r in table}
