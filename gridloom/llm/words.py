@@ -15,6 +15,7 @@ IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 NOT_ALNUM = np.zeros(256, bool)
 NOT_ALNUM[[*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
+NOT_ALNUM[65:91] = False  # A-Z are folded to a-z
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
