@@ -113,7 +113,7 @@ def compiled(rules: tuple[Rule, ...], counts: Column) -> Column:
     """Names of the rules that the counts break, in the table's order."""
     def broken(rule: Rule) -> Column:
         over, under = rule.measure.split(" / ")
-        value = counts[over] / counts[under].cast("double")
+        value = F.try_divide(counts[over].cast("double"), counts[under])  # null without words: nothing to break
         low = F.lit(False) if rule.low is None else value < rule.low
         high = F.lit(False) if rule.high is None else value > rule.high
         return F.when(low | high, F.lit(rule.name))
