@@ -46,7 +46,8 @@ def exchange(pairs: np.ndarray, n_classes: int, fixed: int, rounds: int = 10) ->
             cross = np.diagonal(table)[:n_classes]
             gain = (rows.sum(1)[:n_classes] - rows[own, own] + columns.sum(0)[:n_classes] - columns[own, own]
                     + _f(cross + out[:n_classes] + into[:n_classes] + self_count) - _f(cross))
-            left, right = table.sum(1)[:n_classes], table.sum(0)[:n_classes]
+            # the symbol is still a neighbour of all classes, wherever it goes
+            left, right = (table.sum(1) + into)[:n_classes], (table.sum(0) + out)[:n_classes]
             gain -= _f(left + out.sum() + self_count) - _f(left)
             gain -= _f(right + into.sum() + self_count) - _f(right)
             new = int(np.argmax(gain))

@@ -4,13 +4,16 @@
    a class at once (``cls``, a hash of the whole set), so copies are one vertex.
 2. Classes that agree in all registers of a band share a bucket. At similarity 0.8 a pair
    misses all 51 bands of 5 registers with chance (1 - 0.8^5)^51 < 2e-9.
-3. In a round each class is compared with one other of its buckets (the hub it shares most
-   buckets with): first the collision-corrected estimate, six deviations wide, then
-   the full sets. Links found become components, and a new round takes other hubs for the classes
-   whose buckets still hold several components. Buckets of a large group of copies so cost
-   one comparison for each member and round, not all pairs.
-4. When a round finds no new link, the pairs still left, members of a bucket in different
-   components, are all compared. So every pair of a bucket is linked, connected or compared.
+3. Each class is compared with one other of its buckets (the hub it shares most buckets
+   with): first the collision-corrected estimate, six deviations wide, then the full sets.
+   Links found become components. A large group of copies so costs one comparison for each
+   member, not all pairs.
+4. What is left are buckets that hold several components. Classes that such buckets connect
+   form a group; a group is dealt into blocks of bounded size, a large component into blocks of
+   its own, and blocks are compared two by two in one task each, estimate first, full sets after.
+   Two blocks of one component are not compared, and a block pair gives only links that join two
+   components. So every pair of a bucket is linked, connected or compared, and no list of
+   candidate pairs is ever made.
 
 The component is named by its smallest document id. Cases: an empty or null text has an
 empty set and is linked with nothing. A row without id cannot be named in a link and stays
@@ -22,16 +25,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import stored
 from gridloom.llm.components import components
 from gridloom.llm.sketches import REGISTERS, band_keys, estimate, registers, shingle_hashes
-from gridloom.llm.words import IS_SPACE, mix, rows_of, slices, word_hashes, word_spans
+from gridloom.llm.words import IS_SPACE, mix, rows_of, slices, take_ranges, word_hashes, word_spans
 
 WIDTH, PERCENT = 5, 80
 DEVIATIONS = 6.0
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 19
 
 
 def _sets(texts: pa.Array, width: int):
@@ -120,10 +124,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * shared >= percent * union).select("a", "b")
 
 
-def _labelled(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _labelled(entries: DataFrame, roots: DataFrame) -> DataFrame:
     """Bucket entries with their component, of buckets that hold several components."""
-    if roots is None:
-        return entries.withColumn("comp", F.col("cls"))
     labels = entries.join(roots.withColumnRenamed("v", "cls"), "cls", "left") \
         .select("key", "cls", F.coalesce("root", "cls").alias("comp"))
     open_keys = labels.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")) \
@@ -131,15 +133,100 @@ def _labelled(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
     return labels.join(open_keys, "key")
 
 
-def _hub_pairs(entries: DataFrame, number: int) -> DataFrame:
-    """One pair for each class: itself and, of its buckets' hubs in other components, the one in most buckets."""
-    order: Column = F.col("cls") if number == 0 else F.xxhash64("cls", F.lit(number))
-    hubs = entries.groupBy("key").agg(F.min(F.struct(order.alias("o"), "cls", "comp")).alias("hub"))
-    pairs = entries.join(hubs, "key").filter(F.col("comp") != F.col("hub.comp")) \
-        .groupBy("cls", F.col("hub.cls").alias("other")).agg(F.count(F.lit(1)).alias("n"))
+def _hub_pairs(entries: DataFrame) -> DataFrame:
+    """One pair for each class: itself and, of its buckets' least classes, the one in most buckets."""
+    hubs = entries.groupBy("key").agg(F.min("cls").alias("hub"))
+    pairs = entries.join(hubs, "key").filter("cls <> hub").groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("n"))
     # most buckets first, then the least hub: ~x falls as x rises
-    best = pairs.groupBy("cls").agg(F.max(F.struct("n", F.bitwise_not("other").alias("not_other"))).alias("best"))
-    return best.select(F.bitwise_not("best.not_other").alias("a"), F.col("cls").alias("b"))
+    best = pairs.groupBy("cls").agg(F.max(F.struct("n", F.bitwise_not("hub").alias("not_hub"))).alias("best"))
+    return best.select(F.bitwise_not("best.not_hub").alias("a"), F.col("cls").alias("b"))
+
+
+def _blocks(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """``grp, cls, comp, block, own``: groups of classes that open buckets connect, in blocks; ``own``: the
+    block's one component, null for a block of several."""
+    hubs = entries.groupBy("key").agg(F.min("cls").alias("b"))
+    joined = entries.join(hubs, "key").select(F.col("cls").alias("a"), "b")
+    groups = components(joined)
+    rows = entries.select("cls", "comp").distinct().join(groups.withColumnRenamed("v", "cls"), "cls", "left") \
+        .join(sets.select("cls", "n_shingles"), "cls") \
+        .select(F.coalesce("root", "cls").alias("grp"), "cls", "comp", "n_shingles")
+
+    def parts(frame: DataFrame, *by: str) -> DataFrame:
+        return frame.groupBy(*by).agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS),
+                                                 F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("parts"))
+
+    rows = stored(rows, "groups")
+    own = parts(rows, "grp", "comp").filter("parts > 1")
+    large = rows.join(own, ["grp", "comp"]).withColumn("own", F.col("comp")).withColumn(
+        "block", F.xxhash64("comp", F.pmod(F.xxhash64("cls"), "parts")))
+    small = rows.join(own, ["grp", "comp"], "left_anti")
+    pooled = small.join(parts(small, "grp"), "grp").withColumn("own", F.lit(None).cast("long")).withColumn(
+        "block", F.xxhash64(F.lit(0), F.pmod(F.xxhash64("cls", F.lit(1)), "parts")))
+    names = ["grp", "cls", "comp", "block", "own"]
+    return stored(large.select(*names).unionByName(pooled.select(*names)), "blocks")
+
+
+def _compare(rows: pa.Table, percent: int) -> pa.Table:
+    """Links of a block pair that join two components."""
+    cls, comp = rows["cls"].to_numpy(), rows["comp"].to_numpy()
+    first = rows["first"].to_numpy(zero_copy_only=False)
+    sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    lists = rows["shingles"].combine_chunks()
+    cut = lists.offsets.to_numpy().astype(np.int64)
+    values = lists.values.to_numpy()
+    size = np.diff(cut)
+    same = first.all()  # a block with itself
+    left = np.flatnonzero(first)
+    right = left if same else np.flatnonzero(~first)
+    order = take_ranges(cut[right], size[right])
+    members = np.repeat(np.arange(len(right)), size[right])
+    by_value = np.argsort(values[order], kind="stable")
+    known, begin, counts = np.unique(values[order][by_value], return_index=True, return_counts=True)
+    members = members[by_value]
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    limit, links = percent / 100, []
+    for i in left.tolist():
+        least = np.minimum(size[i], size[right])
+        room = DEVIATIONS * np.sqrt(limit * (1 - limit) / np.minimum(least, REGISTERS))
+        may = (estimate(sketch[i], sketch[right]) >= limit - room) & (comp[right] != comp[i]) \
+            & (100 * least >= percent * np.maximum(size[i], size[right]))
+        if not may.any():
+            continue
+        mine = values[cut[i]: cut[i + 1]]
+        at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+        at = at[known[at] == mine]
+        shared = np.bincount(members[take_ranges(begin[at], counts[at])], minlength=len(right))
+        near = may & (100 * shared >= percent * (size[i] + size[right] - shared))
+        for j in right[near].tolist():
+            a, b = root(int(comp[i])), root(int(comp[j]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                links.append((int(cls[i]), int(cls[j])))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
+def _links_in_blocks(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components among the classes of open buckets."""
+    rows = _blocks(entries, sets)
+    blocks = rows.select("grp", "block", "own").distinct()
+    other = blocks.select("grp", F.col("block").alias("other"), F.col("own").alias("other_own"))
+    # each block with itself and those behind it in its group, but not two blocks of one component
+    pairs = blocks.join(other, "grp").filter("block <= other").filter(
+        "own is null or other_own is null or own <> other_own").select("grp", "block", "other")
+    one = pairs.select("grp", "block", "other", F.col("block").alias("mine"), F.lit(True).alias("first"))
+    two = pairs.filter("block <> other").select("grp", "block", "other", F.col("other").alias("mine"),
+                                                F.lit(False).alias("first"))
+    placed = rows.select("grp", F.col("block").alias("mine"), "cls", "comp") \
+        .join(one.unionByName(two), ["grp", "mine"]).join(sets.select("cls", "sketch", "shingles"), "cls")
+    return placed.groupBy("grp", "block", "other").applyInArrow(
+        lambda table: _compare(table, percent), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
@@ -159,26 +246,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets = stored(sketched(texts, width, sets=True).filter("cls is not null").join(heads, ["cls", "doc_id"], "left_semi")
                   .dropDuplicates(["cls"]).select("cls", "n_shingles", "sketch", "shingles"), "sets")
 
-    links, roots, number = None, None, 0
-    while True:
-        found = stored(_linked(_hub_pairs(_labelled(entries, roots), number), sets, percent), "links")
-        if found.isEmpty():
-            break
-        links = found if links is None else links.unionByName(found)
-        roots, number = components(links), number + 1
-    left = _labelled(entries, roots)
-    other = left.select("key", F.col("cls").alias("a"), F.col("comp").alias("comp_a"))
-    pairs = left.select("key", F.col("cls").alias("b"), "comp").join(other, "key") \
-        .filter("comp_a < comp").select("a", "b").distinct()
-    found = stored(_linked(pairs, sets, percent), "links")
-    if not found.isEmpty():
-        roots = components(found if links is None else links.unionByName(found))
-
-    if roots is None:
-        labelled = base.withColumn("root", F.col("cls"))
-    else:
-        labelled = base.join(roots.withColumnRenamed("v", "cls"), "cls", "left") \
-            .withColumn("root", F.coalesce("root", "cls"))
+    links = stored(_linked(_hub_pairs(entries), sets, percent), "links")
+    left = stored(_labelled(entries, components(links)), "open")
+    roots = components(links.unionByName(stored(_links_in_blocks(left, sets, percent), "links")))
+
+    labelled = base.join(roots.withColumnRenamed("v", "cls"), "cls", "left") \
+        .withColumn("root", F.coalesce("root", "cls"))
     names = labelled.filter("cls is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = labelled.select("doc_id", "n_shingles", "root").join(names, "root", "left")
     # a row without words, or without an id, is a component of its own
