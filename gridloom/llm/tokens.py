@@ -1,10 +1,11 @@
 """Token ids of whole texts with the tokenizers library, each distinct piece of text encoded once.
 
-A text is cut in front of single white-space characters that stand between two others.
-No token of the two public byte-level tokenizers reaches over such a cut, so the ids of a
-text are the ids of its pieces one after another; pieces repeat, and are kept in a bounded
-cache. Pieces of printable Latin-1 characters are split by the tokenizer's own pattern and
-merged by the library's model; any other piece goes through the library's whole encoder.
+A text is cut where no token of the two public byte-level tokenizers can reach over: in front
+of single white-space characters that stand between two others, and between ASCII punctuation
+and letters. The ids of a text are the ids of its pieces one after another; pieces
+repeat, and are kept in a bounded cache. Pieces of letters alone are merged by the
+library's model at once; other pieces of printable Latin-1 characters are split by the
+tokenizer's own pattern first, and any other piece goes through the library's whole encoder.
 """
 
 from __future__ import annotations
@@ -16,15 +17,19 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-from gridloom.llm.words import IS_SPACE, slices, take_ranges, word_hashes
+from gridloom.llm.words import IS_SPACE, LOWER, slices, take_ranges, word_hashes
 
 #: The published pattern of byte-level pre-tokenizers: a fixed value.
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHED = 300_000
+CACHED = 400_000
 _PLAIN = regex.compile(r"[ \t\n\r]?[\x21-\x7e\xa1-\xff]+")
 _LEADS = np.zeros(256, bool)
 _LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True  # first bytes of all white space beyond ASCII
 _SAME = np.arange(256, dtype=np.uint8)
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 
 
 def _byte_characters() -> dict[int, str]:
@@ -34,10 +39,20 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-def cut_points(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Where pieces start: at texts that are not empty and at safe white space inside them."""
+def letters(data: np.ndarray) -> np.ndarray:
+    """Bytes of ASCII letters and of the letters U+00C0 to U+00FF."""
+    out = _LETTER[data]
+    if len(data) > 1:
+        two = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        out[:-1] |= two
+        out[1:] |= two
+    return out
+
+
+def cut_points(data: np.ndarray, bounds: np.ndarray, letter: np.ndarray) -> np.ndarray:
+    """Where pieces start: at texts that are not empty and at safe places inside them."""
     n = len(data)
-    space = IS_SPACE[data]
+    space, mark = IS_SPACE[data], _MARK[data]
     cut = np.zeros(n, bool)
     if n > 2:
         lead = _LEADS[data]
@@ -45,8 +60,10 @@ def cut_points(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         cut[2:] &= ~lead[:-2]  # the character before may be white space of two or three bytes
         cut[3:] &= ~lead[:-3]
     edge = bounds[bounds < n]
-    last = edge[edge > 0] - 1
-    cut[last] = False
+    cut[edge[edge > 0] - 1] = False
+    if n > 1:
+        # an apostrophe may belong to the letters behind it
+        cut[1:] |= (letter[:-1] & mark[1:]) | (mark[:-1] & (data[:-1] != 0x27) & letter[1:])
     cut[edge] = True
     return np.flatnonzero(cut)
 
@@ -63,8 +80,8 @@ class Encoder:
         self.whole.encode_special_tokens = True
         self.pattern, self.lower = self._rules(kind.get("pre_tokenizer"), kind.get("normalizer"))
         self.characters = _byte_characters()
-        self.pieces: dict[bytes, list[int]] = {}
-        self.merged: dict[str, list[int]] = {}
+        self.fresh: dict[bytes, list[int]] = {}  # two generations: the older one goes when the newer is full
+        self.older: dict[bytes, list[int]] = {}
 
     @staticmethod
     def _rules(cutter: dict | None, normalizer: dict | None):
@@ -80,36 +97,46 @@ class Encoder:
             return regex.compile(parts[0]["pattern"]["Regex"]), normalizer is not None
         return None, False
 
-    def _plain(self, piece: str) -> list[int]:
-        ids: list[int] = []
-        for part in self.pattern.findall(piece.lower() if self.lower else piece):
-            known = self.merged.get(part)
-            if known is None:
-                if len(self.merged) >= CACHED:
-                    self.merged.clear()
-                mapped = part.encode().decode("latin-1").translate(self.characters)
-                known = self.merged[part] = [t.id for t in self.whole.model.tokenize(mapped)]
-            ids += known
-        return ids
-
-    def _encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
+    def _merged(self, part: str) -> list[int]:
+        """Ids of one part that the pattern does not split."""
+        if not part.isascii() or " " in part or not part.isprintable():
+            part = part.encode().decode("latin-1").translate(self.characters)
+        return [t.id for t in self.whole.model.tokenize(part)]
+
+    def _new(self, piece: bytes, whole: bool) -> list[int] | None:
+        """Ids of a piece; ``whole``: letters alone behind at most one space. None for the library's encoder."""
+        text = piece.decode()
+        if self.lower:
+            text = text.lower()
+        if whole:
+            return self._merged(text)
+        if not _PLAIN.fullmatch(text):
+            return None
+        return [i for part in self.pattern.findall(text) for i in self._merged(part)]
+
+    def _encode_pieces(self, pieces: list[bytes], whole: list[bool]) -> list[list[int]]:
         """Ids of each piece, new ones encoded."""
-        if len(self.pieces) > CACHED:
-            self.pieces.clear()
-        have = [self.pieces.get(p) for p in pieces]
+        out: list[list[int]] = []
         rest: list[int] = []
-        for i, ids in enumerate(have):
+        fresh, older = self.fresh, self.older
+        for i, piece in enumerate(pieces):
+            ids = fresh.get(piece)
             if ids is None:
-                text = pieces[i].decode()
-                if _PLAIN.fullmatch(text):
-                    have[i] = self.pieces[pieces[i]] = self._plain(text)
-                else:
-                    rest.append(i)
+                ids = older.get(piece)
+                if ids is None:
+                    ids = self._new(piece, whole[i])
+                    if ids is None:
+                        rest.append(i)
+                if ids is not None:
+                    fresh[piece] = ids
+            out.append(ids)
         if rest:
             found = self.whole.encode_batch([pieces[i].decode() for i in rest], add_special_tokens=False)
             for i, e in zip(rest, found):
-                have[i] = self.pieces[pieces[i]] = e.ids
-        return have
+                out[i] = fresh[pieces[i]] = e.ids
+        if len(fresh) > CACHED // 2:
+            self.older, self.fresh = fresh, {}
+        return out
 
     def encode(self, texts: pa.Array, end: int):
         """``first row, end row, ids, offsets`` of slices of rows; each text ends with the id ``end``."""
@@ -122,18 +149,26 @@ class Encoder:
                 sizes = np.fromiter(map(len, lists), np.int64, len(lists))
                 yield first, last, ids, np.concatenate([[0], np.cumsum(sizes)])
                 continue
-            starts = cut_points(data, bounds)
+            letter = letters(data)
+            starts = cut_points(data, bounds, letter)
             ends = np.append(starts[1:], len(data)) if len(starts) else starts
-            _, at, which = np.unique(word_hashes(data, starts, ends, _SAME), return_index=True, return_inverse=True)
+            # the lower-casing kind drops white space, so a piece may go without it
+            bare = starts + IS_SPACE[data[starts]] if self.lower else starts
+            fold = LOWER if self.lower else _SAME
+            _, at, which = np.unique(word_hashes(data, bare, ends, fold), return_index=True, return_inverse=True)
+            inside = np.concatenate([[0], np.cumsum(letter, dtype=np.int32)])
+            body = bare if self.lower else bare + (data[bare] == 0x20)
+            whole = (inside[ends] - inside[np.minimum(body, ends)] == ends - body) & (ends > body)
             raw = data.tobytes()
-            lists = self._encode_pieces([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            lists = self._encode_pieces([raw[a:b] for a, b in zip(bare[at].tolist(), ends[at].tolist())],
+                                        whole[at].tolist())
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
             flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
             begin = np.cumsum(sizes) - sizes
-            body = flat[take_ranges(begin[which], sizes[which])]
+            joined = flat[take_ranges(begin[which], sizes[which])]
             # the end id goes behind the last piece of each text
             before = np.concatenate([[0], np.cumsum(sizes[which])])[np.searchsorted(starts, bounds)]
-            ids = np.insert(body, before[1:], end)
+            ids = np.insert(joined, before[1:], end)
             yield first, last, ids, before + np.arange(len(before))
 
 
