@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import (
     BisectingKMeans, BisectingKMeansModel, GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel,
     PowerIterationClustering)
@@ -13,10 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.categories import feature_width
-from gridloom.operators.metrics import accuracy, cluster_sizes, nearest_centre, within_cluster_cost
+from gridloom.operators.metrics import accuracy, cluster_sizes, nearest_centre
 from gridloom.operators.reduce import Components, fit_components
 from gridloom.operators.relabel import relabel
-from gridloom.session import ensure_checkpoint_dir
 
 SEED = 42
 
@@ -55,16 +55,19 @@ def refine_centres(points: DataFrame, centres: Sequence[Sequence[float]], iterat
     """
     current = [[float(v) for v in c] for c in centres]
     width = len(current[0])
-    for _ in range(iterations):
-        x = vector_to_array("features")
-        assigned = points.select(x.alias("x"), nearest_centre(x, current)["cluster"].alias("cluster"))
-        means = assigned.groupBy("cluster").agg(*[F.avg(F.col("x")[i]) for i in range(width)]).collect()
-        moved = {row[0]: [float(v) for v in row[1:]] for row in means}
-        after = [moved.get(i, c) for i, c in enumerate(current)]
-        shift = max(sum((a - b) ** 2 for a, b in zip(p, q)) for p, q in zip(after, current))
-        current = after
-        if shift <= epsilon * epsilon:
-            break
+    rows = points.select(vector_to_array("features").alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for _ in range(iterations):
+            assigned = rows.select("x", nearest_centre(F.col("x"), current)["cluster"].alias("cluster"))
+            means = assigned.groupBy("cluster").agg(*[F.avg(F.col("x")[i]) for i in range(width)]).collect()
+            moved = {row[0]: [float(v) for v in row[1:]] for row in means}
+            after = [moved.get(i, c) for i, c in enumerate(current)]
+            shift = max(sum((a - b) ** 2 for a, b in zip(p, q)) for p, q in zip(after, current))
+            current = after
+            if shift <= epsilon * epsilon:
+                break
+    finally:
+        rows.unpersist()
     return Centres(current)
 
 
@@ -108,7 +111,7 @@ def cluster_with_reduction(points: DataFrame, k: int = 3, iterations: int = 50,
     rows = _reduced(points, components).persist()
     try:
         kmeans = train_kmeans(rows, k, iterations, runs, seed=seed)
-        cost = within_cluster_cost(rows, [c.tolist() for c in kmeans.clusterCenters()]).first()[0]
+        cost = kmeans.summary.trainingCost
         relabelled = relabel(kmeans.transform(rows), k)
         share = accuracy(relabelled, prediction="newLabel").first()[0]
     finally:
@@ -118,9 +121,12 @@ def cluster_with_reduction(points: DataFrame, k: int = 3, iterations: int = 50,
 
 def power_iteration(edges: DataFrame, k: int = 3, iterations: int = 50, mode: str = "random") -> DataFrame:
     """``id, cluster`` for a weighted edge table ``src, dst, weight``."""
-    ensure_checkpoint_dir(edges.sparkSession)
     learner = PowerIterationClustering(k=k, maxIter=iterations, initMode=mode, weightCol="weight")
-    return learner.assignClusters(edges)
+    stored = edges.persist(StorageLevel.MEMORY_AND_DISK)  # the iterations read the edges again and again
+    try:
+        return learner.assignClusters(stored)
+    finally:
+        stored.unpersist()
 
 
 def cluster_report(assigned: DataFrame, cluster: str = "cluster", member: str = "id") -> DataFrame:

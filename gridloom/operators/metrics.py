@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +50,40 @@ def distance_to(features: Column, centre: Sequence[float]) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
 
 
+# Centres of up to this many numbers are written out as expressions.
+WRITTEN_OUT_CENTRES = 256
+
+
+def _nearest_in_batches(matrix: np.ndarray):
+    """The nearest centre by one matrix product for each batch of rows.
+
+    Expanded distances only choose the candidates: every centre within their rounding of the
+    least is measured again by differences, so ties and costs are those of the expression.
+    """
+    squares = (matrix ** 2).sum(axis=1)
+
+    @F.pandas_udf("cost double, cluster int")
+    def nearest(rows: pd.Series) -> pd.DataFrame:
+        cost, cluster = np.empty(len(rows)), np.empty(len(rows), np.int32)
+        for at in range(0, len(rows), 1024):
+            x = np.stack(rows.iloc[at: at + 1024].to_numpy())
+            own = (x ** 2).sum(axis=1)
+            near = squares - 2.0 * (x @ matrix.T)
+            room = 1e-9 * (own + squares.max())
+            i, j = np.nonzero(near <= (near.min(axis=1) + room)[:, None])
+            exact = ((x[i] - matrix[j]) ** 2).sum(axis=1)
+            order = np.lexsort((j, exact, i))
+            first = order[np.unique(i[order], return_index=True)[1]]
+            cost[at: at + len(x)], cluster[at: at + len(x)] = exact[first], j[first]
+        return pd.DataFrame({"cost": cost, "cluster": cluster})
+
+    return nearest
+
+
 def nearest_centre(features: Column, centres: Sequence[Sequence[float]]) -> Column:
     """``struct<cost, cluster>`` of the nearest centre; the smaller index on a tie."""
+    if sum(len(c) for c in centres) > WRITTEN_OUT_CENTRES:
+        return _nearest_in_batches(np.array([[float(v) for v in c] for c in centres]))(features)
     costs = [F.struct(distance_to(features, c).alias("cost"), F.lit(i).alias("cluster"))
              for i, c in enumerate(centres)]
     return F.least(*costs) if len(costs) > 1 else costs[0]

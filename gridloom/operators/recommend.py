@@ -33,5 +33,7 @@ def join_predictions(rated: DataFrame, predicted: DataFrame) -> DataFrame:
 
 
 def score_ratings(model: ALSModel, rated: DataFrame) -> DataFrame:
-    """Every rating with its prediction; the model's own join replaces the pair join."""
-    return model.transform(rated).withColumn("prediction", F.col("prediction").cast("double"))
+    """Every row with its prediction, null for a user or item the model has not seen."""
+    keeping = model.copy({model.coldStartStrategy: "nan"})
+    value = F.col("prediction").cast("double")
+    return keeping.transform(rated).withColumn("prediction", F.when(~F.isnan("prediction"), value))

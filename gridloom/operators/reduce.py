@@ -1,8 +1,7 @@
-"""Principal components and singular values of a table of vectors.
+"""Principal components and singular values of a table of vectors, by the library's distributed solvers.
 
-Spark sums the products of the features over all rows; only that matrix of
-features x features comes to the driver, where numpy takes its eigenvectors.
-Rows are then projected by column expressions, so they keep their keys.
+Only the components come to the driver. Rows are then projected by column expressions, so they
+keep their keys.
 """
 
 from __future__ import annotations
@@ -10,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -29,12 +29,6 @@ def _projection(v: np.ndarray) -> Column:
     return array_to_vector(F.array(*[dot(x, column.tolist(), limit=limit) for column in v.T]))
 
 
-def _eigen(symmetric: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Eigenvalues from the largest down, and their vectors as columns."""
-    values, vectors = np.linalg.eigh(symmetric)
-    return np.maximum(values[::-1], 0.0), vectors[:, ::-1]
-
-
 @dataclass
 class Components:
     v: np.ndarray          # features x n
@@ -46,8 +40,8 @@ class Components:
 
 
 def fit_components(rows: DataFrame, n: int) -> Components:
-    values, vectors = _eigen(_matrix(rows).computeCovariance().toArray())
-    return Components(vectors[:, :n], (values / values.sum())[:n].tolist())
+    model = PCA(k=n, inputCol="features", outputCol="projected").fit(rows.select("features"))
+    return Components(model.pc.toArray(), model.explainedVariance.toArray().tolist())
 
 
 def project(rows: DataFrame, n: int) -> DataFrame:
@@ -68,15 +62,13 @@ class SingularValues:
     u: DataFrame   # the input's other columns and the vector ``u``
 
 
-def singular_values(rows: DataFrame, n: int) -> SingularValues:
-    """Top ``n`` singular values with U and V.
+def singular_values(rows: DataFrame, n: int, rcond: float = 1e-9) -> SingularValues:
+    """Top ``n`` singular values with U and V; fewer where a value is below ``rcond`` times the largest.
 
-    Values at the level of rounding noise are left out, as U would be undefined
-    for them.
+    ``len(values)`` says how many there are. Values near 1e-8 of the largest are at the level of the
+    solver's rounding: a caller who must not see them gives a larger ``rcond``.
     """
-    squares, vectors = _eigen(_matrix(rows).computeGramianMatrix().toArray())
-    values = np.sqrt(squares[:n])
-    kept = int((values > 1e-7 * values[0]).sum())
-    values, v = values[:kept], vectors[:, :kept]
+    found = _matrix(rows).computeSVD(n, False, rcond)
+    values, v = found.s.toArray(), found.V.toArray()
     u = rows.withColumn("u", _projection(v / values)).drop("features")
     return SingularValues(values.tolist(), v, u)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.clustering import LDA, LDAModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridloom.session import ensure_checkpoint_dir
+from gridloom.session import ensure_checkpoint_dir, shared_dir
 
 SEED = 42
 
@@ -17,7 +21,19 @@ def train_topics(documents: DataFrame, k: int = 3, iterations: int = 20, optimiz
 
 
 def topic_terms(model: LDAModel) -> DataFrame:
-    """``topic, term, weight`` of every topic and term (the model's own matrix)."""
+    """``topic, term, weight`` of every topic and term.
+
+    The counts of an EM model are rows of its own graph: it is saved to the shared folder and
+    they are read there, terms under negative ids. An online model is one local matrix.
+    """
+    if model.isDistributed():
+        spark = SparkSession.getActiveSession()
+        path = f"{shared_dir(spark)}/gridloom/topics-{uuid.uuid4().hex}"
+        model.save(path)
+        counts = spark.read.parquet(f"{path}/oldModel/data/topicCounts").where("id < 0")
+        weights = F.posexplode(vector_to_array("topicWeights")).alias("topic", "weight")
+        return counts.select((-(F.col("id") + 1)).cast("int").alias("term"), weights).select(
+            "topic", "term", "weight")
     matrix = model.topicsMatrix().toArray()
     rows = [(topic, term, float(matrix[term, topic]))
             for topic in range(matrix.shape[1]) for term in range(matrix.shape[0])]

@@ -41,6 +41,16 @@ class Algorithm:
     fit_grid: "GridFit"
     reads_once: bool = False  # one pass or an own stored copy serves the whole grid
 
+    def point_metric(self, metric: str) -> str:
+        """The measure's name in the message of a grid point (fixed values); the best's message keeps the other."""
+        if self.shape == CLUSTERED:
+            return metric
+        names = {"MSE": "mse", "RMSE": "rmse"}
+        if self.app_name in ("decision_tree classifier", "random_forest classifier",
+                             "gradient_boosted_tree classifier"):
+            names["F_measure"] = "f_measure"
+        return names.get(metric, metric)
+
 
 GridFit = Callable[[DataFrame, Sequence[Params], int], list[Any]]
 

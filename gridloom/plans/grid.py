@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 def grid_points(params: dict[str, str], keys: tuple[str, ...]) -> list[dict[str, str]]:
     """The product of the comma lists of ``keys``, first key outermost."""
@@ -24,11 +21,3 @@ def best_message(app_name: str, job_id: str, best: int, extreme: str, metric: st
     """Fixed format."""
     return (f"In {app_name} job {job_id}, the best result is got by {best}-th group parameters, "
             f"and the {extreme} {metric} is {value}")
-
-
-def point_message_column(index: Column, shown: list[tuple[str, Column]], metric: str,
-                         value: Column) -> Column:
-    """The same text for a table of metrics."""
-    parts = [("number", index), *shown, (metric, value)]
-    texts = [F.concat(F.lit(f"{name}: "), column.cast("string")) for name, column in parts]
-    return F.concat_ws(", ", *texts)

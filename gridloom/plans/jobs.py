@@ -64,8 +64,9 @@ def training_input(spark: SparkSession, params: Params, database: str | None = N
     path = _first(params, "path")
     if path:
         lines = read_lines(spark, path)
-        width = lines.select(F.size("fields")).first()[0]
-        return lines.select(*[F.col("fields")[i].alias(f"c{i}") for i in range(width)])
+        # every field of the widest line; shorter lines have nulls, which training reports
+        width = lines.agg(F.max(F.size("fields"))).first()[0] or 1
+        return lines.select(*[F.get("fields", F.lit(i)).alias(f"c{i}") for i in range(width)])
     text = _first(params, "data", "rdd", "sql")
     if not text:
         raise ValueError("the job has neither a SQL text nor a path")
@@ -151,6 +152,9 @@ def train_job(spark: SparkSession, job_id: str, algorithm_id: int, params: Param
             if stored is not None and stored.is_cached:
                 stored.unpersist()
     _report(spark, result, algorithm, information, started, database)
+    if result.best_model_path:
+        tables.register(spark, result.best_model_path, job_id, algorithm.app_name, now_millis(),
+                        registry + tables.BEST_SUFFIX, database)
     return result
 
 
@@ -189,7 +193,7 @@ def _report(spark: SparkSession, result: JobResult, algorithm: Algorithm, inform
     larger = metric in ("F_measure", "logLikelihood")
     result.messages = [
         point_message(p.index, [(name, p.params[key]) for name, key in algorithm.shown],
-                      p.metric, p.value) for p in measured]
+                      algorithm.point_metric(p.metric), p.value) for p in measured]
     result.best, value = _best(measured, metric, larger)
     if len(result.points) > 1:
         result.messages.append(best_message(
@@ -305,6 +309,10 @@ def score_job(spark: SparkSession, job_id: str, algorithm_id: int | str, model_p
     return out
 
 
+# Type and name of the dictionary entry that holds the database of all jobs.
+DATABASE_ENTRY = ("DAO_API", "DAO_API_SCHEMA")
+
+
 @dataclass
 class ControlTables:
     """Catalog names of the control tables (fixed values)."""
@@ -318,10 +326,18 @@ class ControlTables:
     runs: str = tables.JOB_RUNS
 
 
+def job_database(spark: SparkSession, names: ControlTables, database: str | None) -> str | None:
+    """The database given, else the one the dictionary names, else none (the session's current one)."""
+    if database or not spark.catalog.tableExists(names.dictionary):
+        return database
+    return control.dictionary_value(spark.table(names.dictionary), *DATABASE_ENTRY) or None
+
+
 def run_training(spark: SparkSession, argument: str, control_tables: ControlTables | None = None,
                  database: str | None = None, **options):
     """Run the training job named by ``configName@2@jobID`` from its control tables."""
     names = control_tables or ControlTables()
+    database = job_database(spark, names, database)
     job_id = argument.split("@2@")[-1]
     jobs = spark.table(names.jobs)
     params = control.job_parameters(spark.table(names.details), spark.table(names.key_names), jobs, job_id)
@@ -336,12 +352,20 @@ def run_training(spark: SparkSession, argument: str, control_tables: ControlTabl
 
 
 def run_scoring(spark: SparkSession, job_id: str, control_tables: ControlTables | None = None,
-                database: str | None = None) -> DataFrame:
-    """Run a scoring job from its row: the newest model of its training job on its SQL text."""
+                database: str | None = None, which: str = "newest") -> DataFrame:
+    """Run a scoring job from its row: a model of its training job on its SQL text.
+
+    ``which`` is ``newest`` (the last point of the last grid) or ``best`` (the best point of the last
+    grid that was measured).
+    """
+    if which not in ("newest", "best"):
+        raise ValueError('which must be "newest" or "best"')
     names = control_tables or ControlTables()
+    database = job_database(spark, names, database)
+    registry = names.paths + (tables.BEST_SUFFIX if which == "best" else "")
     job = control.scoring_job(spark.table(names.scoring), job_id)
     model_job = job.get("muuid", "")
-    path = control.model_path(spark.table(tables.qualified(names.paths, database)), model_job)
+    path = control.model_path(spark.table(tables.qualified(registry, database)), model_job)
     if not path:
         raise ValueError(f"no model is registered for job {model_job!r}")
     tables.record_run(spark, control.first_job(job_id), "Prediction", names.runs, database)

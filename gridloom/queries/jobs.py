@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from gridloom.operators import linear, metrics, rows, trees
 from gridloom.operators.scoring import score
-from gridloom.plans.grid import point_message_column
 from gridloom.plans.jobs import score_job, train_job
 from gridloom.queries.base import (
     LINE_POINTS, SIGNAL_POINTS, TARGET_POINTS, query, rounded, scratch, sql)
@@ -15,8 +14,8 @@ from gridloom.queries.relational import BUCKET_SQL
 from gridloom.sources import control
 from gridloom.sources.models import load_model
 
-IN_TRAIN = f"{BUCKET_SQL} < 700"
-IN_TEST = f"{BUCKET_SQL} >= 700"
+IN_TRAIN = f"{BUCKET_SQL} < 0.7"
+IN_TEST = f"{BUCKET_SQL} >= 0.7"
 
 
 @query("b5_held_out_scoring", f"""
@@ -67,14 +66,18 @@ def b6_grid(spark):
 
 @query("b7_messages", f"""
 SELECT idx, 'number: ' || idx || ', iterations: 2, step: ' || step || ', regParam: ' || regparam
-       || ', mse: ' || round(mse, 4) AS message
+       || ', miniBatchFraction: 1.0, regType: l2, intercept: true, convergenceTol: 0, mse: ' AS message,
+       round(mse, 6) AS mse
 FROM ({grid_sql()}) AS g""")
 def b7_messages(spark):
-    """The report text of every grid point."""
-    shown = [("iterations", F.col("params")["iterations"]), ("step", F.col("params")["step"]),
-             ("regParam", F.col("params")["regparam"])]
-    message = point_message_column(F.col("idx"), shown, "mse", F.round("value", 4))
-    return _grid_metrics(spark).select("idx", message.alias("message"))
+    """The report text of every grid point as the job wrote it, its number apart."""
+    target = scratch(spark, "messages")
+    train_job(spark, "lr-3", 7, GRID_PARAMS, information=target, split_key="key")
+    points = spark.read.orc(target).where(F.col("message").startswith("number: "))
+    text = F.regexp_extract("message", r"^(.*: )[^:]*$", 1)
+    return points.select(F.regexp_extract("message", r"^number: (\d+)", 1).cast("int").alias("idx"),
+                         text.alias("message"),
+                         F.round(F.regexp_extract("message", r": ([^:]*)$", 1).cast("double"), 6).alias("mse"))
 
 
 @query("k3_best_of_grid", f"""
@@ -98,7 +101,7 @@ def k3_train_information(spark):
     index = F.coalesce(
         F.nullif(F.regexp_extract(message, r"number: (\d+)", 1), F.lit("")).cast("int"),
         F.regexp_extract(message, r"got by (\d+)-th", 1).cast("int") + 100)
-    mse = F.regexp_extract(message, r"MSE(?:: | is )(.*)$", 1).cast("double")
+    mse = F.regexp_extract(message, r"(?:mse: |MSE is )(.*)$", 1).cast("double")
     return spark.read.orc(target).select("key_id", index.alias("idx"), F.round(mse, 6).alias("mse"))
 
 

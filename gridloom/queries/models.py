@@ -350,6 +350,20 @@ def b4_als_scoring(spark):
                       F.countDistinct("item").alias("items"))
 
 
+SEEN_RATINGS = RATINGS.replace("GROUP BY", "WHERE o_orderstatus = 'F' GROUP BY")
+
+
+@query("b4_cold_start", f"""
+SELECT CAST(u AS INT) AS "user", CAST(i AS INT) AS item,
+       u IN (SELECT u FROM ({SEEN_RATINGS}) AS s) AND i IN (SELECT i FROM ({SEEN_RATINGS}) AS t) AS scored
+FROM ({RATINGS}) AS p""", uses="orders lineitem")
+def b4_cold_start(spark):
+    """A model of the finished orders scores all pairs: a row for each, null where user or item is new."""
+    model = recommend.train_als(rows.ratings(sql(spark, SEEN_RATINGS)), rank=4, iterations=3, reg=0.1)
+    found = score(model, rows.user_items(rows.ratings(sql(spark, RATINGS))))
+    return found.select("user", "item", F.col("prediction").isNotNull().alias("scored"))
+
+
 # --- clustering ------------------------------------------------------------------------
 
 def refine_ctes(source: str, centres: list[list[float]], iterations: int) -> tuple[list[str], str]:

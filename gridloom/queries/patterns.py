@@ -97,7 +97,7 @@ FROM f JOIN common ON s & (1::BIGINT << bit) > 0 GROUP BY s, freq""", uses="docu
 def m17_fp_growth_text(spark):
     """Words that occur together in at least half of the whole texts."""
     baskets = rows.text_baskets(spread_out(spark.table("documents").select("text"), "documents"), "text")
-    model = patterns.mine_itemsets(baskets, TEXT_SUPPORT, partitions=8)
+    model = patterns.mine_itemsets(baskets, TEXT_SUPPORT)
     return patterns.itemsets(model).select(bracketed("items").alias("items"), "freq")
 
 

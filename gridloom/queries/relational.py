@@ -12,6 +12,7 @@ from gridloom.queries.base import (
     LINE_POINTS, ORDER_FLAGS, PART_CENTRES, PART_POINTS, RATINGS, USER_COUNTS, nearest_sql, query,
     rounded, scratch, spread, sql)
 from gridloom.sinks import tables
+from gridloom.plans.jobs import training_input
 from gridloom.sources import control, files
 from gridloom.sources.sql import run_sql
 
@@ -75,6 +76,19 @@ def s3_text_lines(spark):
                          F.col("fields")[2].cast("double").alias("value"))
 
 
+@query("s3_ragged_lines", """
+SELECT CAST(o_orderkey AS STRING) AS c0, CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS c1,
+       CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey AS STRING) END AS c2 FROM orders""", uses="orders")
+def s3_ragged_lines(spark):
+    """Lines of one to three fields, read by a job's path: every field is kept, missing ones are null."""
+    folder = scratch(spark, "ragged")
+    status = F.col("o_orderstatus")
+    line = F.concat_ws(" ", F.col("o_orderkey").cast("string"), F.when(status != "O", status),
+                       F.when(status == "F", F.col("o_custkey").cast("string")))
+    spark.table("orders").select(line.alias("value")).write.text(folder)
+    return training_input(spark, {"path": folder})
+
+
 @query("s4_libsvm", """
 SELECT CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS DOUBLE) AS label, count(*) AS n,
        CAST(sum(l_quantity) AS DOUBLE) AS f0, CAST(sum(l_linenumber - 1) AS DOUBLE) AS f1
@@ -138,6 +152,18 @@ def s5_parameter_maps(spark):
     return maps.select("uuid", F.size("params").alias("n"), F.array_join(texts, ";").alias("params"))
 
 
+@query("s5_control_characters", """
+SELECT 'job-' || p_type AS uuid, 'step' AS key, max('v' || CAST(p_size AS STRING)) AS value
+FROM part GROUP BY p_type""", uses="part")
+def s5_control_characters(spark):
+    """Keys and values between control characters; a value of nothing else is no value."""
+    return control.clean_parameters(sql(spark, """
+        SELECT concat('job-', p_type) AS uuid, concat('\\tSTEP', char(10)) AS key_name,
+               concat(char(13), 'v', CAST(p_size AS STRING), char(1), ' ') AS key_value FROM part
+        UNION ALL
+        SELECT concat('job-', p_type) AS uuid, 'ratio' AS key_name, concat(char(10), char(9)) AS key_value FROM part"""))
+
+
 @query("s6_scoring_jobs", """
 SELECT concat('job-', CAST(c_custkey AS STRING)) AS uuid,
        concat('select * from t', CAST(c_nationkey AS STRING)) AS sql, c_mktsegment AS muuid,
@@ -373,11 +399,11 @@ def f14_upper_triangle(spark):
 
 # --- splits ----------------------------------------------------------------------------
 
-BUCKET_SQL = "CAST('0x' || substr(md5(CAST(k AS STRING)), 1, 8) AS BIGINT) % 1000"
+BUCKET_SQL = "CAST('0x' || substr(md5(CAST(k AS STRING)), 1, 8) AS BIGINT) / 4294967296.0"
 
 
 @query("p1_split", f"""
-SELECT CAST(k AS STRING) AS key, x0, CASE WHEN {BUCKET_SQL} < 700 THEN 'train' ELSE 'test' END AS fold
+SELECT CAST(k AS STRING) AS key, x0, CASE WHEN {BUCKET_SQL} < 0.7 THEN 'train' ELSE 'test' END AS fold
 FROM ({LINE_POINTS}) AS p""")
 def p1_split(spark):
     """Every row with its side of a 0.7 split by key."""
@@ -387,6 +413,18 @@ def p1_split(spark):
             .unionByName(test.withColumn("fold", F.lit("test"))))
 
 
+@query("p1_fine_ratio", f"""
+SELECT fold, count(*) AS n FROM (
+    SELECT CASE WHEN {BUCKET_SQL} < 0.9996 THEN 'train' ELSE 'test' END AS fold FROM ({LINE_POINTS}) AS p) AS s
+GROUP BY fold""")
+def p1_fine_ratio(spark):
+    """A ratio close to 1 keeps its test rows."""
+    points = sql(spark, LINE_POINTS).select(F.col("k").cast("string").alias("key"))
+    train, test = split.split_by_key(points, 0.9996)
+    both = train.withColumn("fold", F.lit("train")).unionByName(test.withColumn("fold", F.lit("test")))
+    return both.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("p2_seeded_split", "SELECT count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity FROM lineitem")
 def p2_seeded_split(spark):
     """The two sides of a random split hold every row exactly once."""

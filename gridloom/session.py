@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = context.applicationId
     if app not in _LOCAL_DIRS:

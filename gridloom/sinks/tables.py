@@ -10,6 +10,7 @@ from gridloom.operators.rows import NO_LABEL
 
 TRAIN_INFORMATION = "train_information"
 MODEL_PATHS = "mode_save_path"
+BEST_SUFFIX = "_best"  # the relation of the best points' models beside the registry of all
 JOB_RUNS = "applicationID"
 
 
@@ -93,10 +94,16 @@ def save_model(spark: SparkSession, model, base: str, job_id: str, app_name: str
     timestamp = now_millis()
     path = f"{base.rstrip('/')}/{timestamp}"
     model.save(path)
+    register(spark, path, job_id, app_name, timestamp, registry, database)
+    return path
+
+
+def register(spark: SparkSession, path: str, job_id: str, app_name: str, timestamp: str, registry: str,
+             database: str | None = None) -> None:
+    """One row ``jobId, appName, savePath, timestamp``."""
     row = [(job_id, app_name, path, timestamp)]
     schema = "jobId string, appName string, savePath string, timestamp string"
     append(spark.createDataFrame(row, schema).coalesce(1), registry, database)
-    return path
 
 
 def record_run(spark: SparkSession, job_id: str, app_name: str, target: str = JOB_RUNS,

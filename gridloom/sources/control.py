@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.columns import trimmed
+
 
 def first_job(job_id: str) -> str:
     """A job id may be a comma list; parameters are looked up by its first element."""
@@ -38,8 +40,8 @@ def clean_parameters(joined: DataFrame) -> DataFrame:
     no more than its distinct keys.
     """
     return (
-        joined.select("uuid", F.lower(F.trim("key_name")).alias("key"),
-                      F.trim("key_value").alias("value"))
+        joined.select("uuid", F.lower(trimmed("key_name")).alias("key"),
+                      trimmed("key_value").alias("value"))
         .where(F.col("value") != "")
         .groupBy("uuid", "key").agg(F.max("value").alias("value"))
     )
@@ -63,7 +65,7 @@ def scoring_jobs(table: DataFrame, job_id: str | None = None) -> DataFrame:
     rows = table if job_id is None else table.where(F.col("uuid") == first_job(job_id))
 
     def cell(source: str, name: str):
-        value = F.trim(F.col(source))
+        value = trimmed(source)
         return F.when(value != "", value).alias(name)
 
     return rows.select(
