@@ -193,27 +193,25 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item: s
     With ``keep_text=False`` neither the text nor ``cleaned`` is carried on.
     """
     out = free_name(docs, out)
-    frame = docs
+    kept = [F.col(f"`{c}`") for c in docs.columns if keep_text or c != text]
+    # the rows' columns travel as one struct, so their names may be any
+    frame = docs.select(F.struct(*kept).alias("row"), F.col(f"`{text}`").alias("text"))
+    row_type = frame.schema["row"].dataType
     blocks = list(_blocks(items, item, item_text))
     for number, block in enumerate(blocks):
         held = docs.sparkSession.sparkContext.broadcast(Phrases(block, width))
-        last = number == len(blocks) - 1
-        drop = last and not keep_text
-        fields = [f for f in docs.schema.fields if not (drop and f.name == text)]
-        schema = T.StructType([*fields, T.StructField(out, _RESULT)])
+        schema = T.StructType().add("row", row_type).add("text", "string").add("found", _RESULT)
 
-        def scan(batches, held=held, carried=number > 0, drop=drop):
+        def scan(batches, held=held, carried=number > 0, last=number == len(blocks) - 1):
             for batch in batches:
-                texts = batch.column(batch.schema.get_field_index(text))
-                before = batch.column(batch.schema.get_field_index(out)) if carried else None
-                found = _scan(held.value, texts, before)
-                if drop:
+                texts = batch.column(1)
+                found = _scan(held.value, texts, batch.column(2) if carried else None)
+                if last and not keep_text:
                     found["cleaned"] = [None] * len(texts)
-                names = [n for n in batch.schema.names if n != out and not (drop and n == text)]
-                columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
                 made = pa.StructArray.from_arrays(
                     [pa.array(found[f.name], f.type) for f in _ARROW], fields=list(_ARROW))
-                yield pa.RecordBatch.from_arrays([*columns, made], names=[*names, out])
+                again = pa.nulls(len(texts), pa.string()) if last else texts  # for the next block's scan
+                yield pa.RecordBatch.from_arrays([batch.column(0), again, made], names=["row", "text", "found"])
 
         frame = frame.mapInArrow(scan, schema)
-    return frame, out
+    return frame.select("row.*", F.col("found").alias(out)), out
