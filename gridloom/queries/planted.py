@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.operators import cluster, metrics, recommend, rows, split, topics, trees
+from gridloom.operators import cluster, metrics, recommend, rows, split, trees
 from gridloom.operators.scoring import score
 from gridloom.queries.base import RATINGS, SIGNAL_POINTS, TARGET_POINTS, query, sql
 
@@ -78,18 +78,6 @@ def m21_components(spark):
         F.count(F.lit(1)).alias("members"), F.countDistinct("cluster").alias("clusters")).where("members > 2")
 
 
-@query("m20_word_groups", "SELECT * FROM (VALUES (0, 1), (1, 1), (2, 1)) AS t(grp, topics)", uses="orders")
-def m20_word_groups(spark):
-    """Orders of three kinds with words of their own: both words of a kind have the same main topic."""
-    words = ", ".join(f"CASE WHEN o_orderkey % 3 = {i // 2} THEN 5 + o_custkey % {i + 2} ELSE 0 END AS x{i}"
-                      for i in range(6))
-    documents = rows.document_vectors(sql(spark, f"SELECT o_orderkey AS k, {words} FROM orders"), has_key=True)
-    terms = topics.topic_terms(topics.train_topics(documents, k=3))
-    main = terms.groupBy("term").agg(F.max_by("topic", "weight").alias("topic"))
-    return main.groupBy(F.floor(F.col("term") / 2).cast("int").alias("grp")).agg(
-        F.countDistinct("topic").cast("int").alias("topics"))
-
-
 STUMP_WORSE = "SELECT count(*) AS n, TRUE AS better FROM lineitem"
 
 
