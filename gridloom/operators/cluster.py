@@ -124,6 +124,8 @@ def power_iteration(edges: DataFrame, k: int = 3, iterations: int = 50, mode: st
     learner = PowerIterationClustering(k=k, maxIter=iterations, initMode=mode, weightCol="weight")
     stored = edges.persist(StorageLevel.MEMORY_AND_DISK)  # the iterations read the edges again and again
     try:
+        if stored.isEmpty():  # the learner itself fails on a graph without edges
+            return edges.sparkSession.createDataFrame([], "id bigint, cluster int")
         return learner.assignClusters(stored)
     finally:
         stored.unpersist()
