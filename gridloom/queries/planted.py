@@ -93,6 +93,30 @@ def m5_forest_signal(spark):
         points.unpersist()
 
 
+@query("m6_boosted_signal", STUMP_WORSE)
+def m6_boosted_signal(spark):
+    """Ten boosting steps make fewer errors than the best single cut."""
+    points = rows.labelled_points(sql(spark, SIGNAL_POINTS)).persist()
+    try:
+        errors = [metrics.test_error(score(model, points)).first()[0] for model in (
+            trees.train_boosted_classifier(points, iterations=10), trees.train_tree_classifier(points, max_depth=1))]
+        return spark.createDataFrame([(points.count(), errors[0] < errors[1])], "n bigint, better boolean")
+    finally:
+        points.unpersist()
+
+
+@query("m9_forest_signal", STUMP_WORSE)
+def m9_forest_signal(spark):
+    """A regression forest with the job's defaults leaves less error than the best single cut."""
+    points = rows.labelled_points(sql(spark, TARGET_POINTS)).persist()
+    try:
+        errors = [metrics.mean_squared_error(score(model, points)).first()[0] for model in (
+            trees.train_forest_regressor(points), trees.train_tree_regressor(points, max_depth=1))]
+        return spark.createDataFrame([(points.count(), errors[0] < errors[1])], "n bigint, better boolean")
+    finally:
+        points.unpersist()
+
+
 @query("m10_boosted_signal", STUMP_WORSE)
 def m10_boosted_signal(spark):
     """Twenty boosting steps leave less than half of the best single cut's error."""

@@ -139,3 +139,30 @@ def test_best_point_first_wins_and_start_value(spark):
     errors = spark.createDataFrame([("a", 0, 2e10), ("c", 0, 3.0), ("c", 1, 3.0)], "job string, idx int, value double")
     found = {r["job"]: (r["best"], r["value"]) for r in metrics.best_points(errors, False).collect()}
     assert found == {"a": (0, 1e10), "c": (0, 3.0)}
+
+
+def test_many_centres_assign_as_written_out_ones(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    xy = rng.integers(0, 5, size=(400, 3)).astype(float)  # whole numbers: many ties
+    centres = [*rng.integers(0, 5, size=(40, 3)).astype(float).tolist(), xy[0].tolist(), xy[0].tolist()]
+    frame = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(xy)], "id int, x array<double>")
+
+    def found():
+        nearest = metrics.nearest_centre(F.col("x"), centres)
+        return sorted(frame.select("id", nearest["cluster"], nearest["cost"]).collect())
+
+    monkeypatch.setattr(metrics, "WRITTEN_OUT_CENTRES", 10_000)
+    written = found()
+    monkeypatch.setattr(metrics, "WRITTEN_OUT_CENTRES", 0)
+    assert found() == written
+
+
+def test_similar_pairs_are_never_broadcast(spark):
+    points = spark.createDataFrame([(i, float(i), 0.0) for i in range(50)], "id bigint, x double, y double")
+    plan = pairs.similar_pairs(points, "id", ["x", "y"], 0.7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan
+
+
+def test_power_iteration_without_edges(spark):
+    edges = spark.createDataFrame([], "src bigint, dst bigint, weight double")
+    assert cluster.power_iteration(edges).count() == 0

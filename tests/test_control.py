@@ -41,3 +41,9 @@ def test_newest_path_counts_numbers_not_text(spark):
         "jobId string, appName string, savePath string, timestamp string")
     assert control.model_path(paths, "j") == "/new"
     assert control.model_path(paths, "none") == ""
+
+
+def test_control_characters_are_trimmed(spark):
+    rows = spark.createDataFrame([("j", "Step\n", "\t0.5\x01 "), ("j", "empty", "\n")],
+                                 "uuid string, key_name string, key_value string")
+    assert [tuple(r) for r in control.clean_parameters(rows).collect()] == [("j", "step", "0.5")]

@@ -122,6 +122,40 @@ def test_scored_labels_are_zero_or_one(spark, control):
     assert {r[0] for r in spark.table("score_svm").select("predictLabel").distinct().collect()} == {0.0, 1.0}
 
 
+def test_best_model_is_registered_and_scores(spark, control):
+    best = spark.table("mode_save_path_best")
+    for job, result in control.items():
+        if getattr(result, "best_model_path", None):
+            assert best.where((F.col("jobId") == job) & (F.col("savePath") == result.best_model_path)).count() == 1
+    jobs.run_scoring(spark, "score-svm", which="best")
+    with pytest.raises(ValueError):
+        jobs.run_scoring(spark, "score-svm", which="any")
+
+
+def test_ragged_lines_keep_every_field(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("a 1\nb 1 2 3 4\nc\n")
+    rows = jobs.training_input(spark, {"path": str(tmp_path)}).orderBy("c0").collect()
+    assert [tuple(r) for r in rows] == [("a", "1", None, None, None), ("b", "1", "2", "3", "4"),
+                                        ("c", None, None, None, None)]
+
+
+def test_database_from_the_dictionary(spark):
+    names = jobs.ControlTables(dictionary="dic_for_test")
+    assert jobs.job_database(spark, names, None) is None
+    spark.createDataFrame([(*jobs.DATABASE_ENTRY, "warehouse_db")],
+                          "PARENT_DIC_TYPE string, DIC_NAME string, dic_value string") \
+        .write.mode("overwrite").saveAsTable("dic_for_test")
+    assert jobs.job_database(spark, names, None) == "warehouse_db"
+    assert jobs.job_database(spark, names, "given") == "given"
+
+
+def test_names_of_measures_in_messages():
+    from gridloom.plans.algorithms import ALGORITHMS
+    shown = {i: ALGORITHMS[i].point_metric(ALGORITHMS[i].metric) for i in (1, 2, 3, 4, 5, 6, 7, 11, 12, 13)}
+    assert shown == {1: "F_measure", 2: "F_measure", 3: "F_measure", 4: "f_measure", 5: "f_measure", 6: "f_measure",
+                     7: "mse", 11: "mse", 12: "rmse", 13: "F_measure"}
+
+
 def test_runs_are_recorded(spark, control):
     current = {r["jobId"]: r["appId"] for r in tables.current_runs(spark.table("applicationID")).collect()}
     assert current["svm"] == spark.sparkContext.applicationId and set(JOBS) <= set(current)

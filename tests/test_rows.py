@@ -98,3 +98,19 @@ def test_libsvm_files(spark, tmp_path):
     (tmp_path / "points.txt").write_text("1 1:2.5 3:1\n0 2:4\n")
     found = {r["label"]: list(r["features"].toArray()) for r in files.read_libsvm(spark, str(tmp_path), 3).collect()}
     assert found == {1.0: [2.5, 0.0, 1.0], 0.0: [0.0, 4.0, 0.0]}
+
+
+def test_fine_ratios_and_null_keys(spark):
+    keys = spark.range(20_000).select(F.col("id").cast("string").alias("key")).unionByName(
+        spark.range(3).select(F.lit(None).cast("string").alias("key")))
+    for ratio in (0.9996, 0.0004, 0.5):
+        train, test = split.split_by_key(keys, ratio)
+        assert train.count() > 0 and test.count() > 0
+        assert train.count() + test.count() == 20_003
+
+
+def test_keyed_batches_do_not_depend_on_the_partitioning(spark):
+    keys = spark.range(2000).select(F.col("id").cast("string").alias("key"))
+    one = split.mini_batch(keys, 0.3, 2, key="key").collect()
+    assert sorted(one) == sorted(split.mini_batch(keys.repartition(7), 0.3, 2, key="key").collect())
+    assert sorted(one) != sorted(split.mini_batch(keys, 0.3, 3, key="key").collect()) and 500 < len(one) < 700
