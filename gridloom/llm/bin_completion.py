@@ -105,7 +105,8 @@ def fillings(lengths: list[int], counts: dict[int, int], room: int, waste: int)
             break
         if counts.get(other, 0) > (other == n):
             found.add((n, other))
-    ranked = sorted((f for f in found if room - sum(f) <= waste or f == whole), key=lambda f: (-sum(f), len(f), [-x for x in f]))
+    full = (f for f in found if room - sum(f) <= waste or f == whole)
+    ranked = sorted(full, key=lambda f: (-sum(f), len(f), [-x for x in f]))
     kept: list[tuple[int, ...]] = []
     for f in ranked:
         if not any(len(k) <= len(f) and _dominates(k, f) for k in kept):

@@ -26,7 +26,9 @@ RATIO, LEAST, WHOLE = 0.02, 5, 0.5
 SALTS = 32
 BROADCAST_ROWS = 20_000  # boilerplate lines (16 bytes each) that a broadcast may hold
 
-_BLOCK = r"(?i)</?(?:html|head|body|title|nav|div|article|section|header|footer|aside|main|h[1-6]|p|br|hr|ul|ol|li|dl|dt|dd|table|tr|td|th|blockquote|pre|form)(?:\s[^>]*)?/?>"
+# Elements that start a line of their own: fixed values.
+_BLOCK = (r"(?i)</?(?:html|head|body|title|nav|div|article|section|header|footer|aside|main|h[1-6]|p|br|hr|ul|ol|li"
+          r"|dl|dt|dd|table|tr|td|th|blockquote|pre|form)(?:\s[^>]*)?/?>")
 _UNSEEN = r"(?is)<(?:script|style)[^>]*>.*?</(?:script|style)>|<!--.*?-->"
 HTML_STEPS = ((_UNSEEN, " "), (_BLOCK, "\n"), (r"<[^>]*>", ""))
 SPACES = " \t\n\x0b\x0c\r"
