@@ -13,7 +13,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.categories import feature_width
 from gridloom.operators.metrics import accuracy, cluster_sizes, nearest_centre
 from gridloom.operators.reduce import Components, fit_components
 from gridloom.operators.relabel import relabel
