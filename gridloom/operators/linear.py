@@ -115,7 +115,11 @@ def _column_gradients(batch: DataFrame, points: Sequence[_Point], loss: str, wid
 
 def _array_gradients(batch: DataFrame, points: Sequence[_Point], loss: str, width: int,
                      intercept: bool) -> list[np.ndarray]:
-    """The same for wide features: one matrix product per Arrow batch, summed in Spark."""
+    """The same for wide features: one matrix product per Arrow batch.
+
+    Each task gives one array of sums. They are added up in a tree: about the root of the number of
+    tasks meets in one task, and as many arrays come to the driver.
+    """
     size = width + int(intercept)
     matrix = np.stack([point.weights for point in points], axis=1)
 
@@ -136,16 +140,26 @@ def _array_gradients(batch: DataFrame, points: Sequence[_Point], loss: str, widt
                 slope = np.where(sign * margin < 1.0, -sign, 0.0)
             total += slope.T @ x
             rows += len(x)
-        index = np.arange(total.size)
-        yield pd.DataFrame({"idx": index, "part": total.ravel(), "rows": rows})
+        yield pd.DataFrame({"part": [total.ravel()], "rows": [rows]})
 
-    sums = (batch.select("label", "x").mapInPandas(partial, "idx int, part double, rows bigint")
-            .groupBy("idx").agg(F.sum("part").alias("part"), F.sum("rows").alias("rows")))
-    ordered = sorted(sums.collect(), key=lambda r: r["idx"])
-    if not ordered or not ordered[0]["rows"]:
+    def added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, rows = np.zeros(len(points) * size), 0
+        for frame in frames:
+            for part in frame["part"]:
+                total += part
+            rows += int(frame["rows"].sum())
+        yield pd.DataFrame({"part": [total], "rows": [rows]})
+
+    shape = "part array<double>, rows bigint"
+    sums = batch.select("label", "x").mapInPandas(partial, shape)
+    branches = math.isqrt(sums.rdd.getNumPartitions())
+    if branches > 3:
+        sums = sums.repartition(branches).mapInPandas(added, shape)
+    found = sums.collect()
+    rows = sum(r["rows"] for r in found)
+    if not rows:
         return []
-    values = np.array([r["part"] for r in ordered]).reshape(len(points), size)
-    return list(values / ordered[0]["rows"])
+    return list(np.sum([r["part"] for r in found], axis=0).reshape(len(points), size) / rows)
 
 
 # Above this many features the matrix of second moments is too large for the driver.
@@ -198,14 +212,14 @@ def _descend_by_moments(rows: DataFrame, points: Sequence[_Point], width: int, s
 
 def descend(rows: DataFrame, loss: str, grid: Sequence[tuple[float, float]], iterations: int = 100,
             reg_type: str = "l2", intercept: bool = True, tol: float = 0.001,
-            fraction: float = 1.0) -> list[LinearModel]:
+            fraction: float = 1.0, moment_limit: int = MOMENT_LIMIT) -> list[LinearModel]:
     """Gradient descent for every ``(step, regularisation)`` point of the grid at once.
 
-    Least squares on all rows takes a single pass. Otherwise each iteration is one
-    aggregate over the stored rows that serves all points still moving, so a grid
-    costs as many passes as its slowest point. Only sums and weights come to the
-    driver. Up to ``WRITTEN_OUT`` sums are plain columns of
-    the aggregate; wider problems go through one matrix product per Arrow batch.
+    Least squares on all rows takes a single pass for up to ``moment_limit`` features (the driver holds
+    that number squared). Otherwise each iteration is one aggregate over the stored rows that serves
+    the points still moving; where the sums of all points are more than ``WRITTEN_OUT``, several
+    aggregates of that many columns. More features than that go through one matrix product per
+    Arrow batch for all points. Only sums and weights come to the driver.
     """
     width = feature_width(rows)
     size = width + int(intercept)
@@ -213,7 +227,7 @@ def descend(rows: DataFrame, loss: str, grid: Sequence[tuple[float, float]], ite
     if intercept:
         start[width] = START_INTERCEPT
     points = [_Point(float(s), float(r), start.copy()) for s, r in grid]
-    if loss == SQUARED and fraction >= 1.0 and width <= MOMENT_LIMIT:
+    if loss == SQUARED and fraction >= 1.0 and width <= moment_limit:
         _descend_by_moments(rows, points, width, size, iterations, reg_type.lower(), tol)
     else:
         _descend_by_passes(rows, points, loss, width, size, iterations, reg_type.lower(), tol, fraction)

@@ -73,6 +73,19 @@ def test_wide_features_by_matrix_product(points, monkeypatch):
         assert np.allclose([*a.weights, a.intercept], [*b.weights, b.intercept], atol=1e-10)
 
 
+def test_wide_sums_are_added_in_a_tree(points, monkeypatch):
+    monkeypatch.setattr(linear, "WRITTEN_OUT", 0)
+    few = linear.descend(points.coalesce(1), linear.HINGE, [(1.0, 0.01)], 3, tol=0.0)[0]
+    many = linear.descend(points.repartition(30), linear.HINGE, [(1.0, 0.01)], 3, tol=0.0)[0]
+    assert many.weights == pytest.approx(few.weights, abs=1e-12)
+
+
+def test_moment_limit_is_an_argument(points):
+    one = linear.descend(points, linear.SQUARED, [(0.5, 0.0)], 5, tol=0.0)[0]
+    two = linear.descend(points, linear.SQUARED, [(0.5, 0.0)], 5, tol=0.0, moment_limit=0)[0]
+    assert two.weights == pytest.approx(one.weights, abs=1e-9)
+
+
 def test_mini_batches_still_find_the_signal(points):
     model = linear.train_svm(points, fraction=0.5, iterations=30)
     hits = model.transform(points).where("label = prediction").count()
