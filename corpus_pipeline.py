@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import stored, table
+from gridloom.llm.common import ids_side, stored, table
 from gridloom.llm.decontaminate import decontaminate
 from gridloom.llm.near_dups import near_duplicates
 from gridloom.llm.q10_packing import packed
@@ -53,7 +53,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ids = found.filter("doc_id is not null").groupBy("doc_id").agg(
         F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    rest = docs.join(ids.filter(~F.col("kept")).select("doc_id"), "doc_id", "left_anti").select(*names)
+    gone = stored(ids.filter(~F.col("kept")).select("doc_id"), "gone")
+    rest = docs.join(ids_side(gone), "doc_id", "left_anti").select(*names)
     repeated = ids.filter((F.col("n") > 1) & F.col("kept")).select("doc_id")
     if repeated.isEmpty():
         return rest

@@ -30,6 +30,14 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+BROADCAST_IDS = 1 << 20
+
+
+def ids_side(ids: DataFrame) -> DataFrame:
+    """A stored table of ids for a join with long rows: broadcast up to a million ids, else by shuffle."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
 def free_name(frame: DataFrame, wanted: str) -> str:
     """``wanted``, with underscores in front while the frame has a column of that name."""
     taken = {c.lower() for c in frame.columns}

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import stored
+from gridloom.llm.common import ids_side, stored
 from gridloom.llm.components import components
 from gridloom.llm.sketches import REGISTERS, band_keys, estimate, registers, shingle_hashes
 from gridloom.llm.words import IS_SPACE, mix, rows_of, slices, take_ranges, word_hashes, word_spans
@@ -240,9 +240,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     entries = stored(bands.join(shared, "key"), "bands")
 
-    heads = entries.select("cls").distinct().join(base.select("cls", "doc_id"), "cls") \
-        .groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    texts = rows.join(heads.select("doc_id").distinct(), "doc_id")
+    heads = stored(entries.select("cls").distinct().join(base.select("cls", "doc_id"), "cls")
+                   .groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "heads")
+    texts = rows.join(ids_side(heads.select("doc_id")), "doc_id", "left_semi")
     sets = stored(sketched(texts, width, sets=True).filter("cls is not null").join(heads, ["cls", "doc_id"], "left_semi")
                   .dropDuplicates(["cls"]).select("cls", "n_shingles", "sketch", "shingles"), "sets")
 
