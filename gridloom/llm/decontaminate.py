@@ -31,7 +31,7 @@ from gridloom.llm.words import NOT_ALNUM, rows_of, slices, take_ranges, word_has
 
 WIDTH = 10
 BLOCK_BYTES = 16 << 20
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 8 << 20
 _HITS = 1 << 20  # occurrences located at once
 
 
