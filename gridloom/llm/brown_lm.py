@@ -1,12 +1,20 @@
 """Brown class-based bigram model: classes by exchange, class transitions times word emissions.
 
 Training counts every word of every training text (A-Z in lower case, words between white
-space, one end a text). Three tables are bounded and go to all tasks: the symbols (at most
-``SYMBOLS`` most frequent words, and a shape for every other word), their classes, and the
-counts of at most ``FREQUENT`` frequent words. All further counts stay in a table of the whole
-vocabulary, which texts reach by a join on their rarer words only. That split
-changes where a count is read, not the score: the word of a rare count has the class of
-its shape, so transitions need no look-up.
+space, one end a text). Every word of the vocabulary has its class by exchange:
+
+* The ``SYMBOLS`` most frequent words, and a shape for every other word, are clustered one
+  after another. This is the start: each other word has the class of its shape.
+* Then rounds over the whole vocabulary. The contexts of all other words are a table in Spark,
+  one row a word. In a round each word moves in a task to the class that suits its contexts
+  best under the table of class bigrams, and the symbols move one after another against
+  the classes of all words. The rounds end when the likelihood of the class bigrams no
+  longer rises by ``LEAST_RISE`` of itself; the best classes are kept.
+
+Counts and classes of at most ``FREQUENT`` frequent words go to all tasks, those of all
+further words stay in tables that contexts and texts reach by a join on their rarer words
+only. That split changes where a count or class is read, not the score. A word that training
+has not seen has the class that suits the contexts of the words of its shape best.
 
 P(word | previous) = P(class | previous class) * P(word | class), with Witten-Bell
 interpolation of the transitions and 0.1 added to all counts of emissions, for known and
@@ -19,18 +27,23 @@ every count is zero. Only id and text are read.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import stored
-from gridloom.llm.exchange import exchange
+from gridloom.llm.exchange import exchange, information
 from gridloom.llm.words import IS_SPACE, LOWER, mix, rows_of, slices, word_hashes, word_spans
 
 SYMBOLS, FREQUENT, CLASSES = 1000, 1 << 19, 64
 ADDED = 0.1
+ROUNDS, LEAST_RISE = 12, 1e-3  # rounds over the vocabulary: a bound that runs seldom reach
+_KEY_BITS, _CONTEXT_BITS, _VECTOR_BITS = 21, 10, 19  # places among the frequent words have 20 bits
+_EXACT = 1 << 16  # log ratios are whole parts of 1 / _EXACT: their sums do not depend on the order
 SHAPES = 32
 END = int(mix(np.array([0xE0D], np.uint64)).view(np.int64)[0])
 _FLUSH = 1 << 21
@@ -98,17 +111,22 @@ def _band() -> Column:
 
 
 class Tables:
-    """What every task holds: frequent words with counts, symbols, classes and their probabilities."""
+    """What every task holds: frequent words with counts, symbols, classes and their probabilities.
+
+    Codes of the contexts: the symbols, a code for the other words of each class, the end.
+    """
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, n_symbols: int):
         order = np.argsort(words)
         self.words, self.counts = words[order], counts[order]
         place = np.full(len(words), -1, np.int64)
         place[:n_symbols] = np.arange(n_symbols)
-        self.symbol = place[order]  # -1: by shape
+        self.symbol = place[order]  # -1: no symbol
+        self.ending = self.words == END
+        self.symbol[self.ending] = -1
+        self.other = (self.symbol < 0) & ~self.ending
         self.n_symbols = n_symbols
-        self.end = n_symbols + SHAPES
-        self.classes: np.ndarray | None = None
+        self.end = n_symbols + CLASSES
 
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each word among the frequent ones, and whether it is one."""
@@ -118,32 +136,56 @@ class Tables:
         return at, self.words[at] == words
 
     def symbols(self, at: np.ndarray, known: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+        """Symbol of each word, and behind the symbols its shape."""
         if not len(self.words):
             return self.n_symbols + shapes
         own = np.where(known, self.symbol[at], -1)
         return np.where((own >= 0) & (shapes < SHAPES), own, self.n_symbols + shapes)
 
-    def fit(self, pairs: np.ndarray, class_tokens: np.ndarray, class_words: np.ndarray) -> None:
-        """Log probabilities from the symbol bigrams and, by symbol, the tokens and distinct words."""
+    def classify(self, code_classes: np.ndarray, own: np.ndarray) -> None:
+        """Set the classes: of the codes, and of the frequent words that are no symbols."""
+        self.code_classes = code_classes
+        self.classes = np.where(self.symbol >= 0, code_classes[self.symbol], own)
+        self.classes[self.ending] = CLASSES
+        self.codes = np.where(self.symbol >= 0, self.symbol, self.n_symbols + self.classes)
+
+    def fit(self, table: np.ndarray, class_words: np.ndarray) -> None:
+        """Log probabilities from the class bigrams and the distinct words of each class."""
         size = CLASSES + 1
-        member = np.zeros((len(pairs), size))
-        member[np.arange(len(pairs)), self.classes] = 1.0
-        table = member.T @ pairs @ member
         left, right = table.sum(1), table.sum(0)
         any_class = (right + ADDED) / (right.sum() + ADDED * size)
         follow = (table > 0).sum(1)
         mixed = np.maximum(left + follow, 1)[:, None]
         self.transition = np.log10(np.where(left[:, None] > 0, (table + follow[:, None] * any_class) / mixed, any_class))
-        tokens = np.bincount(self.classes, class_tokens, size)
-        words = np.bincount(self.classes, class_words, size)
-        self.emission = np.log10(tokens + ADDED * (words + 1))
+        self.emission = np.log10(right + ADDED * (class_words + 1))
+
+    def moves(self, classes: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        """For each text the sum of its transitions, less the sizes of its classes."""
+        before = np.empty_like(classes)
+        before[1:] = classes[:-1]
+        before[cut[:-1]] = CLASSES
+        return np.add.reduceat(self.transition[before, classes] - self.emission[classes], cut[:-1])
+
+
+def _class_table(pairs: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    member = np.zeros((len(pairs), CLASSES + 1))
+    member[np.arange(len(pairs)), classes] = 1.0
+    return member.T @ pairs @ member
+
+
+def _ratios(table: np.ndarray) -> np.ndarray:
+    """What a context of each side and class is worth to each class: ``[side * (CLASSES + 1) + class, class]``."""
+    smooth = table + ADDED
+    ratio = np.log(smooth / smooth.sum(1)[:, None] / smooth.sum(0) * smooth.sum())
+    return np.rint(np.vstack([ratio[:, :CLASSES], ratio.T[:, :CLASSES]]) * _EXACT)
 
 
 def _count_pairs(rows: DataFrame, held) -> DataFrame:
     """``pair, n``: bigrams of symbols, the first of a text after the end symbol."""
     def scan(batches):
         tables = held.value
-        size = tables.end + 1
+        end = tables.n_symbols + SHAPES
+        size = end + 1
         counts = np.zeros(size * size, np.int64)
         for batch in batches:
             for _, _, words, shapes, cut in _tokens(batch.column(0)):
@@ -151,7 +193,7 @@ def _count_pairs(rows: DataFrame, held) -> DataFrame:
                 symbols = tables.symbols(at, known, shapes)
                 before = np.empty_like(symbols)
                 before[1:] = symbols[:-1]
-                before[cut[:-1]] = tables.end
+                before[cut[:-1]] = end
                 code, n = np.unique(before * size + symbols, return_counts=True)
                 counts[code] += n
         code = np.flatnonzero(counts)
@@ -160,38 +202,326 @@ def _count_pairs(rows: DataFrame, held) -> DataFrame:
     return rows.select("text").mapInArrow(scan, "pair bigint, n bigint")
 
 
-def _local_scores(rows: DataFrame, held) -> DataFrame:
-    """What the bounded tables say of each text, and its rarer words with their counts in the text."""
+def _packed(key: np.ndarray, n: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries ``key << bits | count`` that sum to the counts ``n``, and the key's place each one is of."""
+    most = (1 << bits) - 1
+    times = np.maximum(-(-n // most), 1)
+    place = np.repeat(np.arange(len(key)), times)
+    counts = np.full(len(place), most, np.int64)
+    counts[np.cumsum(times) - 1] = n - (times - 1) * most
+    return place, (key[place] << bits | counts).astype(np.int32)
+
+
+def _entries(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, key and count of each packed entry of a column of lists."""
+    flat = np.asarray(column.flatten()).astype(np.int64)
+    return np.repeat(np.arange(len(column)), np.asarray(column.value_lengths())), flat >> bits, flat & ((1 << bits) - 1)
+
+
+def _list(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+
+
+def _contexts(rows: DataFrame, held) -> DataFrame:
+    """``word, around, before, behind``: neighbours of each word that is no symbol, summed as far as a task sees.
+
+    ``around`` has the frequent neighbours, packed: place among the frequent words times two, plus
+    one for those behind. ``before`` and ``behind`` are the rare ones, as often as they come.
+    """
+    def scan(batches):
+        tables = held.value
+        codes, pairs, rare = [], [], [[], []]
+
+        def out():
+            none = np.zeros(0, np.int64)
+            mine, keys = (np.concatenate([none, *x]) for x in (zip(*pairs) if pairs else ([], [])))
+            own, which = np.unique(mine, return_inverse=True)
+            code, n = np.unique(np.concatenate([none, *codes, (which + len(tables.words)) << _KEY_BITS | keys]),
+                                return_counts=True)
+            place, packed = _packed(code & ((1 << _KEY_BITS) - 1), n, _CONTEXT_BITS)
+            word = (code >> _KEY_BITS)[place]
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else none
+            empty = np.zeros(len(first) + 1, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([tables.words, own])[word[first]]), _list(np.append(first, len(word)), packed),
+                 _list(empty, none), _list(empty, none)], names=names)
+            for side in (0, 1):
+                mine, others = (np.concatenate([none, *x]) for x in (zip(*rare[side]) if rare[side] else ([], [])))
+                order = np.argsort(mine, kind="stable")
+                word, first = np.unique(mine[order], return_index=True)
+                empty, full = np.zeros(len(word) + 1, np.int64), np.append(first, len(mine))
+                lists = [_list(full, others[order]), _list(empty, none)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(word), _list(empty, none.astype(np.int32)), lists[side], lists[1 - side]], names=names)
+            codes.clear(), pairs.clear(), rare[0].clear(), rare[1].clear()
+
+        names, size = ["word", "around", "before", "behind"], 0
+        for batch in batches:
+            for _, _, words, _, cut in _tokens(batch.column(0)):
+                at, known = tables.find(words)
+                last = cut[1:] - 1
+                # the end, which every text has, is before its first word
+                before = np.arange(-1, len(words) - 1)
+                before[cut[:-1]] = last
+                inner = np.ones(len(words), bool)
+                inner[last] = False
+                moving = np.flatnonzero(inner & (~known | tables.other[at]))
+                for side, near in enumerate((before[moving], moving + 1)):
+                    key = at[near] * 2 + side
+                    both = known[near] & known[moving]
+                    codes.append(at[moving[both]] << _KEY_BITS | key[both])
+                    half = known[near] & ~known[moving]
+                    pairs.append((words[moving[half]], key[half]))
+                    hidden = ~known[near]
+                    rare[side].append((words[moving[hidden]], words[near[hidden]]))
+                size += 2 * len(moving)
+                if size > 2 * _FLUSH:
+                    yield from out()
+                    size = 0
+        if size:
+            yield from out()
+
+    return rows.select("text").mapInArrow(
+        scan, "word bigint, around array<int>, before array<bigint>, behind array<bigint>")
+
+
+def _grouped(contexts: DataFrame) -> DataFrame:
+    """The contexts with one row for each word."""
+    def scan(batches):
+        left = None
+
+        def out(columns):
+            word = np.asarray(columns[0])
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            lists = []
+            for column in columns[1:]:
+                bounds = np.concatenate([[0], np.cumsum(np.asarray(column.value_lengths()))])
+                lists.append(_list(np.append(bounds[first], bounds[-1]), np.asarray(column.flatten())))
+            return pa.RecordBatch.from_arrays([pa.array(word[first]), *lists],
+                                              names=["word", "around", "before", "behind"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = batch.columns
+            if left is not None:
+                columns = [pa.concat_arrays(x) for x in zip(left, columns)]
+            word = np.asarray(columns[0])
+            last = int(np.searchsorted(word, word[-1]))  # the last word may go on in the next batch
+            if last:
+                yield out([c.slice(0, last) for c in columns])
+            left = [c.slice(last) for c in columns]
+        if left is not None:
+            yield out(left)
+
+    return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(scan, contexts.schema)
+
+
+def _vectors(contexts: DataFrame, held, rare: DataFrame | None) -> DataFrame:
+    """``word, rare_class, around``: counts of each word by side and code of its neighbours under the present classes.
+
+    The entries are packed. ``rare_class`` is the class of a word that is not a frequent one.
+    """
+    tables = held.value
+    size, n_symbols = tables.end + 1, tables.n_symbols
+
+    def scan(batches):
+        codes = held.value.codes
+        for batch in batches:
+            row, key, n = _entries(batch.column(1), _CONTEXT_BITS)
+            code, which = np.unique(row * (2 * size) + (key & 1) * size + codes[key >> 1], return_inverse=True)
+            sums = np.bincount(which, n, len(code)).astype(np.int64)
+            place, packed = _packed(code % (2 * size), sums, _VECTOR_BITS)
+            bounds = np.searchsorted(code[place], np.arange(batch.num_rows + 1) * (2 * size))
+            yield pa.RecordBatch.from_arrays([batch.column(0), _list(bounds, packed)], names=["word", "around"])
+
+    found = contexts.select("word", "around").mapInArrow(scan, "word bigint, around array<int>")
+    if rare is None:
+        return found.select("word", F.lit(-1).alias("rare_class"), "around")
+    # classes of rare words come by joins: for their neighbours and for the words themselves
+    sides = [contexts.select("word", F.explode(c).alias("other"), F.lit(i).alias("side"))
+             for i, c in enumerate(("before", "behind"))]
+    key = ((F.col("side") * size + n_symbols + F.col("class")) * (1 << _VECTOR_BITS)).cast("int")
+    most = (1 << _VECTOR_BITS) - 1
+    sent = sides[0].union(sides[1]).join(rare.withColumnRenamed("word", "other"), "other") \
+        .groupBy("word", key.alias("key")).agg(F.count(F.lit(1)).alias("n")) \
+        .select("word", F.concat(F.array_repeat(F.col("key") + most, F.floor(F.col("n") / most).cast("int")),
+                                 F.array((F.col("key") + F.col("n") % most).cast("int"))).alias("around"))
+    return found.union(sent).groupBy("word").agg(F.flatten(F.collect_list("around")).alias("around")) \
+        .join(rare.withColumnRenamed("class", "rare_class"), "word", "left") \
+        .select("word", F.coalesce("rare_class", F.lit(-1)).alias("rare_class"), "around")
+
+
+def _count_codes(vectors: DataFrame, held) -> DataFrame:
+    """``pair, n``: bigrams of codes in which a word that is no symbol takes part."""
+    def scan(batches):
+        tables = held.value
+        size = tables.end + 1
+        counts = np.zeros(size * size, np.int64)
+        for batch in batches:
+            row, key, n = _entries(batch.column(2), _VECTOR_BITS)
+            at, known = tables.find(np.asarray(batch.column(0)))
+            own = np.where(known, tables.classes[at], np.asarray(batch.column(1)))[row] + tables.n_symbols
+            side, code = np.divmod(key, size)
+            # a word behind that is no symbol counts the pair itself, in its own row
+            once = (side == 0) | (code < tables.n_symbols) | (code == tables.end)
+            pair = np.where(side == 0, code * size + own, own * size + code)[once]
+            code, which = np.unique(pair, return_inverse=True)
+            counts[code] += np.bincount(which, n[once], len(code)).astype(np.int64)
+        code = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(counts[code])], names=["pair", "n"])
+
+    return vectors.mapInArrow(scan, "pair bigint, n bigint")
+
+
+def _best_classes(vectors: DataFrame, held, ratios) -> DataFrame:
+    """``word, class, rare``: for each word the class that suits its neighbours best."""
     def scan(batches):
         tables = held.value
+        side_class = np.concatenate([tables.code_classes, tables.code_classes + CLASSES + 1])
+        for batch in batches:
+            row, key, n = _entries(batch.column(2), _VECTOR_BITS)
+            width = 2 * (CLASSES + 1)
+            around = np.bincount(row * width + side_class[key], n, batch.num_rows * width).reshape(-1, width)
+            best = np.argmax(around @ ratios.value, axis=1).astype(np.int32)
+            _, known = tables.find(np.asarray(batch.column(0)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best), pa.array(~known)],
+                                             names=["word", "class", "rare"])
+
+    return vectors.mapInArrow(scan, "word bigint, class int, rare boolean")
+
+
+def _square(found: pa.Table, size: int) -> np.ndarray:
+    table = np.zeros(size * size)
+    table[np.asarray(found["pair"])] = np.asarray(found["n"])
+    return table.reshape(size, size)
+
+
+def _forget(spark) -> None:
+    """Let Spark delete the shuffle files of frames that are no longer held: a round needs those of its own only."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def _cluster(train: DataFrame, tables: Tables, shapes: np.ndarray, rare_words: DataFrame | None):
+    """Set the classes of ``tables``; give the class bigrams, the class of each shape and ``word, class`` of rare words.
+
+    ``shapes`` are the shapes of the frequent words, in the order of ``tables.words``.
+    """
+    spark = train.sparkSession
+    n_symbols, size = tables.n_symbols, tables.end + 1
+    held = spark.sparkContext.broadcast(tables)
+    seed = _square(_count_pairs(train, held).groupBy("pair").agg(F.sum("n").alias("n")).toArrow(), n_symbols + SHAPES + 1)
+    start = exchange(seed, CLASSES, n_symbols + SHAPES)
+    fixed = np.r_[np.arange(n_symbols), n_symbols + SHAPES]  # symbols and the end
+    base = np.zeros((size, size))
+    into = np.r_[np.arange(n_symbols), tables.end]
+    base[np.ix_(into, into)] = seed[np.ix_(fixed, fixed)]
+    shape_classes = start[n_symbols:]
+    tables.classify(np.r_[start[:n_symbols], np.arange(CLASSES + 1)], shape_classes[shapes])
+
+    contexts, rare = stored(_grouped(_contexts(train, held)), "contexts"), None
+    if rare_words is not None:
+        by_shape = F.array(*[F.lit(int(c)) for c in shape_classes])
+        rare = rare_words.select("word", F.element_at(by_shape, F.col("shape").cast("int") + 1).alias("class"))
+
+    _forget(spark)
+    best, kept = -np.inf, None
+    for turn in range(ROUNDS + 1):
+        held = spark.sparkContext.broadcast(tables)
+        vectors = _vectors(contexts, held, rare).persist(StorageLevel.DISK_ONLY)
+        found = _count_codes(vectors, held).groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+        pairs = base + _square(found, size)
+        codes = exchange(pairs, CLASSES, tables.end, 2, tables.code_classes, n_symbols)
+        tables.classify(codes, tables.classes)
+        table = _class_table(pairs, codes)
+        reached = information(table)
+        if reached > best:
+            rises = turn == 0 or reached - best > LEAST_RISE * abs(best)
+            best, kept = reached, (codes, tables.classes, rare, table)
+        else:
+            rises = False
+        if not rises or turn == ROUNDS:
+            vectors.unpersist()
+            break
+        moved = spark.sparkContext.broadcast(tables)
+        chosen = _best_classes(vectors, moved, spark.sparkContext.broadcast(_ratios(table)))
+        if rare is not None:
+            chosen = stored(chosen, "classes")
+            rare = chosen.filter("rare").select("word", "class")
+        own = chosen.filter("NOT rare").select("word", "class").toArrow()
+        vectors.unpersist()
+        vectors = chosen = None
+        _forget(spark)
+        classes = tables.classes.copy()
+        classes[tables.find(np.asarray(own["word"]))[0]] = np.asarray(own["class"])
+        tables.classify(codes, classes)
+    codes, classes, rare, table = kept
+    tables.classify(codes, classes)
+    # a shape has the class that suits its neighbours among the symbols best
+    ratios, width = _ratios(table), CLASSES + 1
+    symbol_classes = codes[into]
+    around = np.zeros((SHAPES, 2 * width))
+    for side, counts in enumerate((seed[fixed, n_symbols:-1].T, seed[n_symbols:-1, fixed])):
+        for symbol, own_class in enumerate(symbol_classes):
+            around[:, side * width + own_class] += counts[:, symbol]
+    return table, np.append(np.argmax(around @ ratios, axis=1), CLASSES), rare
+
+
+def _local_scores(rows: DataFrame, held) -> DataFrame:
+    """What the frequent words say of each text, and its rarer words: ``rare`` at the places ``at``.
+
+    In ``moves`` and ``classes`` a rarer word has the class of its shape.
+    """
+    def scan(batches):
+        tables, shape_classes = held.value
         key = TaskContext.get().partitionId() << 33
         for batch in batches:
             for first, last, words, shapes, cut in _tokens(batch.column(2)):
                 at, known = tables.find(words)
-                classes = tables.classes[tables.symbols(at, known, shapes)]
-                before = np.empty_like(classes)
-                before[1:] = classes[:-1]
-                before[cut[:-1]] = tables.classes[tables.end]
-                moves = tables.transition[before, classes] - tables.emission[classes]
-                logs = np.where(known, np.log10(tables.counts[at] + ADDED) if len(tables.words) else 0.0, 0.0)
-                sums = [np.add.reduceat(x, cut[:-1]) for x in (moves, logs, known.astype(np.int64))]
-                rare, times = [], []
-                hidden = np.concatenate([[0], np.cumsum(~known)])[cut]
-                others = words[~known]
-                for i in range(last - first):
-                    own, n = np.unique(others[hidden[i]: hidden[i + 1]], return_counts=True)
-                    rare.append(own)
-                    times.append(n)
-                rows_here = last - first
+                classes = shape_classes[shapes]
+                logs = np.zeros(len(words))
+                if len(tables.words):
+                    classes = np.where(known, tables.classes[at], classes)
+                    logs = np.where(known, np.log10(tables.counts[at] + ADDED), logs)
+                sums = [np.add.reduceat(x, cut[:-1]) for x in (logs, known.astype(np.int64))]
+                hidden = np.flatnonzero(~known)
+                offsets = pa.array(np.searchsorted(hidden, cut).astype(np.int32))
+                places = hidden - np.repeat(cut[:-1], np.diff(np.searchsorted(hidden, cut)))
+                n = last - first
+                text = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(cut.astype(np.int32)),
+                                                              pa.py_buffer(classes.astype(np.uint8))])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(key, key + rows_here)), batch.column(0).slice(first, rows_here),
-                     batch.column(1).slice(first, rows_here), pa.array(np.diff(cut)), *[pa.array(s) for s in sums],
-                     pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
-                    names=["key", "doc_id", "held_out", "n_tokens", "moves", "logs", "known", "rare", "times"])
-                key += rows_here
+                    [pa.array(np.arange(key, key + n)), batch.column(0).slice(first, n), batch.column(1).slice(first, n),
+                     pa.array(np.diff(cut)), pa.array(tables.moves(classes, cut)), *[pa.array(s) for s in sums], text,
+                     pa.ListArray.from_arrays(offsets, pa.array(words[hidden])),
+                     pa.ListArray.from_arrays(offsets, pa.array(places.astype(np.int64)))],
+                    names=["key", "doc_id", "held_out", "n_tokens", "moves", "logs", "known", "classes", "rare", "at"])
+                key += n
+
+    return rows.mapInArrow(scan, "key bigint, doc_id bigint, held_out boolean, n_tokens bigint, moves double, logs double, "
+                                 "known bigint, classes binary, rare array<bigint>, at array<bigint>")
+
 
-    return rows.mapInArrow(scan, "key bigint, doc_id bigint, held_out boolean, n_tokens bigint, moves double, "
-                                 "logs double, known bigint, rare array<bigint>, times array<bigint>")
+def _whole_scores(scored: DataFrame, held) -> DataFrame:
+    """Scores with the classes and counts of the rarer words that were found: ``around`` has places, classes, counts."""
+    def scan(batches):
+        tables, _ = held.value
+        for batch in batches:
+            cut = np.concatenate([[0], np.cumsum(np.asarray(batch.column(3)))])
+            classes = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).astype(np.int64)
+            found = batch.column(8)
+            lengths = np.asarray(found.value_lengths().fill_null(0))
+            row = np.repeat(np.arange(batch.num_rows), lengths)
+            place, own, n = (np.asarray(found.flatten().field(i)) for i in range(3))
+            classes[cut[row] + place] = own
+            gained = np.bincount(row, np.log10(n + ADDED), batch.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(tables.moves(classes, cut)), pa.array(np.asarray(batch.column(5)) + gained),
+                 pa.array(np.asarray(batch.column(6)) + lengths)], names=batch.schema.names[:7])
+
+    return scored.mapInArrow(scan, "key bigint, doc_id bigint, held_out boolean, n_tokens bigint, moves double, "
+                                   "logs double, known bigint")
 
 
 def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -207,41 +537,40 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
                         "vocabulary")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     bands = [(r[0], r[1]) for r in vocabulary.groupBy(_band()).count().collect()]
-    frequent, symbol = _least_count(bands, FREQUENT), _least_count(bands, SYMBOLS)
-    top = vocabulary.filter(_band() >= frequent).select("word", "n", "shape").toArrow().to_pydict()
-    words, counts, shapes = (np.array(top[c], np.int64) for c in ("word", "n", "shape"))
-    order = np.lexsort((words, -counts))
-    words, counts, shapes = words[order], counts[order], shapes[order]
-    n_symbols = int((np.floor(np.log2(np.maximum(counts, 1)) * _STEPS) >= symbol).sum())
-    tables = Tables(words, counts, n_symbols)
-
-    held = spark.sparkContext.broadcast(tables)
-    found = _count_pairs(train, held).groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    size = tables.end + 1
-    pairs = np.zeros(size * size)
-    pairs[np.asarray(found["pair"])] = np.asarray(found["n"])
-    pairs = pairs.reshape(size, size)
-    tables.classes = exchange(pairs, CLASSES, tables.end)
-    tokens = pairs.sum(0)
-    different = np.zeros(size)
-    different[:n_symbols] = 1
-    different[shapes[:n_symbols][shapes[:n_symbols] == SHAPES]] = 0
-    for shape, n in vocabulary.filter(_band() < symbol).groupBy("shape").count().collect():
-        different[n_symbols + shape] = n
-    different[tables.end] = 1
-    tables.fit(pairs, tokens, different)
-
-    scored = stored(_local_scores(rows, spark.sparkContext.broadcast(tables)), "scores")
-    rare = scored.select("key", F.explode(F.arrays_zip("rare", "times")).alias("r")) \
-        .select("key", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
-    counted = rare.join(vocabulary.filter(_band() < frequent).select("word", "n"), "word", "left")
-    sums = counted.groupBy("key").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(ADDED))).alias("rare_logs"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"))
-    logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
-    result = scored.drop("rare", "times").join(sums, "key", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+    frequent = _least_count(bands, FREQUENT)
+    top = {r["word"]: r for r in vocabulary.filter(_band() >= frequent).toArrow().to_pylist()}
+    most = vocabulary.filter(F.col("word") != END).orderBy(F.desc("n"), "word").limit(SYMBOLS).toArrow().to_pylist()
+    below = [r for r in [*most, *vocabulary.filter(F.col("word") == END).toArrow().to_pylist()] if r["word"] not in top]
+    symbols = {r["word"] for r in most}
+    top = [*most, *(r for r in [*top.values(), *below] if r["word"] not in symbols)]
+    words, counts, shapes = (np.array([r[c] for r in top], np.int64) for c in ("word", "n", "shape"))
+    tables = Tables(words, counts, len(most))
+    rare_words = None
+    if distinct > len(words):
+        rare_words = vocabulary.filter((_band() < frequent) & ~F.col("word").isin([r["word"] for r in below]))
+
+    table, shape_classes, rare = _cluster(train, tables, shapes[np.argsort(words)], rare_words)
+    different = np.bincount(tables.classes, minlength=CLASSES + 1).astype(float)
+    if rare is not None:
+        for own, n in rare.groupBy("class").count().collect():
+            different[own] += n
+    different[CLASSES] = 1
+    tables.fit(table, different)
+
+    held = spark.sparkContext.broadcast((tables, shape_classes))
+    scored = _local_scores(rows, held)
+    if rare is None:
+        scored = scored.drop("classes", "rare", "at")
+    else:
+        scored = stored(scored, "scores")
+        inside = scored.select("key", F.explode(F.arrays_zip("rare", "at")).alias("r")) \
+            .select("key", F.col("r.rare").alias("word"), F.col("r.at").alias("at"))
+        around = inside.join(rare.join(rare_words.select("word", "n"), "word"), "word").groupBy("key").agg(
+            F.collect_list(F.struct("at", "class", "n")).alias("around"))
+        scored = _whole_scores(scored.drop("rare", "at").join(around, "key", "left"), held)
+    logs = F.col("logs") + (F.col("n_tokens") - F.col("known")) * float(np.log10(ADDED))
+    result = scored.select(
+        "doc_id", "held_out", "n_tokens", F.col("known").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (logs - F.col("n_tokens") * float(np.log10(total + ADDED * (distinct + 1)))).alias("base_score"),
         (F.col("moves") + logs).alias("score"))

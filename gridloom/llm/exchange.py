@@ -9,21 +9,30 @@ def _f(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
 
-def exchange(pairs: np.ndarray, n_classes: int, fixed: int, rounds: int = 10) -> np.ndarray:
+def information(table: np.ndarray) -> float:
+    """Likelihood of the class bigrams ``table``, up to terms that no clustering changes."""
+    return float(_f(table).sum() - _f(table.sum(0)).sum() - _f(table.sum(1)).sum())
+
+
+def exchange(pairs: np.ndarray, n_classes: int, fixed: int, rounds: int = 10, start: np.ndarray | None = None,
+             held: int | None = None) -> np.ndarray:
     """The class of each symbol from the table ``pairs[left, right]`` of bigram counts.
 
     Symbol ``fixed`` keeps class ``n_classes`` for itself. The others start dealt by
-    frequency and move, one after another, to the class that raises the likelihood of the
-    class bigrams most, until a round moves none.
+    frequency, or from the classes ``start``, and move, one after another, to the class that
+    raises the likelihood of the class bigrams most, until a round moves none. Symbols from
+    ``held`` on keep the classes of ``start``.
     """
     n = len(pairs)
     pairs = pairs.astype(np.float64)
     weight = pairs.sum(0) + pairs.sum(1)
-    free = [int(s) for s in np.argsort(-weight, kind="stable") if s != fixed and weight[s] > 0]
-    classes = np.zeros(n, np.int64)
+    free = [int(s) for s in np.argsort(-weight, kind="stable")
+            if s != fixed and weight[s] > 0 and (held is None or s < held)]
+    classes = np.zeros(n, np.int64) if start is None else start.astype(np.int64)
     classes[fixed] = n_classes
-    for i, s in enumerate(free):
-        classes[s] = i % n_classes
+    if start is None:
+        for i, s in enumerate(free):
+            classes[s] = i % n_classes
     size = n_classes + 1
     member = np.zeros((n, size))
     member[np.arange(n), classes] = 1.0

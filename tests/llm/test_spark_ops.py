@@ -260,6 +260,29 @@ def test_probabilities_of_all_words_sum_to_one(spark, monkeypatch):
     assert 0 < ends + sum(first.values()) < 1
 
 
+@pytest.mark.parametrize("frequent", [1 << 19, 100])
+def test_words_beyond_the_symbols_have_classes_by_their_contexts(spark, monkeypatch, frequent):
+    # two groups of words of one shape take turns; almost all are beyond the symbols
+    monkeypatch.setattr(brown_lm, "SYMBOLS", 20)
+    monkeypatch.setattr(brown_lm, "FREQUENT", frequent)
+    rng = random.Random(5)
+    one, two = ([f"{c}{i:03d}x" for i in range(200)] for c in "ab")
+    texts = [" ".join(rng.choice(g) for _ in range(20) for g in (one, two)) for _ in range(400)]
+    turns = " ".join(w for i in range(100, 120) for w in (one[i], two[i]))
+    mixed = " ".join([*one[100:120], *two[100:120]])
+    held = [i for i in range(10_000, 10_100) if not nine_tenths(i)][:2]
+    frame = spark.createDataFrame([*enumerate(texts), (held[0], turns), (held[1], mixed)], "doc_id long, text string")
+    found = {r.doc_id: r for r in brown_lm.score(frame, held_out()).collect()}
+    assert found[held[0]].n_known == found[held[1]].n_known == 41
+    assert found[held[0]].score > found[held[1]].score + 10
+
+
+def test_packed_counts():
+    place, packed = brown_lm._packed(np.array([5, 7, 9]), np.array([3, 15, 16]), 4)
+    assert [(int(p), int(e) >> 4, int(e) & 15) for p, e in zip(place, packed)] == [
+        (0, 5, 3), (1, 7, 15), (2, 9, 15), (2, 9, 1)]
+
+
 def test_scores_cases(spark):
     found = brown_lm.score(cases(spark), held_out()).collect()
     assert len(found) == len(CASES) and all(np.isfinite(r.score) and r.score <= 0 for r in found)
