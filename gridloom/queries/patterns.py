@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.columns import bracketed
@@ -107,19 +108,32 @@ TYPES = ["click", "signup", "error", "purchase", "view"]
 SLOTS = 4
 
 
+def event_items(events):
+    """``event_type, item``: every type of the table; types beyond ``TYPES`` are numbered behind them by name."""
+    kind = F.col("event_type")
+    found = events.select(kind).filter(kind.isNotNull()).distinct()
+    further = found.filter(~kind.isin(TYPES)).select(
+        kind, (F.row_number().over(Window.orderBy(kind)) + len(TYPES)).alias("item"))
+    listed = F.coalesce(*[F.when(kind == t, F.lit(i + 1)) for i, t in enumerate(TYPES)])
+    return found.filter(kind.isin(TYPES)).select(kind, listed.alias("item")).union(further)
+
+
 def day_sequences(spark):
-    """One short sequence per user and day: at most four sets of at most five types.
+    """One short sequence per user and day: at most four sets of distinct types.
 
-    The flags are aggregated before anything is gathered, so a user with very
+    Repeated events are taken out before anything is shuffled, so a user with very
     many events is still one short row.
     """
     events = spark.table("events")
-    slot, kind = F.floor(F.hour("ts") / 6), F.col("event_type")
-    flags = [F.max(F.when((slot == s) & (kind == t), F.lit(i + 1))).alias(f"f{s}_{i}")
-             for s in range(SLOTS) for i, t in enumerate(TYPES)]
-    days = events.groupBy("user_id", F.to_date("ts").alias("day")).agg(*flags)
-    sets = [F.filter(F.array(*[F.col(f"f{s}_{i}") for i in range(len(TYPES))]), lambda x: x.isNotNull())
-            for s in range(SLOTS)]
+    items = events.join(event_items(events), "event_type", "left")
+    pair = F.struct(F.floor(F.hour("ts") / 6).cast("int").alias("slot"), "item")
+    days = items.groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        F.collect_set(F.when(F.col("item").isNotNull(), pair)).alias("found"))
+
+    def items_of(slot):
+        return F.array_sort(F.transform(F.filter("found", lambda x: x["slot"] == slot), lambda x: x["item"]))
+
+    sets = [items_of(s) for s in range(SLOTS)]
     return days.select(F.filter(F.array(*sets), lambda x: F.size(x) > 0).alias("sequence"))
 
 
@@ -143,7 +157,7 @@ found AS (
     GROUP BY 1)
 SELECT pattern, freq FROM found, n WHERE freq >= least""", uses="events")
 def m19_prefix_span(spark):
-    """Patterns of up to two items in the days of all users."""
-    found = patterns.sequential_patterns(day_sequences(spark), SEQUENCE_SUPPORT, max_length=2)
+    """Patterns of up to five items in the days of all users."""
+    found = patterns.sequential_patterns(day_sequences(spark), SEQUENCE_SUPPORT, max_length=5)
     sets = F.transform("sequence", lambda s: bracketed(F.array_sort(s).cast("array<string>")))
     return found.select(F.array_join(sets, "").alias("pattern"), "freq")

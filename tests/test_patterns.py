@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import patterns
+from gridloom.queries.patterns import m19_prefix_span
 
 
 def test_rules_from_given_itemsets(spark):
@@ -32,3 +33,15 @@ def test_itemsets_and_rules(spark):
 def test_confidence_zero_gives_no_rules(spark):
     baskets = spark.createDataFrame([(["a", "b"],)], "items array<string>")
     assert patterns.rules(patterns.mine_itemsets(baskets, 0.5, 0.0)).count() == 0
+
+
+def test_day_patterns_have_all_types_and_five_items(spark):
+    kinds = ["click", "signup", "deploy", "error", "alert", "click"]  # two types beyond the listed ones: 6 alert, 7 deploy
+    rows = [(u, f"2024-01-0{d} {h:02d}:30:00", k) for u in range(3) for d in (1, 2)
+            for k, h in zip(kinds, (1, 7, 8, 13, 19, 2))]
+    spark.createDataFrame(rows, "user_id long, ts string, event_type string") \
+        .withColumn("ts", F.to_timestamp("ts")).createOrReplaceTempView("events")
+    found = {r.pattern: r.freq for r in m19_prefix_span(spark).collect()}
+    # one day is [1][2,7][3][6]: every choice of its five items is a pattern
+    assert len(found) == 2 ** 5 - 1 and set(found.values()) == {6}
+    assert {"[1]", "[6]", "[7]", "[1][2][3]", "[1][2,7][3][6]"} <= set(found)
