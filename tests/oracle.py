@@ -18,7 +18,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _value(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if hasattr(v, "item"):
         v = v.item()
@@ -41,6 +41,9 @@ def difference(spark_frame: pd.DataFrame, sql_frame: pd.DataFrame) -> str | None
         return f"columns {sorted(spark_frame.columns)} / {sorted(sql_frame.columns)}"
     if len(spark_frame) != len(sql_frame):
         return f"rows {len(spark_frame)} / {len(sql_frame)}"
+    # whole numbers with nulls: pandas has floats from one side and nullable integers from the other
+    spark_frame = spark_frame.astype({n: "Int64" for n, k in kinds(sql_frame).items()
+                                      if k == "Int64" and spark_frame[n].isna().any()})
     if kinds(spark_frame) != kinds(sql_frame):
         return f"types {kinds(spark_frame)} / {kinds(sql_frame)}"
     for a, b in zip(_table(spark_frame), _table(sql_frame)):
