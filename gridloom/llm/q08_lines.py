@@ -5,32 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import table
+from gridloom.llm.common import stored, table
 from gridloom.llm.registry import query
-from gridloom.llm.site_lines import HTML_STEPS, LEAST, RATIO, WHOLE, drop_boilerplate, host_of, html_text
+from gridloom.llm.site_lines import HTML_STEPS, LEAST, RATIO, drop_boilerplate, host_of, html_text
 
 _TRIM = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
-def dedup_sql(ratio: float = RATIO, least: int = LEAST, whole: float = WHOLE) -> str:
+def dedup_sql(ratio: float = RATIO, least: int = LEAST) -> str:
     """Steps ``split``, ``totals``, ``bad`` and ``cleaned`` for a table ``sides`` of id, host, t."""
     return f"""
     split AS (SELECT id, host, t, string_split(t, chr(10)) AS ls FROM sides WHERE t IS NOT NULL),
-    page_lines AS (SELECT DISTINCT id, host, l FROM
-                   (SELECT id, host, trim(unnest(ls), {_TRIM}) AS l FROM split WHERE host IS NOT NULL) WHERE l <> ''),
-    totals AS (SELECT host, count(*) AS n_pages FROM sides WHERE host IS NOT NULL GROUP BY host
-               HAVING count(*) >= {least}),
+    once AS (SELECT host, t, any_value(ls) AS ls FROM split WHERE host IS NOT NULL GROUP BY host, t),
+    page_lines AS (SELECT DISTINCT host, t, l FROM
+                   (SELECT host, t, trim(unnest(ls), {_TRIM}) AS l FROM once) WHERE l <> ''),
+    totals AS (SELECT host, count(*) AS n_pages FROM once GROUP BY host HAVING count(*) >= {least}),
     bad AS (SELECT host, list(l) AS bad FROM
             (SELECT host, l, count(*) AS n FROM page_lines GROUP BY host, l HAVING count(*) >= {least})
             JOIN totals USING (host) WHERE n > {ratio} * n_pages GROUP BY host),
     parts AS (SELECT s.*, list_filter(ls, lambda x: NOT coalesce(list_contains(bad, trim(x, {_TRIM})), FALSE)) AS kept
               FROM split s LEFT JOIN bad b ON s.host = b.host),
-    sized AS (SELECT *, length(trim(array_to_string(kept, chr(10)), {_TRIM}))
-                        < (1 - {whole}) * length(trim(t, {_TRIM})) AS whole FROM parts),
-    cleaned AS (SELECT id, CASE WHEN whole THEN t ELSE array_to_string(kept, chr(10)) END AS cleaned,
-                       CAST(len(ls) AS BIGINT) AS n_lines,
-                       CAST(CASE WHEN whole THEN 0 ELSE len(ls) - len(kept) END AS BIGINT) AS n_dropped, whole
-                FROM sized)"""
+    cleaned AS (SELECT id, array_to_string(kept, chr(10)) AS cleaned, CAST(len(ls) AS BIGINT) AS n_lines,
+                       CAST(len(ls) - len(kept) AS BIGINT) AS n_dropped, FALSE AS whole FROM parts)"""
 
 
 def _html_sql(column: str) -> str:
@@ -47,7 +43,8 @@ def _html_sql(column: str) -> str:
     SELECT id AS page_id, host, n_lines, n_dropped, whole, cleaned AS text
     FROM cleaned JOIN sides USING (id)""")
 def op8_site_lines(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "pages").select("page_id", host_of(F.col("url")).alias("host"),
-                                                 html_text(F.col("html")).alias("page"))
+    # the text of a page is made once and read twice
+    pages = stored(table(spark, folder, "pages").select("page_id", host_of(F.col("url")).alias("host"),
+                                                        html_text(F.col("html")).alias("page")), "page-text")
     cleaned, out = drop_boilerplate(pages, F.col("host"), F.col("page"))
     return cleaned.select("page_id", "host", f"{out}.n_lines", f"{out}.n_dropped", f"{out}.whole", f"{out}.text")

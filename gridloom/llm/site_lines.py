@@ -1,15 +1,17 @@
 """Line dedup by site-relative frequency: lines that too large a share of a host's pages carry.
 
 The share of a line is the number of the host's pages that have it, divided by all pages
-of the host. Lines are compared without the spaces around them; blank lines are never
+of the host; pages of equal text are one page, so a copied page is no boilerplate of its
+host. Lines are compared without the spaces around them, by 64-bit hashes; blank lines are never
 boilerplate. A line goes when its share is above ``ratio`` and at least ``least`` pages
-have it. A page that would lose more than ``whole`` of its characters is a copy of other
-pages rather than a page with boilerplate: it stays whole, copies are the business of the
-near-duplicate stage.
+have it. With ``whole`` below 1 a page that would lose more than that share of its
+characters stays as it is; by default every page loses its boilerplate.
 
-Cases: a page without a host, or with a null text, has no line to compare and stays as it
-is, null included. Repeated rows are pages of their own. An empty table gives an empty
-table. Input columns are untouched whatever their names; results come in one struct.
+Cases: a page without a host, or with a null text, has no line to compare, is no page of
+any host and stays as it is, null included. An empty text is one blank line. Texts of any
+length are split whole. A repeated row loses the same lines as its equal. Lines with equal
+shares go or stay together. An empty table gives an empty table. Input columns are
+untouched whatever their names; results come in one struct.
 
 The boilerplate of a host is bounded: pages carry on average ``a`` lines, so at most
 ``a / ratio`` lines of a host can have a share above ``ratio``.
@@ -17,14 +19,16 @@ The boilerplate of a host is bounded: pages carry on average ``a`` lines, so at
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import bound, free_name, stored
 
-RATIO, LEAST, WHOLE = 0.02, 5, 0.5
+RATIO, LEAST, WHOLE = 0.02, 3, 1.0
 SALTS = 32
-BROADCAST_ROWS = 20_000  # boilerplate lines (16 bytes each) that a broadcast may hold
+BROADCAST_ROWS = 20_000  # boilerplate lines (8 bytes each) that a broadcast may hold
 
 # Elements that start a line of their own: fixed values.
 _BLOCK = (r"(?i)</?(?:html|head|body|title|nav|div|article|section|header|footer|aside|main|h[1-6]|p|br|hr|ul|ol|li"
@@ -48,25 +52,33 @@ def host_of(url: Column) -> Column:
 
 
 def line_key(line: Column) -> Column:
-    """128 bits of a trimmed line, null for a blank one."""
-    trimmed = F.btrim(line, F.lit(SPACES))
-    return F.when(trimmed != "", F.struct(F.xxhash64(trimmed).alias("a"), F.xxhash64(trimmed, F.lit(1)).alias("b")))
+    """64 bits of a trimmed line; all blank lines have the key of the empty one."""
+    # few lines have spaces around them, and trimming looks at every character
+    edge = reduce(Column.__or__, [f(line, F.lit(c)) for c in SPACES for f in (F.startswith, F.endswith)])
+    return F.xxhash64(F.when(edge, F.btrim(line, F.lit(SPACES))).otherwise(line))
+
+
+def _keys(text: Column) -> Column:
+    return F.transform(F.split(text, "\n"), line_key)
 
 
 def boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO,
                 least: int = LEAST) -> DataFrame:
     """``host, n_pages, lines``: the keys of the lines whose share of the host's pages is above ``ratio``."""
-    keys = F.array_distinct(F.filter(F.transform(F.split(text, "\n"), line_key), lambda k: k.isNotNull()))
-    # a marker in front of the lines counts the page itself, so that one shuffle has both counts
-    marker = F.struct(F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"))
-    rows = pages.select(host.alias("host"), F.explode(F.concat(F.array(marker), keys)).alias("key")) \
-        .filter(F.col("host").isNotNull())
-    counted = rows.groupBy("host", "key.a", "key.b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
-    counts = stored(counted, "site-lines")
-    totals = counts.filter(F.col("a").isNull()).select("host", F.col("n").alias("n_pages"))
-    lines = counts.filter(F.col("a").isNotNull())
-    return (lines.join(totals, "host").filter(F.col("n") > ratio * F.col("n_pages"))
-            .groupBy("host", "n_pages").agg(F.collect_list(F.struct("a", "b")).alias("lines")))
+    blank = F.xxhash64(F.lit(""))
+    sides = pages.select(host.alias("host"), F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"),
+                         F.array_remove(F.array_distinct(_keys(text)), blank).alias("keys")) \
+        .filter(F.col("host").isNotNull() & F.col("keys").isNotNull())
+    pages_once = sides.groupBy("host", "a", "b").agg(F.first("keys").alias("keys"))
+    # a null in front of the lines counts the page itself, so that one shuffle has both counts
+    marker = F.array(F.lit(None).cast("long"))
+    rows = pages_once.select("host", F.explode(F.concat(marker, "keys")).alias("key"))
+    counts = stored(rows.groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least),
+                    "site-lines")
+    totals = counts.filter(F.col("key").isNull()).select("host", F.col("n").alias("n_pages"))
+    return (counts.filter(F.col("key").isNotNull()).join(totals, "host")
+            .filter(F.col("n") > ratio * F.col("n_pages"))
+            .groupBy("host", "n_pages").agg(F.collect_list("key").alias("lines")))
 
 
 def drop_boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float = RATIO, least: int = LEAST,
@@ -74,9 +86,9 @@ def drop_boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float
     """The pages with a struct ``text, n_lines, n_dropped, whole``; and that column's name.
 
     ``text`` is the page's text without its boilerplate lines, ``n_dropped`` what it lost
-    and ``whole`` says that it was left as it is because it would lose too much.
+    and ``whole`` says that it was left as it is because it would lose too much. ``host``
+    and ``text`` are read twice: a costly expression should be a stored column.
     """
-    spark = pages.sparkSession
     out = free_name(pages, out)
     mine, site, salt, lines = (free_name(pages, n) for n in ("lines_text", "lines_host", "lines_salt", "lines_drop"))
     found = stored(boilerplate(pages, host, text, ratio, least), "boilerplate")
@@ -89,24 +101,33 @@ def drop_boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float
         joined = (sides.withColumn(salt, F.pmod(F.xxhash64(mine), F.lit(SALTS)).cast("int"))
                   .join(spread, [site, salt], "left").drop(salt))
 
-    def cleaned(split: Column) -> Column:
-        keep = F.filter(split, lambda x: ~F.coalesce(F.array_contains(F.col(lines), line_key(x)), F.lit(False)))
-        return bound(keep, lambda kept: chosen(split, kept))
+    def as_is(n_lines: Column, spared: Column) -> Column:
+        return F.struct(F.col(mine).alias("text"), n_lines.cast("long").alias("n_lines"),
+                        F.lit(0).cast("long").alias("n_dropped"), spared.alias("whole"))
+
+    def judged(split: Column) -> Column:
+        return bound(F.transform(split, line_key), lambda keys: bound(
+            F.array_intersect(keys, F.col(lines)), lambda bad: F.when(F.size(bad) == 0, as_is(
+                F.size(split), F.lit(False))).otherwise(cleaned(split, keys, bad))))
+
+    def cleaned(split: Column, keys: Column, bad: Column) -> Column:
+        kept = F.filter(split, lambda x, i: ~F.array_contains(bad, F.get(keys, i)))
+        return bound(kept, lambda rest: lost(split, rest))
+
+    def lost(split: Column, kept: Column) -> Column:
+        result = F.struct(F.array_join(kept, "\n").alias("text"), F.size(split).cast("long").alias("n_lines"),
+                          (F.size(split) - F.size(kept)).cast("long").alias("n_dropped"), F.lit(False).alias("whole"))
+        if whole >= 1:
+            return result
 
-    def chosen(split: Column, kept: Column) -> Column:
         def chars(x: Column) -> Column:
             return F.length(F.btrim(F.array_join(x, "\n"), F.lit(SPACES)))
         too_much = chars(kept) < (1 - whole) * chars(split)
-        return F.struct(
-            F.when(too_much, F.col(mine)).otherwise(F.array_join(kept, "\n")).alias("text"),
-            F.size(split).cast("long").alias("n_lines"),
-            F.when(too_much, F.lit(0)).otherwise(F.size(split) - F.size(kept)).cast("long").alias("n_dropped"),
-            too_much.alias("whole"))
-
-    as_is = F.struct(F.col(mine).alias("text"),
-                     F.when(F.col(mine).isNull(), F.lit(0)).otherwise(F.size(F.split(F.col(mine), "\n")))
-                     .cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"),
-                     F.lit(False).alias("whole"))
-    result = F.when(F.col(lines).isNull() | F.col(mine).isNull(), as_is) \
-        .otherwise(bound(F.split(F.col(mine), "\n"), cleaned))
+        return F.when(too_much, as_is(F.size(split), F.lit(True))).otherwise(result)
+
+    split = F.split(F.col(mine), "\n")
+    none = F.col(lines).isNull() | F.col(mine).isNull()
+    n_lines = F.when(F.col(mine).isNull(), F.lit(0)).otherwise(F.size(split))
+    result = F.when(none, as_is(n_lines, F.lit(False))) \
+        .otherwise(bound(split, judged))
     return joined.select(*[F.col(f"`{c}`") for c in pages.columns], result.alias(out)), out

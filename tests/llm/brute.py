@@ -78,12 +78,12 @@ def without(text, spans, hit):
     return "".join(out) + text[at:] if text is not None else None
 
 
-def site_lines(rows, ratio, least, whole):
+def site_lines(rows, ratio, least, whole=1.0):
     """Cleaned text by id for rows of (id, host, text)."""
     pages, seen = {}, {}
-    for _, host, text in rows:
+    for host, text in {(host, text) for _, host, text in rows if host is not None and text is not None}:
         pages[host] = pages.get(host, 0) + 1
-        for line in {x.strip(SPACES) for x in (text or "").split("\n")} - {""}:
+        for line in {x.strip(SPACES) for x in text.split("\n")} - {""}:
             seen[host, line] = seen.get((host, line), 0) + 1
     out = {}
     for key, host, text in rows:

@@ -47,8 +47,8 @@ def test_quality_against_plain_python(spark):
     assert judge(frame.limit(0))[0].count() == 0
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_site_lines_against_plain_python(spark, monkeypatch, broadcast):
+@pytest.mark.parametrize("broadcast,whole", [(True, site_lines.WHOLE), (False, site_lines.WHOLE), (False, 0.5)])
+def test_site_lines_against_plain_python(spark, monkeypatch, broadcast, whole):
     if not broadcast:
         monkeypatch.setattr(site_lines, "BROADCAST_ROWS", -1)
     rng = random.Random(2)
@@ -60,19 +60,21 @@ def test_site_lines_against_plain_python(spark, monkeypatch, broadcast):
         rng.shuffle(lines)
         rows.append((i, host, "\n".join(lines)))
     rows += [(400, "hot", None), (401, "hot", ""), (402, "hot", "Menu\nFooter line"), (402, "hot", "Menu\nFooter line"),
-             (403, "solo", "Menu")]
+             (403, "solo", "Menu"), (404, "b", "\u00a0Menu\t\x0b"), (405, "b", "own " + "word " * 30_000 + "\nMenu")]
+    rows += [(i, "copies", "all\nof\nthese") for i in range(406, 430)] + [(430, "copies", "of its own")]
     frame = spark.createDataFrame([(*r, 1) for r in rows], "id long, host string, text string, line_dedup int")
-    cleaned, out = drop_boilerplate(frame, F.col("host"), F.col("text"), ratio=0.3, least=3)
+    cleaned, out = drop_boilerplate(frame, F.col("host"), F.col("text"), ratio=0.3, least=3, whole=whole)
     assert out == "_line_dedup" and cleaned.columns == [*frame.columns, out]
     found = cleaned.select("id", "host", F.col("text").alias("old"), f"{out}.*").collect()
-    expected = brute.site_lines(rows, 0.3, 3, site_lines.WHOLE)
+    expected = brute.site_lines(rows, 0.3, 3, whole)
     assert len(found) == len(rows)
     dropped = 0
     for r in found:
         assert r.text == expected[r.id], r
         dropped += r.n_dropped
         assert r.n_dropped == (r.old or "").count("\n") - (r.text or "").count("\n") or r.text == ""
-    assert dropped > 50 and any(r.whole for r in found)
+    assert dropped > 50 and any(r.whole for r in found) == (whole < 1)
+    assert expected[406] == "all\nof\nthese"  # copies are one page of their host
     assert drop_boilerplate(frame.limit(0), F.col("host"), F.col("text"))[0].count() == 0
 
 
