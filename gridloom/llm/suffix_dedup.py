@@ -3,12 +3,13 @@
 The order of the collection is ascending document id, then place. Texts are cut into
 content-defined pieces (``minimizers``): equal windows lie in pieces of one key. Pieces of
 equal bytes are one member of the collection, first met at the least ``(document, place)``;
-its later occurrences are repeated as a whole. Keys with several members go to collections
-of bounded size whose Burrows-Wheeler transform and common prefixes are built column by
-column (``column_bwt``): entries with ``width`` symbols in common are equal windows, all but
-the earliest are repeated. A key with more than ``LIMIT`` members is cut into shorter runs of
-windows, keyed by the bytes that the windows of a run share, down to one window a run, where
-equal pieces are all there is; so no key fills a task, and no window is left out.
+its later occurrences are repeated as a whole. Keys with several members are cut into runs
+of fewer windows, keyed by the bytes that all windows of a run share. Runs of one key go to
+collections of bounded size whose Burrows-Wheeler transform and common prefixes are built
+column by column (``column_bwt``): entries with ``width`` symbols in common are equal windows,
+all but the earliest are repeated. A key with more than ``LIMIT`` members is cut again, down
+to one window a run, where equal pieces are all there is; so no key fills a task, and no
+window is left out.
 
 Cases: a null text is empty; it and texts shorter than ``width`` lose nothing. A text of any
 length is cut in turns of a million windows. Of repeated rows, and of equal texts, the first
@@ -34,7 +35,7 @@ from gridloom.llm.words import mix, slices, take_ranges, word_hashes
 WIDTH, GRAM = 100, 24
 LIMIT = 4096      # members of one key that a collection takes; beyond it the key is cut
 COLLECTION = 4096  # members after which a collection ends at the next key
-STEPS = (8, 1)    # windows in a run of a key that is cut, and cut again
+STEPS = (26, 8, 1)  # windows in a run: of every key with several members, and of one that is cut again
 SLICE = 1 << 20
 _SAME = np.arange(256, dtype=np.uint8)
 _MARK = "key long, piece long, g long, first int, n int"
@@ -267,13 +268,14 @@ def _compare(places: DataFrame, texts: DataFrame, width: int, gram: int, level:
         (F.col("first") + F.col("n") + (width - 1)).cast("long").alias("end")), "spans")]
     sizes = stored(firsts.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "keys")
     members = stored(firsts.join(sizes, "key").select("key", "at.*", "size"), "members")
-    few = members.filter(F.col("size") <= LIMIT)
+    limit = LIMIT if level else 1  # the keys of whole pieces are short: their windows share a gram only
+    few = members.filter(F.col("size") <= limit)
     n = few.count()
     if n:
         compared = _fetch(texts, few, width).repartition(n // (8 * COLLECTION) + 1, "key").sortWithinPartitions("key")
         found.append(stored(compared.mapInArrow(lambda batches: _spans(batches, width),
                                                 "g long, start long, end long"), "spans"))
-    many = members.filter(F.col("size") > LIMIT)
+    many = members.filter(F.col("size") > limit)
     if not many.isEmpty():
         cut = stored(_refined(texts, many, width, gram, STEPS[level]), "runs")
         found += _compare(cut, texts, width, gram, level + 1)
