@@ -212,9 +212,11 @@ def prefix_trie(convs: DataFrame, limit: int = LIMIT) -> DataFrame:
     convs = stored(convs, "conversations")
     tops, shared = _split(stored(_distinct(convs), "keys"), limit)
     kept = tops.select("depth", "a", "b", "conv_id", "n", "ends", "turns")
-    # keys of one top stay together; a shard has many tops
+    # keys of one top stay together; a shard has many tops, and small tables still use every core
     n = convs.agg(F.sum(F.size("turns") + 1)).first()[0] or 0
-    dealt = kept.repartition(int(n // (4 * limit)) + 1, "a", "b").sortWithinPartitions("a", "b")
+    cores = convs.sparkSession.sparkContext.defaultParallelism
+    shards = max(n // (4 * limit), min(4 * n // limit, cores)) + 1
+    dealt = kept.repartition(int(shards), "a", "b").sortWithinPartitions("a", "b")
     made = stored(dealt.mapInArrow(lambda batches: _shard(batches, limit), _NODE), "nodes")
     out = made.select([c.split()[0] for c in _NODE.split(", ")][3:])
     if shared is None:
