@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import (
     BisectingKMeans, BisectingKMeansModel, GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel,
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators.metrics import accuracy, cluster_sizes, nearest_centre
-from gridloom.operators.reduce import Components, fit_components
+from gridloom.operators.reduce import Components, batch_sums, fit_components
 from gridloom.operators.relabel import relabel
 
 SEED = 42
@@ -75,6 +77,98 @@ def train_mixture(points: DataFrame, k: int = 3, iterations: int = 50, tol: floa
     return GaussianMixture(k=k, maxIter=iterations, tol=tol, seed=seed).fit(points)
 
 
+@dataclass
+class Mixture:
+    """Gaussian components that score points by plain arithmetic; parameters are small and live on the driver."""
+
+    weights: list[float]
+    means: list[list[float]]
+    covariances: list[list[list[float]]]
+
+    def _densities(self, x: np.ndarray) -> np.ndarray:
+        """Log of weight times density of every row under every component."""
+        out = np.empty((len(x), len(self.weights)))
+        for j, (weight, mean, covariance) in enumerate(zip(self.weights, self.means, self.covariances)):
+            lower = np.linalg.cholesky(np.array(covariance, float))
+            away = np.linalg.solve(lower, (x - np.array(mean, float)).T)
+            constant = len(mean) * np.log(2 * np.pi) / 2 + np.log(np.diag(lower)).sum()
+            out[:, j] = np.log(weight) - constant - (away * away).sum(0) / 2
+        return out
+
+    def shares(self, x: np.ndarray) -> np.ndarray:
+        """How much each component answers for each row."""
+        logs = self._densities(x)
+        logs -= logs.max(1, keepdims=True)
+        parts = np.exp(logs)
+        return parts / parts.sum(1, keepdims=True)
+
+    def transform(self, points: DataFrame) -> DataFrame:
+        """The points with ``probability`` (an array) and the component that has most of it as ``prediction``."""
+        model, k = self, len(self.weights)
+
+        @F.arrow_udf("array<double>")
+        def answered(x: pa.Array) -> pa.Array:
+            rows = len(x)
+            flat = x.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+            found = model.shares(flat).ravel() if rows else np.zeros(0)
+            return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * k, pa.int32()), pa.array(found))
+        scored = points.withColumn("probability", answered(vector_to_array("features")))
+        best = F.array_position("probability", F.array_max("probability")) - 1
+        return scored.withColumn("prediction", best.cast("double"))
+
+
+def refine_mixture(points: DataFrame, start: Mixture, iterations: int = 50, tol: float = 0.0) -> Mixture:
+    """EM from given components. A step is one aggregate: each task adds up shares and weighted moments of its rows.
+
+    A component whose rows are answered for by others entirely stays as it is, with weight 0 only if no row gives it
+    anything. Ends early when no mean moves by more than ``tol``.
+    """
+    rows = points.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    current, k, d = start, len(start.weights), len(start.means[0])
+    try:
+        for _ in range(iterations):
+            centre = np.array(current.means, float)
+
+            def moments(total: np.ndarray, x: np.ndarray, model: Mixture = current, centre: np.ndarray = centre) -> None:
+                shares = model.shares(x)
+                for j in range(k):
+                    away = x - centre[j]  # around the old mean, so that no digits are lost
+                    part = shares[:, j]
+                    total[j] += part.sum()
+                    total[k + j * d: k + (j + 1) * d] += part @ away
+                    at = k + k * d + j * d * d
+                    total[at: at + d * d] += ((away * part[:, None]).T @ away).ravel()
+            sums, n = batch_sums(rows, k + k * d + k * d * d, moments)
+            if not n:
+                break
+            weights, means, covariances = [], [], []
+            for j in range(k):
+                if sums[j] <= 0.0:
+                    weights.append(0.0)
+                    means.append(current.means[j])
+                    covariances.append(current.covariances[j])
+                    continue
+                shift = sums[k + j * d: k + (j + 1) * d] / sums[j]
+                at = k + k * d + j * d * d
+                square = sums[at: at + d * d].reshape(d, d) / sums[j] - np.outer(shift, shift)
+                weights.append(float(sums[j] / n))
+                means.append((centre[j] + shift).tolist())
+                covariances.append(square.tolist())
+            moved = float(np.abs(np.array(means) - centre).max())
+            current = Mixture(weights, means, covariances)
+            if moved <= tol:
+                break
+    finally:
+        rows.unpersist()
+    return current
+
+
+def as_mixture(model: GaussianMixtureModel) -> Mixture:
+    """The components of a trained (or loaded) model."""
+    return Mixture([float(w) for w in model.weights], [g.mean.toArray().tolist() for g in model.gaussians],
+                   [g.cov.toArray().tolist() for g in model.gaussians])
+
+
 def train_bisecting(points: DataFrame, k: int = 4, iterations: int = 20,
                     min_divisible: float = 1.0, seed: int = SEED) -> BisectingKMeansModel:
     learner = BisectingKMeans(k=k, maxIter=iterations, minDivisibleClusterSize=min_divisible, seed=seed)

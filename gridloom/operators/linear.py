@@ -212,14 +212,16 @@ def _descend_by_moments(rows: DataFrame, points: Sequence[_Point], width: int, s
 
 def descend(rows: DataFrame, loss: str, grid: Sequence[tuple[float, float]], iterations: int = 100,
             reg_type: str = "l2", intercept: bool = True, tol: float = 0.001,
-            fraction: float = 1.0, moment_limit: int = MOMENT_LIMIT) -> list[LinearModel]:
+            fraction: float = 1.0, moment_limit: int = MOMENT_LIMIT, key: str | None = None) -> list[LinearModel]:
     """Gradient descent for every ``(step, regularisation)`` point of the grid at once.
 
     Least squares on all rows takes a single pass for up to ``moment_limit`` features (the driver holds
     that number squared). Otherwise each iteration is one aggregate over the stored rows that serves
     the points still moving; where the sums of all points are more than ``WRITTEN_OUT``, several
     aggregates of that many columns. More features than that go through one matrix product per
-    Arrow batch for all points. Only sums and weights come to the driver.
+    Arrow batch for all points. Only sums and weights come to the driver. With ``fraction`` below 1 each iteration
+    takes a sample, by a hash of ``key`` and the iteration if a key is given: then the weights do
+    not depend on how the rows are partitioned.
     """
     width = feature_width(rows)
     size = width + int(intercept)
@@ -230,20 +232,22 @@ def descend(rows: DataFrame, loss: str, grid: Sequence[tuple[float, float]], ite
     if loss == SQUARED and fraction >= 1.0 and width <= moment_limit:
         _descend_by_moments(rows, points, width, size, iterations, reg_type.lower(), tol)
     else:
-        _descend_by_passes(rows, points, loss, width, size, iterations, reg_type.lower(), tol, fraction)
+        _descend_by_passes(rows, points, loss, width, size, iterations, reg_type.lower(), tol, fraction, key)
     return [LinearModel(loss, [float(w) for w in p.weights[:width]],
                         float(p.weights[width]) if intercept else 0.0, p.updates) for p in points]
 
 
 def _descend_by_passes(rows: DataFrame, points: Sequence[_Point], loss: str, width: int, size: int,
-                       iterations: int, reg_type: str, tol: float, fraction: float) -> None:
+                       iterations: int, reg_type: str, tol: float, fraction: float,
+                       key: str | None = None) -> None:
     by_columns, intercept = size <= WRITTEN_OUT, size > width
     x = vector_to_array("features")
+    named = [F.col(key).cast("string").alias("batch_key")] if key and fraction < 1.0 else []
     if by_columns:
-        stored = rows.select("label", x.alias("x")).select(
-            "label", *[F.col("x")[i].alias(f"x{i}") for i in range(width)])
+        stored = rows.select("label", x.alias("x"), *named).select(
+            "label", *[F.col("x")[i].alias(f"x{i}") for i in range(width)], *(["batch_key"] if named else []))
     else:
-        stored = rows.select("label", x.alias("x"))
+        stored = rows.select("label", x.alias("x"), *named)
     stored = stored.persist(StorageLevel.MEMORY_AND_DISK)
     chunk = max(1, WRITTEN_OUT // size) if by_columns else len(points)
     gradients = _column_gradients if by_columns else _array_gradients
@@ -252,7 +256,7 @@ def _descend_by_passes(rows: DataFrame, points: Sequence[_Point], loss: str, wid
             moving = [p for p in points if not p.done]
             if not moving:
                 break
-            batch = mini_batch(stored, fraction, iteration)
+            batch = mini_batch(stored, fraction, iteration, key="batch_key" if named else None)
             for at in range(0, len(moving), chunk):
                 part = moving[at:at + chunk]
                 for point, gradient in zip(part, gradients(batch, part, loss, width, intercept)):

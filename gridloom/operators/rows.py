@@ -87,6 +87,12 @@ def ratings(rows: DataFrame) -> DataFrame:
                         F.col("c2").cast("double").alias("rate"))
 
 
+def keyed_ratings(rows: DataFrame) -> DataFrame:
+    """``user, item, rate double`` from three columns; users and items keep their type, so any key will do."""
+    plain = _positional(rows)
+    return plain.select(F.col("c0").alias("user"), F.col("c1").alias("item"), F.col("c2").cast("double").alias("rate"))
+
+
 def user_items(rated: DataFrame) -> DataFrame:
     return rated.select("user", "item")
 

@@ -8,7 +8,8 @@ from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.operators.recommend import score_ratings
+from gridloom.operators.isotonic import IsotonicBlocks
+from gridloom.operators.recommend import RatingModel, score_ratings
 
 
 def score(model, points: DataFrame) -> DataFrame:
@@ -17,10 +18,10 @@ def score(model, points: DataFrame) -> DataFrame:
     Isotonic models use the first feature only. Rating models take rows of
     ``user, item``.
     """
-    if isinstance(model, ALSModel):
+    if isinstance(model, (ALSModel, RatingModel)):
         return score_ratings(model, points)
     rows = points
-    if isinstance(model, IsotonicRegressionModel) and "feature" not in points.columns:
+    if isinstance(model, (IsotonicRegressionModel, IsotonicBlocks)) and "feature" not in points.columns:
         rows = points.withColumn("feature", vector_to_array("features")[0])
     if hasattr(model, "rawPredictionCol"):  # the label only: no score and probability columns
         unused = [getattr(model, n) for n in ("rawPredictionCol", "probabilityCol") if hasattr(model, n)]

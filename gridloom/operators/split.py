@@ -14,7 +14,7 @@ def key_hash(key: Column | str) -> Column:
     return F.coalesce(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(0))
 
 
-def split_by_key(rows: DataFrame, ratio: float, key: str = "key") -> tuple[DataFrame, DataFrame | None]:
+def split_by_key(rows: DataFrame, ratio: float, key: Column | str = "key") -> tuple[DataFrame, DataFrame | None]:
     """Train and test rows by key; no test rows (``None``) when the ratio is 1.
 
     Needs no shuffle and no stored copy: a lost executor recomputes the same rows.

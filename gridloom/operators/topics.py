@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +37,13 @@ def topic_terms(model: LDAModel) -> DataFrame:
         return counts.select((-(F.col("id") + 1)).cast("int").alias("term"), weights).select(
             "topic", "term", "weight")
     matrix = model.topicsMatrix().toArray()
-    rows = [(topic, term, float(matrix[term, topic]))
-            for topic in range(matrix.shape[1]) for term in range(matrix.shape[0])]
-    return SparkSession.getActiveSession().createDataFrame(
-        rows, "topic int, term int, weight double")
+    terms, k = matrix.shape
+    table = pa.table({"topic": np.repeat(np.arange(k, dtype=np.int32), terms),
+                      "term": np.tile(np.arange(terms, dtype=np.int32), k), "weight": matrix.T.ravel()})
+    return SparkSession.getActiveSession().createDataFrame(table)
+
+
+def named_terms(model: LDAModel, words: DataFrame) -> DataFrame:
+    """``topic, term, weight`` with the words of a vocabulary ``term, index`` in place of their numbers."""
+    weights = topic_terms(model).withColumnRenamed("term", "index")
+    return weights.join(words.select("term", "index"), "index").select("topic", "term", "weight")

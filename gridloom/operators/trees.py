@@ -13,11 +13,13 @@ from pyspark.ml.classification import (
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel, GBTRegressor,
     RandomForestRegressionModel, RandomForestRegressor)
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from gridloom.functions.categories import parse_categories, with_categories, with_class_count
 from gridloom.operators.metrics import test_error
-from gridloom.operators.split import split_at_random
+from gridloom.operators.split import split_at_random, split_by_key
 from gridloom.session import ensure_checkpoint_dir
 
 SEED = 42
@@ -77,11 +79,21 @@ def train_boosted_regressor(rows: DataFrame, iterations: int = 100, learning_rat
     return learner.fit(_training_rows(rows, categories))
 
 
+def sparse_key(label: str = "label", features: str = "features") -> Column:
+    """A key for rows that have none: the row as LibSVM text, label and values with six decimals."""
+    entries = F.transform(vector_to_array(features), lambda v, i: F.when(
+        v != 0, F.format_string("%d:%.6f", i + 1, v)))
+    return F.concat_ws(" ", F.format_string("%.6f", F.col(label)), F.filter(entries, lambda e: e.isNotNull()))
+
+
 def tree_with_error(rows: DataFrame, ratio: float = 1.0, num_classes: int = 2, impurity: str = "gini",
-                    max_depth: int = 5, max_bins: int = 32, seed: int = SEED,
+                    max_depth: int = 5, max_bins: int = 32, seed: int = SEED, by_key: bool = False,
                     ) -> tuple[DecisionTreeClassificationModel, float | None]:
-    """A tree on LibSVM rows and its error on the held-out part (none at ratio 1)."""
-    train, test = split_at_random(rows, ratio, seed)
+    """A tree on LibSVM rows and its error on the held-out part (none at ratio 1).
+
+    ``by_key`` splits by :func:`sparse_key`, which gives the same parts in every run; equal rows stay together.
+    """
+    train, test = split_by_key(rows, ratio, sparse_key()) if by_key else split_at_random(rows, ratio, seed)
     model = train_tree_classifier(train, num_classes, impurity, max_depth, max_bins)
     error = None if test is None else test_error(model.transform(test)).first()[0]
     return model, error

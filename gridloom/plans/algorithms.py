@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from gridloom.operators import cluster, linear, trees
 from gridloom.operators.bayes import train_bayes
 from gridloom.operators.isotonic import train_isotonic
-from gridloom.operators.recommend import train_als
+from gridloom.operators.recommend import train_ratings
 
 LABELLED = "labelled"    # key, label, features
 ISOTONIC = "isotonic"    # key, label, feature, weight
@@ -73,7 +73,7 @@ def _descent(loss: str) -> GridFit:
         return linear.descend(
             rows, loss, [(float(q["step"]), float(q["regparam"])) for q in points],
             iterations=int(p["iterations"]), reg_type=p["regtype"], intercept=truth(p["intercept"]),
-            tol=float(p["convergencetol"]), fraction=float(p["minibatchfraction"]))
+            tol=float(p["convergencetol"]), fraction=float(p["minibatchfraction"]), key="key")
     return fit
 
 
@@ -171,13 +171,13 @@ ALGORITHMS: dict[int, Algorithm] = {
         _each(lambda rows, p: train_isotonic(rows, truth(p["isotonic"]))), True),
     12: Algorithm(
         "AlternatingLeastSquares", RATED,
-        {"rank": "10", "iterations": "20", "lambda": "0.01", "alpha": "0.01",
+        {"ratio": "1.0", "rank": "10", "iterations": "20", "lambda": "0.01", "alpha": "0.01",
          "nonnegative": "false", "hastest": "true"}, ("rank", "lambda", "alpha"), "RMSE", False,
         (("rank", "rank"), ("iterations", "iterations"), ("lambda", "lambda"),
          ("nonnegative", "nonnegative"), ("alpha", "alpha")),
-        _each(lambda rows, p: train_als(
-            rows, int(p["rank"]), int(p["iterations"]), float(p["lambda"]), float(p["alpha"]),
-            truth(p["nonnegative"])))),
+        _each(lambda rows, p: train_ratings(
+            rows, rank=int(p["rank"]), iterations=int(p["iterations"]), reg=float(p["lambda"]),
+            alpha=float(p["alpha"]), nonnegative=truth(p["nonnegative"])))),
     13: Algorithm(
         "K_means", CLUSTERED,
         {"k": "3", "maxiterations": "50", "runs": "10", "initializationmode": "k-means||",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.columns import grid_id, now_millis
 from gridloom.operators import cluster, metrics, patterns, relabel, topics
 from gridloom.operators import rows as shapes
+from gridloom.operators.recommend import split_ratings
 from gridloom.operators.scoring import score
 from gridloom.operators.split import split_at_random, split_by_key
 from gridloom.plans.algorithms import (
@@ -74,13 +75,15 @@ def training_input(spark: SparkSession, params: Params, database: str | None = N
 
 
 def _shaped(source: DataFrame, algorithm: Algorithm, params: Params) -> DataFrame:
+    """Rows as the algorithm takes them; ``handleinvalid`` says whether a null feature is an error or skips the row."""
+    invalid = params.get("handleinvalid", "error")
     if algorithm.shape == CLUSTERED:
-        return shapes.cluster_points(source, truth(params["haslabel"]))
+        return shapes.cluster_points(source, truth(params["haslabel"]), invalid)
     if algorithm.shape == ISOTONIC:
         return shapes.first_feature_points(source)
     if algorithm.shape == RATED:
-        return shapes.ratings(source)
-    return shapes.labelled_points(source)
+        return shapes.keyed_ratings(source)
+    return shapes.labelled_points(source, invalid)
 
 
 def _measure(algorithm: Algorithm, scored: DataFrame) -> tuple[str, float | None]:
@@ -118,13 +121,15 @@ def train_job(spark: SparkSession, job_id: str, algorithm_id: int, params: Param
     data = _shaped(training_input(spark, params, database), algorithm, params)
     if partitions:
         data = data.repartition(partitions)
-    supervised = algorithm.shape not in (CLUSTERED, RATED)
-    ratio = float(params.get("ratio", "1.0")) if supervised else 1.0
+    rated = algorithm.shape == RATED
+    ratio = 1.0 if algorithm.shape == CLUSTERED else float(params.get("ratio", "1.0"))
     # Rows are stored when several passes read them, and for a random split, whose
     # two sides must come from the same copy. A split by key needs no copy.
-    if not algorithm.reads_once or (ratio < 1.0 and not split_key):
+    if not algorithm.reads_once or (ratio < 1.0 and not split_key and not rated):
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    if split_key:
+    if rated:  # every user keeps a rating in training
+        train, test = split_ratings(data, ratio)
+    elif split_key:
         train, test = split_by_key(data, ratio, split_key)
     else:
         train, test = split_at_random(data, ratio, seed)
@@ -132,8 +137,8 @@ def train_job(spark: SparkSession, job_id: str, algorithm_id: int, params: Param
         test = test.persist(StorageLevel.MEMORY_AND_DISK)
     if algorithm.shape == CLUSTERED:
         test = data
-    elif algorithm.shape == RATED:
-        test = data if truth(params["hastest"]) else None
+    elif rated and test is None and truth(params["hastest"]):
+        test = data  # without held-out ratings the measure is taken on those of the training
 
     result = JobResult(job_id)
     target = _first(params, "saveresult")
@@ -288,23 +293,23 @@ def graph_job(spark: SparkSession, params: Params, database: str | None = None)
 
 
 def score_job(spark: SparkSession, job_id: str, algorithm_id: int | str, model_path: str, text: str,
-              target: str = "", dbtype: str = "hive", database: str | None = None) -> DataFrame:
+              target: str = "", dbtype: str = "hive", database: str | None = None,
+              invalid: str = "error") -> DataFrame:
     """Predictions of a saved model for the rows of a SQL text, appended to the target table.
 
-    Rating models take ``user, item`` rows; the key is then ``user`` and the item
-    stays in its own column.
+    Rating models take ``user, item`` rows with keys of any type; the key is then ``user`` and the item
+    stays in its own column. With ``invalid="skip"`` rows with a null feature get no prediction row.
     """
     if dbtype.strip().lower() != "hive":
         raise ValueError(f"database {dbtype} is not supported")
     model = load_model(algorithm_id, model_path)
     source = run_sql(spark, text, database)
     if int(algorithm_id) == 12:
-        pairs = source.toDF("user", "item", *source.columns[2:]).select(
-            F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"))
+        pairs = source.toDF("user", "item", *source.columns[2:]).select("user", "item")
         scored = score(model, pairs).withColumnRenamed("user", "key")
         out = tables.prediction_only(scored, job_id, now_millis(), "item")
     else:
-        out = tables.prediction_only(score(model, shapes.scoring_points(source)), job_id, now_millis())
+        out = tables.prediction_only(score(model, shapes.scoring_points(source, invalid)), job_id, now_millis())
     tables.append(out, target, database)
     return out
 

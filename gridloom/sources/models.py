@@ -6,12 +6,12 @@ from pyspark.ml.classification import (
     DecisionTreeClassificationModel, GBTClassificationModel, LogisticRegressionModel,
     NaiveBayesModel, RandomForestClassificationModel)
 from pyspark.ml.clustering import BisectingKMeansModel, GaussianMixtureModel, KMeansModel
-from pyspark.ml.recommendation import ALSModel
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel, GBTRegressionModel, IsotonicRegressionModel,
     RandomForestRegressionModel)
 
 from gridloom.operators.linear import LinearModel
+from gridloom.operators.recommend import RatingModel
 
 # Algorithm id -> model class.
 MODEL_CLASSES = {
@@ -26,7 +26,7 @@ MODEL_CLASSES = {
     9: RandomForestRegressionModel,
     10: GBTRegressionModel,
     11: IsotonicRegressionModel,
-    12: ALSModel,
+    12: RatingModel,
     13: KMeansModel,
     14: GaussianMixtureModel,
     15: BisectingKMeansModel,
