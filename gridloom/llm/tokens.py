@@ -11,6 +11,7 @@ tokenizer's own pattern first, and any other piece goes through the library's wh
 from __future__ import annotations
 
 import json
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -80,8 +81,9 @@ class Encoder:
         self.whole.encode_special_tokens = True
         self.pattern, self.lower = self._rules(kind.get("pre_tokenizer"), kind.get("normalizer"))
         self.characters = _byte_characters()
-        self.fresh: dict[bytes, list[int]] = {}  # two generations: the older one goes when the newer is full
-        self.older: dict[bytes, list[int]] = {}
+        # ids as 32-bit words; two generations: the older one goes when the newer is full
+        self.fresh: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     @staticmethod
     def _rules(cutter: dict | None, normalizer: dict | None):
@@ -114,9 +116,9 @@ class Encoder:
             return None
         return [i for part in self.pattern.findall(text) for i in self._merged(part)]
 
-    def _encode_pieces(self, pieces: list[bytes], whole: list[bool]) -> list[list[int]]:
+    def _encode_pieces(self, pieces: list[bytes], whole: list[bool]) -> list[bytes]:
         """Ids of each piece, new ones encoded."""
-        out: list[list[int]] = []
+        out: list[bytes | None] = []
         rest: list[int] = []
         fresh, older = self.fresh, self.older
         for i, piece in enumerate(pieces):
@@ -124,16 +126,18 @@ class Encoder:
             if ids is None:
                 ids = older.get(piece)
                 if ids is None:
-                    ids = self._new(piece, whole[i])
-                    if ids is None:
+                    new = self._new(piece, whole[i])
+                    if new is None:
                         rest.append(i)
+                    else:
+                        ids = array("I", new).tobytes()
                 if ids is not None:
                     fresh[piece] = ids
             out.append(ids)
         if rest:
             found = self.whole.encode_batch([pieces[i].decode() for i in rest], add_special_tokens=False)
             for i, e in zip(rest, found):
-                out[i] = fresh[pieces[i]] = e.ids
+                out[i] = fresh[pieces[i]] = array("I", e.ids).tobytes()
         if len(fresh) > CACHED // 2:
             self.older, self.fresh = fresh, {}
         return out
@@ -162,8 +166,8 @@ class Encoder:
             raw = data.tobytes()
             lists = self._encode_pieces([raw[a:b] for a, b in zip(bare[at].tolist(), ends[at].tolist())],
                                         whole[at].tolist())
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum()))
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+            flat = np.frombuffer(b"".join(lists), np.uint32)
             begin = np.cumsum(sizes) - sizes
             joined = flat[take_ranges(begin[which], sizes[which])]
             # the end id goes behind the last piece of each text
