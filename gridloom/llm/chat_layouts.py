@@ -1,16 +1,18 @@
 """Chat formatting: layouts recognised by a fingerprint of their field paths, turned into canonical turns.
 
-A fingerprint is the hash of the sorted field paths of a schema (``messages[].role``), of a
-frame as a whole or of each JSON record. It selects a declarative mapping to canonical
-turns, ``array<struct<role, text>>``; the template writes the turns as one string with the
-spans that carry loss, and reads them back.
+A fingerprint is the hash of sorted field paths (``messages[].role``) of a schema, of a frame as a
+whole or of each JSON record: of those paths that a layout maps, so further fields do not
+count. It selects a declarative mapping to canonical turns, ``array<struct<role, text>>``; where
+several layouts fit, the first of ``LAYOUTS``. Rows that are one turn each are a layout too. The
+template writes the turns as one string with the spans that carry loss, and reads them back.
 
 Template: each turn is ``<s>`` + marker + text + ``</s>``; markers are ``[INST] `` (user),
 ``[/INST] `` (assistant), ``<<SYS>> `` (system) and ``[ROLE]name[/ROLE] `` (any other role).
 Inside texts a backslash is doubled and a control string gets a backslash after its first
 character, so that no control string is left; reading drops one backslash of each pair.
 
-Cases: a null text is empty and a null role is the empty role. Turn rows without a
+Cases: a null text is empty and a null role is the empty role. Texts of any length are written
+whole. Turn rows without a
 conversation id are conversations of their own. Rows of equal turn number are ordered by
 role, then text; repeated rows are repeated turns. A record of no known layout, or that is
 no JSON, keeps its row with a null layout and no turns. An empty table gives an empty table.
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.common import bound
+from gridloom.llm.common import bound, free_name
 
 ROLE_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "prompter": "user"}
 MARKERS = {"user": "[INST] ", "assistant": "[/INST] ", "system": "<<SYS>> "}
@@ -39,6 +41,7 @@ class Layout:
     """``paths`` must be there, ``optional`` may be; ``listed`` names an array of (role, text) records.
 
     Without ``listed``, ``parts`` gives each turn's role and the fields whose texts are joined by a blank line.
+    With ``rows`` each row is one turn.
     """
 
     name: str
@@ -46,9 +49,15 @@ class Layout:
     optional: tuple[str, ...] = ()
     listed: tuple[str, str, str] | None = None
     parts: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    rows: bool = False
+
+    @property
+    def mapped(self) -> tuple[str, ...]:
+        return self.paths + self.optional
 
 
 LAYOUTS = (
+    Layout("turn rows", ("conv_id", "role", "text", "turn"), rows=True),
     Layout("messages", ("messages[].content", "messages[].role"), listed=("messages", "role", "content")),
     Layout("from and value", ("conversations[].from", "conversations[].value"),
            listed=("conversations", "from", "value")),
@@ -61,7 +70,6 @@ LAYOUTS = (
     Layout("question and answer", ("answer", "question"), ("context",),
            parts=(("user", ("context", "question")), ("assistant", ("answer",)))),
 )
-TURN_ROWS = ("conv_id", "role", "text", "turn")
 
 
 def fingerprint(paths) -> str:
@@ -90,6 +98,15 @@ KNOWN: dict[str, tuple[Layout, tuple[str, ...]]] = {
     f: (layout, fields) for layout in LAYOUTS for f, fields in _fingerprints(layout).items()}
 
 
+def selected(present: set[str]) -> tuple[Layout, tuple[str, ...]] | None:
+    """The layout whose fingerprint the present paths have, and its fields."""
+    for layout in LAYOUTS:
+        known = KNOWN.get(fingerprint(p for p in layout.mapped if p in present))
+        if known and known[0] is layout:
+            return known
+    return None
+
+
 def _turn(role: Column, text: Column) -> Column:
     role = F.coalesce(role, F.lit(""))
     for old, new in ROLE_NAMES.items():
@@ -115,7 +132,7 @@ def _mapped(layout: Layout, fields: tuple[str, ...], get) -> Column:
 
 
 def record_paths(record: Column) -> Column:
-    """Sorted field paths of a variant as one string, one path a line."""
+    """Sorted field paths of a variant."""
     schema = F.schema_of_variant(record)
     # leaf types say nothing about the layout: only names and nesting stay
     bare = F.regexp_replace(schema, r": (?!ARRAY<|OBJECT<)[A-Z]+(?:\([0-9,]+\))?", "")
@@ -129,22 +146,33 @@ def record_paths(record: Column) -> Column:
         return F.when(name != "", F.transform(inner, lambda y: F.concat(name, F.lit("[]."), y))) \
             .otherwise(F.array(F.regexp_replace(x, r": .*", "[]")))
 
-    return F.array_join(F.array_sort(F.array_distinct(F.flatten(F.transform(fields, opened)))), "\n")
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(fields, opened))))
 
 
 def turns_of_records(frame: DataFrame, record: str = "record", layout: str = "layout",
                      turns: str = "turns") -> DataFrame:
     """Rows of JSON texts in mixed layouts, with the layout's name and the canonical turns."""
     parsed = F.try_parse_json(F.col(f"`{record}`"))
-    mark = F.sha2(record_paths(parsed), 256)
+    whole = [kind for kind in LAYOUTS if not kind.rows]  # a record is a whole conversation
+
+    def mark(paths: Column, mapped: list[str]) -> Column:
+        return F.sha2(F.array_join(F.filter(paths, lambda p: p.isin(mapped)), "\n"), 256)
+
+    def marks(paths: Column) -> Column:
+        return F.array(*[mark(paths, list(kind.mapped)) for kind in whole])
+
+    held = free_name(frame, "layout_marks")
+    marked = frame.withColumn(held, bound(record_paths(parsed), marks))
     name, value = F.lit(None).cast("string"), F.array().cast("array<struct<role:string,text:string>>")
-    for known, (kind, fields) in KNOWN.items():
-        def get(path: str, type_name: str) -> Column:
-            return F.try_variant_get(parsed, f"$.{path}", type_name)
-        name = F.when(mark == known, F.lit(kind.name)).otherwise(name)
-        value = F.when(mark == known, _mapped(kind, fields, get)).otherwise(value)
-    return frame.withColumn(layout, name).withColumn(
-        turns, F.coalesce(value, F.array().cast("array<struct<role:string,text:string>>")))
+    for i, kind in reversed(list(enumerate(whole))):  # the first layout that fits is asked last
+        for known, fields in ((k, f) for k, (of, f) in KNOWN.items() if of is kind):
+            def get(path: str, type_name: str) -> Column:
+                return F.try_variant_get(parsed, f"$.{path}", type_name)
+            mine = F.get(F.col(held), F.lit(i)) == known
+            name = F.when(mine, F.lit(kind.name)).otherwise(name)
+            value = F.when(mine, _mapped(kind, fields, get)).otherwise(value)
+    return marked.withColumn(layout, name).withColumn(
+        turns, F.coalesce(value, F.array().cast("array<struct<role:string,text:string>>"))).drop(held)
 
 
 def turns_of_frame(frame: DataFrame) -> DataFrame:
@@ -154,15 +182,14 @@ def turns_of_frame(frame: DataFrame) -> DataFrame:
     Columns beside those of the layout do not count.
     """
     present = set(field_paths(frame.schema))
-    if set(TURN_ROWS) <= present:
-        return _grouped(frame.select(*TURN_ROWS))
-    for layout in LAYOUTS:
-        if set(layout.paths) <= present:
-            fields = layout.paths + tuple(o for o in layout.optional if o in present)
-            kind, fields = KNOWN[fingerprint(fields)]
-            return frame.withColumn("turns", _mapped(
-                kind, fields, lambda p, t: F.col(p) if t.startswith("array") else F.col(p).cast(t)))
-    raise ValueError(f"no layout has the fields {sorted(present)}")
+    found = selected(present)
+    if found is None:
+        raise ValueError(f"no layout has the fields {sorted(present)}")
+    kind, fields = found
+    if kind.rows:
+        return _grouped(frame.select(*fields))
+    return frame.withColumn("turns", _mapped(
+        kind, fields, lambda p, t: F.col(p) if t.startswith("array") else F.col(p).cast(t)))
 
 
 def _grouped(rows: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import site_lines
 from gridloom.llm.chat_layouts import (
-    KNOWN, fingerprint, format_chats, formatted, loss_texts, read_turns, turns_of_frame, turns_of_records)
+    KNOWN, fingerprint, format_chats, formatted, loss_texts, read_turns, selected, turns_of_frame, turns_of_records)
 from gridloom.llm.quality_rules import STOP_WORDS, judge
 from gridloom.llm.site_lines import drop_boilerplate, host_of, html_text
 from tests.llm import brute
@@ -131,6 +131,11 @@ RECORDS = [
     ({"response": "r", "prompt": None}, "prompt and response", [("user", ""), ("assistant", "r")]),
     ({"question": "q", "context": "c", "answer": "a"}, "question and answer", [("user", "c\n\nq"), ("assistant", "a")]),
     ({"other": 1}, None, []), ({"messages": []}, None, []),
+    ({"id": 7, "prompt": "p", "meta": {"source": "s", "tags": ["x"]}, "completion": "c"}, "prompt and completion",
+     [("user", "p"), ("assistant", "c")]),
+    ({"messages": [{"role": "user", "content": "a", "weight": 1}], "prompt": "p", "response": "r", "system": "s"},
+     "messages", [("user", "a")]),
+    ({"conv_id": 1, "turn": 0, "role": "user", "text": "one turn"}, None, []),
 ]
 
 
@@ -145,6 +150,13 @@ def test_records_of_mixed_layouts(spark):
     assert all(found[i].layout is None and found[i].turns == [] for i in range(len(RECORDS), len(texts)))
 
 
+def test_fingerprints_select_the_layout():
+    assert len(KNOWN) == len({fingerprint(f) for _, f in KNOWN.values()})
+    turns = {"conv_id", "role", "text", "turn"}
+    assert selected(turns | {"prompt", "more"})[0].rows and selected({"conv_id", "role"}) is None
+    assert selected({"prompt", "response", "system", "id"})[1] == ("prompt", "response", "system")
+
+
 def test_frame_layouts(spark):
     frame = spark.createDataFrame([([("hi", "user"), ("yo", "assistant")], 3)],
                                   "messages array<struct<content:string,role:string>>, more int")
@@ -153,4 +165,4 @@ def test_frame_layouts(spark):
     assert [tuple(t) for t in turns_of_frame(frame).first().turns] == [("user", "q"), ("assistant", "a")]
     with pytest.raises(ValueError):
         turns_of_frame(frame.select("n"))
-    assert fingerprint(["b", "a"]) == fingerprint(["a", "b", "a"]) and len(KNOWN) == 12
+    assert fingerprint(["b", "a"]) == fingerprint(["a", "b", "a"]) and len(KNOWN) == 13
