@@ -2,24 +2,30 @@
 
 Features are words and their first 4, 5 and 6 bytes (stems of longer words), each as present
 or not. The model is fitted on a bounded sample of labelled rows: at most about
-``TOXIC_ROWS`` toxic and ``CLEAN_ROWS`` other ones, drawn by a hash of the id. Candidates are
-features of at least ``SHARE`` of the sampled toxic texts, so their number is at most the mean
-number of features of a text over ``SHARE``; the ``FEATURES`` with the highest chi-square (of
-``CHI_SQUARE`` or more) stay, and the features of all identity terms with them.
-
-Counterfactuals: in sentences of the sample that name an identity term, the term is swapped
-for each other term of its group, and the squared changes of the logit are added to the loss
-with weight ``PENALTY``. A group that is named more often in toxic texts so gains no
-weight of its own. Scoring is one pass over all texts and never sees labels or metadata.
-
-Cases: a null or empty text has no features and gets the score of the intercept. Labels that are
+``toxic_rows`` toxic and ``clean_rows`` other ones, drawn by a hash of the id. Candidates are
+features of at least ``share`` of the sampled toxic texts, so their number is at most the mean
+number of features of a text over ``share``; the ``features`` with the highest chi-square (of
+``chi_square`` or more) stay, and the features of all identity terms with them. All these
+are arguments of :func:`learn`.
+
+Counterfactuals: in sentences of the sample that name identity terms, each of the terms in turn
+is swapped for each other term of its group, and the squared changes of the logit are added
+to the loss with weight ``penalty``. Of more than ``pairs`` swaps those with the least hashes
+count. A group that is named more often in toxic texts so gains no weight of its own.
+Scoring is one pass over all texts and never sees labels or metadata.
+
+Cases: a null or empty text has no features and gets the score of the intercept. A text of any
+length is scored whole, in a slice of its own if it is long. Labels that are
 null or neither 0 nor 1 are left out; an id labelled twice is toxic if either label says so.
-Rows without id are scored and never learned from. Without sampled labels of both kinds
-every score is the share of toxic labels in the sample, 0 without any.
+Rows without id are scored and never learned from; a repeated row is learned from as often as it
+comes and scored alike each time. Features of equal chi-square stay by their hash. Without sampled
+labels of both kinds every score is the share of toxic labels in the sample, 0 without any. An
+empty table gives no rows. Columns beside id, text and label are not read.
 """
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
 import numpy as np
@@ -35,7 +41,7 @@ CHI_SQUARE = 30.0  # beyond what some ten thousand candidates reach by chance
 PENALTY, RIDGE, STEPS = 10.0, 1e-4, 400
 STEMS = (4, 5, 6)
 
-# Terms that name groups of people without judging them, by kind: fixed values.
+# Terms that name groups of people without judging them, by language and kind: fixed values.
 IDENTITY = (
     ("women", "men", "girls", "boys", "female", "male", "transgender", "nonbinary"),
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist", "catholic", "protestant"),
@@ -45,6 +51,21 @@ IDENTITY = (
     ("immigrants", "refugees", "foreigners", "natives"),
     ("old", "young", "elderly", "teenage"),
     ("blind", "deaf", "disabled", "autistic"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées", "catholiques", "protestants"),
+    ("noirs", "blancs", "asiatiques", "arabes", "africains", "européens"),
+    ("homosexuels", "hétérosexuels", "lesbiennes", "bisexuels"),
+    ("immigrés", "réfugiés", "étrangers"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten", "katholiken", "protestanten"),
+    ("schwarze", "weiße", "asiaten", "araber", "afrikaner", "europäer"),
+    ("schwule", "lesben", "bisexuelle", "heterosexuelle"),
+    ("einwanderer", "flüchtlinge", "ausländer", "einheimische"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos", "católicos", "protestantes"),
+    ("negros", "blancos", "asiáticos", "árabes", "africanos", "europeos"),
+    ("homosexuales", "heterosexuales", "lesbianas", "bisexuales"),
+    ("inmigrantes", "refugiados", "extranjeros"),
 )
 
 
@@ -101,14 +122,14 @@ def identity_features(terms=IDENTITY) -> np.ndarray:
 
 
 def swapped(sentence: str, terms=IDENTITY) -> list[str]:
-    """The sentence with its first identity term replaced by each other term of the group."""
-    words = sentence.split(" ")
+    """The sentence with each of its identity terms in turn replaced by each other term of the group."""
+    words, out = sentence.split(" "), []
     for i, word in enumerate(words):
         bare = word.strip(".,;:!?\"'()").lower()
         for group in terms:
             if bare in group:
-                return [" ".join([*words[:i], other, *words[i + 1:]]) for other in group if other != bare]
-    return []
+                out += [" ".join([*words[:i], other, *words[i + 1:]]) for other in group if other != bare]
+    return out
 
 
 def _rows(indices: list, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,26 +137,39 @@ def _rows(indices: list, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(n), sizes), np.fromiter(chain.from_iterable(indices), np.int64, int(sizes.sum()))
 
 
-def fit(indices: list, labels: np.ndarray, pairs: list[tuple], n_features: int, penalty: float = PENALTY,
-        ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Weights and intercept: balanced log loss, ridge, and the squared logit changes of the pairs."""
+def objective(indices: list, labels: np.ndarray, pairs: list[tuple], n_features: int, penalty: float = PENALTY,
+              ridge: float = RIDGE):
+    """The loss and its slope as a function of weights and intercept: balanced log loss, ridge, squared changes."""
     n = len(labels)
     row, col = _rows(indices, n)
     share = max(labels.mean(), 1 / n)
     weight = np.where(labels == 1, 0.5 / share, 0.5 / max(1 - share, 1 / n)) / n
     p_row, p_col = _rows([a for a, _ in pairs], len(pairs))
     q_row, q_col = _rows([b for _, b in pairs], len(pairs))
-    w = np.zeros(n_features + 1)
-    first, second = np.zeros_like(w), np.zeros_like(w)
-    for t in range(1, steps + 1):
+
+    def at(w: np.ndarray) -> tuple[float, np.ndarray]:
         z = np.bincount(row, w[col], n) + w[-1]
+        loss = float(weight @ (np.logaddexp(0, z) - labels * z) + ridge * (w[:-1] @ w[:-1]) / 2)
         error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels)
         slope = np.append(np.bincount(col, error[row], n_features), error.sum())
         slope[:-1] += ridge * w[:-1]
         if pairs:
-            change = (np.bincount(p_row, w[p_col], len(pairs)) - np.bincount(q_row, w[q_col], len(pairs))) \
-                * (2 * penalty / len(pairs))
+            change = np.bincount(p_row, w[p_col], len(pairs)) - np.bincount(q_row, w[q_col], len(pairs))
+            loss += penalty * float(change @ change) / len(pairs)
+            change = change * (2 * penalty / len(pairs))
             slope[:-1] += np.bincount(p_col, change[p_row], n_features) - np.bincount(q_col, change[q_row], n_features)
+        return loss, slope
+    return at
+
+
+def fit(indices: list, labels: np.ndarray, pairs: list[tuple], n_features: int, penalty: float = PENALTY,
+        ridge: float = RIDGE, steps: int = STEPS) -> tuple[np.ndarray, float]:
+    """Weights and intercept that make :func:`objective` small."""
+    at = objective(indices, labels, pairs, n_features, penalty, ridge)
+    w = np.zeros(n_features + 1)
+    first, second = np.zeros_like(w), np.zeros_like(w)
+    for t in range(1, steps + 1):
+        _, slope = at(w)
         # Adam with a falling step
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope ** 2
@@ -170,19 +204,19 @@ class Model:
 
 def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str = "text",
           label: str = "toxic", toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS,
-          penalty: float = PENALTY, terms=IDENTITY) -> Model:
+          penalty: float = PENALTY, terms=IDENTITY, pairs: int = PAIRS, features: int = FEATURES,
+          share: float = SHARE, least: int = LEAST, chi_square: float = CHI_SQUARE) -> Model:
     """Fit the model on labelled rows; ``may_learn`` is a condition on the labels' columns."""
     spark = docs.sparkSession
     chosen = _sample(labels, may_learn, doc_id, label, toxic_rows, clean_rows)
     sides = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
     if len(sides) < 2:
-        share = 1.0 if 1 in sides else 0.0
-        return Model(np.zeros(0, np.int64), np.zeros(0), 30.0 if share else -30.0)
+        return Model(np.zeros(0, np.int64), np.zeros(0), 30.0 if 1 in sides else -30.0)
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     # at most toxic_rows + clean_rows ids are broadcast
     learned = texts.join(F.broadcast(chosen), "doc_id")
-    least = max(LEAST, SHARE * sides[1])
-    found, n_toxic = _arrays(_counted(learned.filter("label = 1"), None).filter(F.col("n") >= least))
+    found, n_toxic = _arrays(_counted(learned.filter("label = 1"), None)
+                             .filter(F.col("n") >= max(least, share * sides[1])))
     order = np.argsort(found)
     found, n_toxic = found[order], n_toxic[order]
     at, n = _arrays(_counted(learned.filter("label = 0"), found))
@@ -193,14 +227,14 @@ def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, doc_id: str = "
     total = n_toxic + n_clean
     expected = np.maximum(total * (t / (t + c)), 1e-9)
     chi = (n_toxic - expected) ** 2 / expected / np.maximum(1 - total / (t + c), 1e-3)
-    best = np.argsort(-chi, kind="stable")[:FEATURES]
-    best = best[chi[best] >= CHI_SQUARE]
+    best = np.argsort(-chi, kind="stable")[:features]
+    best = best[chi[best] >= chi_square]
     known = np.union1d(found[best], identity_features(terms))
 
     held = spark.sparkContext.broadcast(known)
+    named = re.compile("|".join(re.escape(t) for g in terms for t in g) or "(?!)", re.IGNORECASE)
 
     def rows_of_sample(batches):
-        import re
         for batch in batches:
             labels_here = batch.column(1)
             for first, last, row, feature in _features(batch.column(0), held.value):
@@ -211,7 +245,7 @@ def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, doc_id: str = "
                     names=["label", "one", "two"])
             before, after = [], []
             for value in batch.column(0).fill_null("").to_pylist():
-                for sentence in re.split(r"[.!?\n]+", value) if any(t in value.lower() for g in terms for t in g) else ():
+                for sentence in re.split(r"[.!?\n]+", value) if named.search(value) else ():
                     others = swapped(sentence, terms)
                     before += [sentence] * len(others)
                     after += others
@@ -222,9 +256,9 @@ def learn(docs: DataFrame, labels: DataFrame, may_learn: Column, doc_id: str = "
 
     made = learned.select("text", "label").mapInArrow(rows_of_sample, "label int, one array<bigint>, two array<bigint>")
     examples = made.filter("label is not null").select("label", "one").collect()
-    pairs = [(r["one"], r["two"]) for r in made.filter("label is null").select("one", "two")
-             .orderBy(F.xxhash64("one", "two")).limit(PAIRS).collect()]
-    weights, intercept = fit([r["one"] for r in examples], np.array([r["label"] for r in examples], float), pairs,
+    swaps = [(r["one"], r["two"]) for r in made.filter("label is null").select("one", "two")
+             .orderBy(F.xxhash64("one", "two")).limit(pairs).collect()]
+    weights, intercept = fit([r["one"] for r in examples], np.array([r["label"] for r in examples], float), swaps,
                              len(known), penalty)
     return Model(known, weights, intercept)
 

@@ -16,7 +16,7 @@ from gridloom.llm.fm_index import FmIndex, SAMPLE
 from gridloom.llm.packing import cut_documents, slots
 from gridloom.llm.simple8b import BLOCK, pack, unpack
 from gridloom.llm.tokens import Encoder
-from gridloom.llm.toxicity import IDENTITY, Model, fit, identity_features, swapped
+from gridloom.llm.toxicity import IDENTITY, Model, fit, identity_features, objective, swapped
 from tests.llm import brute
 
 PIECES = list("aAbéÉñßI'´ ") + [
@@ -205,6 +205,34 @@ def test_counterfactual_penalty_takes_weight_from_identity():
     assert 1 / (1 + np.exp(-(held[0] + intercept))) > 0.7
 
 
+def test_slope_of_the_objective_is_its_difference_quotient():
+    rng = np.random.default_rng(7)
+    indices = [sorted(rng.choice(9, rng.integers(0, 6), replace=False).tolist()) for _ in range(40)]
+    pairs = [([0, 3], [1, 3]), ([0], [2]), ([], [4]), ([5, 6], [5, 7])]
+    labels = rng.integers(0, 2, 40).astype(float)
+    at = objective(indices, labels, pairs, 9, penalty=3.0, ridge=0.1)
+    w = rng.normal(size=10)
+    loss, slope = at(w)
+    for i in range(10):
+        step = np.zeros(10)
+        step[i] = 1e-6
+        assert slope[i] == pytest.approx((at(w + step)[0] - at(w - step)[0]) / 2e-6, abs=1e-7)
+    # the loss itself, written out
+    def logit(row):
+        return sum(w[j] for j in row)
+    chances = [1 / (1 + np.exp(-logit(row) - w[-1])) for row in indices]
+    sides = [-np.mean([np.log(p if y else 1 - p) for p, y in zip(chances, labels) if y == side]) for side in (0, 1)]
+    swaps = np.mean([(logit(a) - logit(b)) ** 2 for a, b in pairs])
+    assert loss == pytest.approx(sum(sides) / 2 + 0.1 * (w[:-1] @ w[:-1]) / 2 + 3.0 * swaps)
+
+
+def test_every_term_of_a_sentence_is_swapped():
+    found = swapped("Black women, and Frauen")
+    assert len(found) == 7 + 7 + 3
+    assert "white women, and Frauen" in found and "Black men and Frauen" in found and "Black women, and männer" in found
+    assert all(len(set(g)) == len(g) for g in IDENTITY)
+
+
 def test_swaps_and_model():
     found = swapped("They met a muslim, there")
     assert len(found) == 7 and "They met a christian there" in found
