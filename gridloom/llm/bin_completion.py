@@ -9,8 +9,12 @@ is the best-fit solution. A pattern is used as often as its lengths last, so equ
 cost nothing extra. Pieces then get their place by their rank among the pieces of their
 length, one join with the patterns' slots.
 
-``NODES`` bounds the search (a search parameter, not a cap on data: every piece is placed);
-a packing that meets the bound ``ceil(tokens / capacity)`` ends it at once.
+The search is bounded (these bound the search, not the data: every piece is placed). At most
+``nodes`` fillings are followed. The fillings of one largest piece are not all enumerated: at
+every step only the ``TRIED`` largest lengths that fit are tried, up to ``ITEMS`` pieces before best fit
+completes the set, in at most ``STEPS`` steps, with the pairs that fill the room exactly; of
+these the ``BREADTH`` best undominated ones stay. So where a packing does not meet
+:func:`bound` it may have more sequences than the best one; one that meets it ends the search.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from bisect import bisect_right
 NODES = 4000      # fillings that the search may try
 BREADTH = 8       # fillings that one largest piece may have
 ITEMS = 6         # pieces a filling may add before best fit completes it
+TRIED = 3         # largest lengths that a filling tries at every step
+STEPS = 480       # steps for the fillings of one largest piece
 
 Pattern = tuple[tuple[int, ...], int]  # lengths in falling order, how many sequences
 
@@ -80,7 +86,7 @@ def fillings(lengths: list[int], counts: dict[int, int], room: int, waste: int)
 
     def add(chosen: tuple[int, ...], left: int, top: int) -> None:
         nonlocal steps
-        if steps > 60 * BREADTH:
+        if steps > STEPS:
             return
         at = min(bisect_right(lengths, left), top)
         if at == 0 or len(chosen) == ITEMS:
@@ -88,9 +94,9 @@ def fillings(lengths: list[int], counts: dict[int, int], room: int, waste: int)
             if left - sum(rest) <= waste:
                 found.add(chosen + rest)
             return
-        # the two largest that fit now, and exact partners for the largest
+        # the largest that fit now
         tried = 0
-        while at and tried < 3:
+        while at and tried < TRIED:
             n = lengths[at - 1]
             if counts[n] > chosen.count(n):
                 steps += 1
