@@ -100,6 +100,39 @@ def cluster_sizes(assigned: DataFrame, cluster: str = "cluster") -> DataFrame:
     return assigned.groupBy(F.col(cluster).alias("cluster")).agg(F.count(F.lit(1)).alias("size"))
 
 
+def silhouette(assigned: DataFrame, cluster: str = "cluster", features: str = "features") -> DataFrame:
+    """``silhouette``: how much nearer, on average, points are to their own cluster than to the next, from -1 to 1.
+
+    Distances are squared, so the mean distance of a point to a cluster follows from the cluster's size,
+    sum and sum of squares: one aggregate and one scan, no pairs. A point that is alone in its
+    cluster counts 0, and so does every point of a single cluster. Sizes and sums of k clusters go to all tasks.
+    """
+    x = assigned.select(F.col(cluster).alias("c"), vector_to_array(features).alias("x")).where(F.col("c").isNotNull())
+    square = F.aggregate("x", F.lit(0.0), lambda total, v: total + v * v)
+    width = F.size("x")
+    sums = x.select("c", square.alias("q"), F.posexplode("x").alias("i", "v"), width.alias("w")) \
+        .groupBy("c", "i").agg(F.sum("v").alias("s"), F.sum(F.col("q")).alias("q"), F.count(F.lit(1)).alias("n"))
+    found: dict = {}
+    for r in sums.collect():  # clusters x features numbers
+        found.setdefault(r["c"], {"n": r["n"], "q": r["q"], "s": {}})["s"][r["i"]] = r["s"]
+    clusters = sorted(found)
+    own, others = F.lit(None).cast("double"), []
+    for c in clusters:
+        n, mean = found[c]["n"], [found[c]["s"][i] / found[c]["n"] for i in range(len(found[c]["s"]))]
+        # mean squared distance: around the centre, and the cluster's own spread
+        spread = max(found[c]["q"] / n - sum(m * m for m in mean), 0.0)
+        away = distance_to(F.col("x"), mean) + F.lit(spread)
+        own = F.when(F.col("c") == F.lit(c), away * F.lit(n / (n - 1)) if n > 1 else F.lit(None)).otherwise(own)
+        others.append(F.when(F.col("c") != F.lit(c), away))
+    if len(clusters) < 2:
+        return x.agg(F.when(F.count(F.lit(1)) > 0, F.lit(0.0)).alias("silhouette"))
+    near = F.array_min(F.array(*others))
+    scored = x.select(own.alias("a"), near.alias("b"))
+    value = F.when(F.greatest("a", "b") > 0, (F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    return scored.agg(F.avg(F.when(F.col("a").isNull(), F.lit(0.0)).otherwise(F.coalesce(value, F.lit(0.0))))
+                      .alias("silhouette"))
+
+
 # What a grid point has to beat before it counts as best.
 START_ACCURACY = -0.1
 START_ERROR = 1e10

@@ -14,7 +14,7 @@ from gridloom.operators.scoring import score
 from gridloom.operators.split import split_by_key
 from gridloom.operators.tree_nodes import node_table, score_by_nodes
 from gridloom.queries.base import (
-    PART_POINTS, RATINGS, SIGNAL_POINTS, TARGET_POINTS, query, rounded, scratch, sql, training)
+    PART_CENTRES, PART_POINTS, RATINGS, SIGNAL_POINTS, TARGET_POINTS, nearest_sql, query, rounded, scratch, sql, training)
 from gridloom.queries.models import descent_ctes, stump_sql
 from gridloom.sources import files
 from gridloom.sources.models import load_model
@@ -149,6 +149,21 @@ def b3_mixture_rows(spark):
                                           F.round(F.array_max("probability"), 6).alias("share"))
 
 
+@query("a5_silhouette", f"""
+WITH a AS MATERIALIZED ({nearest_sql(PART_POINTS, PART_CENTRES)}),
+d AS (SELECT s.k, s.cluster AS mine, t.cluster AS other, count(*) AS n,
+             sum((s.x0 - t.x0) * (s.x0 - t.x0) + (s.x1 - t.x1) * (s.x1 - t.x1)) AS total
+      FROM a AS s, a AS t GROUP BY 1, 2, 3),
+v AS (SELECT k, max(CASE WHEN mine = other AND n > 1 THEN total / (n - 1) END) AS own,
+             min(CASE WHEN mine <> other THEN total / n END) AS near FROM d GROUP BY k)
+SELECT round(avg(CASE WHEN own IS NULL THEN 0 ELSE (near - own) / greatest(own, near) END), 6) AS silhouette
+FROM v""", uses="part")
+def a5_silhouette(spark):
+    """Clusters without labels: the silhouette from sums, against all pairs in SQL."""
+    assigned = cluster.Centres(PART_CENTRES).transform(rows.labelled_points(sql(spark, PART_POINTS)))
+    return metrics.silhouette(assigned, "prediction").select(*rounded("silhouette"))
+
+
 # --- mini-batches by key (M1, M7, P3) ------------------------------------------------------
 
 FRACTION = 0.25

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from gridloom.operators import linear, metrics, rows, trees
 from gridloom.operators.scoring import score
+from gridloom.operators.split import split_by_key
 from gridloom.plans.jobs import score_job, train_job
 from gridloom.queries.base import (
     LINE_POINTS, SIGNAL_POINTS, TARGET_POINTS, query, rounded, scratch, sql)
 from gridloom.queries.models import CLASS_STUMP, STUMP, bayes_sql, descent_ctes
 from gridloom.queries.relational import BUCKET_SQL
+from gridloom.sinks import tables
 from gridloom.sources import control
 from gridloom.sources.models import load_model
 
@@ -64,6 +66,19 @@ def b6_grid(spark):
         F.round("value", 6).alias("mse"))
 
 
+@query("b8_best_model", f"SELECT 'lr-4' AS job, 4::BIGINT AS saved, round(min(mse), 6) AS mse FROM ({grid_sql()}) AS g")
+def b8_best_model(spark):
+    """The model that the registry of best points names, loaded and measured on the held-out rows."""
+    base = scratch(spark, "models")
+    train_job(spark, "lr-4", 7, {**GRID_PARAMS, "savemodel": f"{base}/saved"}, information=None,
+              registry=f"{base}/paths", split_key="key")
+    path = control.model_path(spark.read.orc(f"{base}/paths{tables.BEST_SUFFIX}"), "lr-4")
+    _, test = split_by_key(rows.labelled_points(sql(spark, TARGET_POINTS)), 0.7)
+    error = metrics.mean_squared_error(score(load_model(7, path), test)).first()[0]
+    saved = spark.read.orc(f"{base}/paths").count()
+    return spark.createDataFrame([("lr-4", saved, round(error, 6))], "job string, saved bigint, mse double")
+
+
 @query("b7_messages", f"""
 SELECT idx, 'number: ' || idx || ', iterations: 2, step: ' || step || ', regParam: ' || regparam
        || ', miniBatchFraction: 1.0, regType: l2, intercept: true, convergenceTol: 0, mse: ' AS message,

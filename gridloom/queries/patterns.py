@@ -76,6 +76,18 @@ def k5_itemset_tables(spark):
     return spark.read.orc(f"{target}_items").drop("timestamp")
 
 
+@query("k5_rule_tables", f"""
+SELECT 'job-17' AS key_id, antecedent, consequent, confidence, 0.1::DOUBLE AS min_support
+FROM ({rules_sql(0.1, 0.6)}) AS r""")
+def k5_rule_tables(spark):
+    """The FP-growth job with rules as its output, appended to an ORC target."""
+    target = scratch(spark, "patterns") + "/found"
+    pattern_job(spark, "job-17", {"data": ORDER_FLAGS, "minsupport": "0.1", "minconfidence": "0.6",
+                                  "output": "Rules", "saveresult": target})
+    return spark.read.orc(f"{target}_rules").select("key_id", "antecedent", "consequent", *rounded("confidence"),
+                                                    "min_support")
+
+
 TEXT_SUPPORT = 0.5
 
 
@@ -161,3 +173,28 @@ def m19_prefix_span(spark):
     found = patterns.sequential_patterns(day_sequences(spark), SEQUENCE_SUPPORT, max_length=5)
     sets = F.transform("sequence", lambda s: bracketed(F.array_sort(s).cast("array<string>")))
     return found.select(F.array_join(sets, "").alias("pattern"), "freq")
+
+
+LONG_SUPPORT = 0.002
+
+
+@query("m19_long_patterns", f"""
+WITH RECURSIVE e AS MATERIALIZED (
+    SELECT DISTINCT user_id, CAST(ts AS DATE) AS d, floor(hour(ts) / 6) AS slot, {ITEM} AS item FROM events
+    WHERE event_type IS NOT NULL),
+grown(user_id, d, slot, item, pattern, n) AS (
+    SELECT user_id, d, slot, item, '[' || item, 1 FROM e
+    UNION
+    SELECT e.user_id, e.d, e.slot, e.item,
+           g.pattern || CASE WHEN e.slot = g.slot THEN ',' ELSE '][' END || e.item, g.n + 1
+    FROM grown AS g JOIN e ON e.user_id = g.user_id AND e.d = g.d
+         AND (e.slot > g.slot OR (e.slot = g.slot AND e.item > g.item)) WHERE g.n < 5),
+days AS (SELECT ceil({LONG_SUPPORT} * count(*)) AS least FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events) AS s)
+SELECT pattern || ']' AS pattern, freq
+FROM (SELECT pattern, count(DISTINCT (user_id, d)) AS freq FROM grown GROUP BY pattern) AS f, days
+WHERE freq >= least""", uses="events")
+def m19_long_patterns(spark):
+    """The same at a support that patterns of three and more items reach; the SQL grows patterns of any length up to five."""
+    found = patterns.sequential_patterns(day_sequences(spark), LONG_SUPPORT, max_length=5)
+    sets = F.transform("sequence", lambda s: bracketed(F.array_sort(s).cast("array<string>")))
+    return found.select(F.array_join(sets, "").alias("pattern"), "freq")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from gridloom.operators import cluster, isotonic, linear, pairs, recommend, reduce, rows, terms, topics, trees
+from gridloom.operators import cluster, isotonic, linear, metrics, pairs, recommend, reduce, rows, terms, topics, trees
 from gridloom.operators.keys import dense_keys
 from gridloom.operators.scoring import score
 from gridloom.operators.split import split_by_key
@@ -244,3 +244,27 @@ def test_count_vectors(spark):
     assert {r["term"] for r in topics.named_terms(online, words).collect()} == {"a"}
     none, empty = terms.count_vectors(tokens.limit(0))
     assert none.count() == 0 and empty.count() == 0
+
+
+# --- silhouette ---
+
+def test_silhouette_against_all_pairs(spark):
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(0, 1, (30, 3)), rng.normal(5, 1, (20, 3)), [[50.0, 50.0, 50.0]]])
+    label = [0] * 30 + [1] * 20 + [7]
+    frame = spark.createDataFrame([(c, [float(v) for v in r]) for c, r in zip(label, x)], "cluster int, x array<double>") \
+        .select("cluster", array_to_vector("x").alias("features"))
+    away = ((x[:, None] - x[None]) ** 2).sum(2)
+    label = np.array(label)
+    values = []
+    for i, c in enumerate(label):
+        same = label == c
+        if same.sum() == 1:
+            values.append(0.0)
+            continue
+        own = away[i, same].sum() / (same.sum() - 1)
+        near = min(away[i, label == o].mean() for o in set(label.tolist()) - {c})
+        values.append((near - own) / max(near, own))
+    assert metrics.silhouette(frame).first()[0] == pytest.approx(np.mean(values), abs=1e-9)
+    assert metrics.silhouette(frame.where("cluster = 0")).first()[0] == 0.0
+    assert metrics.silhouette(frame.limit(0)).first()[0] is None
