@@ -91,4 +91,5 @@ def test_contract():
     assert "pipeline" not in entry.oracle_sql()
     assert sorted(n for n in entry.queries() if n.startswith("op")) == sorted(
         ["op1_kd_tree", "op2_simple8b", "op3_hyperminhash", "op4_counterfactual", "op5_chat_layouts",
-         "op6_brown_classes", "op7_fm_index", "op8_site_lines", "op9_quality_rules", "op10_bin_completion"])
+         "op6_brown_classes", "op7_fm_index", "op8_site_lines", "op9_quality_rules", "op10_bin_completion",
+             "op11_merkle_manifest", "op12_suffix_array", "op13_prefix_trie"])
