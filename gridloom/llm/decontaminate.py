@@ -5,10 +5,13 @@ case. A window is ``width`` consecutive words of an item; a shorter item is one
 Only the test items' vocabulary gets symbols of its own; all other words separate, and runs
 shorter than the shortest window can hold no occurrence, so they stay out of the index.
 
-Test items are broadcast in blocks of at most ``BLOCK_BYTES`` of text; with several blocks
-the documents pass through one scan after another, each adding to the spans found so far.
+Test items are broadcast in blocks of about ``BLOCK_BYTES`` of text, of which the driver holds one
+at a time; with several blocks the documents pass through one scan after another, each
+adding to the spans found so far. A text goes to Python once; what comes back is counts,
+spans and the text of documents that lose something.
 
-Cases: a null or empty text has no words and no hits, and stays null or empty. An item
+Cases: a null or empty text has no words and no hits, and stays null or empty. A text of
+any length is searched whole, in a shard of its own if it is longer than one. An item
 without words has no window; an item without an id still marks its words and is named by
 the empty string; repeated items count once. Repeated documents are searched each on its
 own. Without documents or items the result has no rows or no hits. Result columns get
@@ -21,9 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from gridloom.llm.common import free_name
 from gridloom.llm.fm_index import FmIndex
@@ -130,14 +134,14 @@ def _ranges(mask: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def _scan(phrases: Phrases, texts: pa.Array, before: pa.Array | None) -> dict[str, list]:
-    """Counts, items, byte spans and cleaned text of each row; ``before``: word ranges and items so far."""
-    out: dict[str, list] = {"n_words": [], "n_hit": [], "items": [], "spans": [], "ranges": [], "cleaned": []}
+def _scan(phrases: Phrases, texts: pa.Array, before: pa.Array | None, last: bool,
+          keep_text: bool) -> Iterator[pa.StructArray]:
+    """What each row has, a slice at a time; ``before``: word ranges and items so far."""
+    kind = _found(last, keep_text)
     for begin, end, data, bounds in slices(texts, SHARD_BYTES):
         starts, ends = word_spans(data, bounds, NOT_ALNUM)
         cut = rows_of(starts, bounds)
-        symbols = phrases.symbols(word_hashes(data, starts, ends))
-        mask, pairs = find(symbols, cut, phrases)
+        mask, pairs = find(phrases.symbols(word_hashes(data, starts, ends)), cut, phrases)
         items: list[set[str]] = [set() for _ in range(end - begin)]
         for p in pairs.tolist():
             items[p // len(phrases.names)].add(phrases.names[p % len(phrases.names)])
@@ -146,42 +150,58 @@ def _scan(phrases: Phrases, texts: pa.Array, before: pa.Array | None) -> dict[st
                 items[i] |= set(seen["items"])
                 for a, b in zip(seen["ranges"][::2], seen["ranges"][1::2]):
                     mask[cut[i] + a: cut[i] + b] = True
-        hits = np.concatenate([[0], np.cumsum(mask)])[cut]
-        first, last = _ranges(mask, cut)
+        first, final = _ranges(mask, cut)
         own = np.searchsorted(first, cut)
+        out: dict[str, list | np.ndarray] = {f.name: [] for f in kind}
+        out["n_words"] = np.diff(cut)
+        out["n_hit"] = np.diff(np.concatenate([[0], np.cumsum(mask)])[cut])
         for i in range(end - begin):
-            a, b = first[own[i]: own[i + 1]], last[own[i]: own[i + 1]]
+            a, b = first[own[i]: own[i + 1]], final[own[i]: own[i + 1]]
             spans = [(int(starts[x] - bounds[i]), int(ends[y - 1] - bounds[i])) for x, y in zip(a, b)]
-            out["n_words"].append(int(cut[i + 1] - cut[i]))
-            out["n_hit"].append(int(hits[i + 1] - hits[i]))
             out["items"].append(sorted(items[i]))
+            if not last:
+                out["ranges"].append(np.stack([a - cut[i], b - cut[i]], 1).ravel().tolist())
+                continue
             out["spans"].append([{"start": s, "end": e} for s, e in spans])
-            out["ranges"].append(np.stack([a - cut[i], b - cut[i]], 1).ravel().tolist())
-            if spans and texts[begin + i].is_valid:
-                raw = data[bounds[i]: bounds[i + 1]].tobytes()
+            if keep_text:
+                raw = data[bounds[i]: bounds[i + 1]].tobytes() if spans else b""
                 edges = [0, *[e for s in spans for e in s], len(raw)]
-                out["cleaned"].append(b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2])).decode())
-            else:
-                out["cleaned"].append(texts[begin + i].as_py())
-    return out
-
-
-_SPAN = T.StructType().add("start", "long").add("end", "long")
-_RESULT = (T.StructType().add("n_words", "long").add("n_hit", "long").add("items", T.ArrayType(T.StringType()))
-           .add("spans", T.ArrayType(_SPAN)).add("ranges", T.ArrayType(T.LongType())).add("cleaned", "string"))
-_ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
-                    ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                    ("ranges", pa.list_(pa.int64())), ("cleaned", pa.string())])
-
-
-def _blocks(items: DataFrame, item: str, text: str) -> Iterator[list[tuple[str, str]]]:
-    """The test items in blocks of about ``BLOCK_BYTES`` of text; each block goes through the driver."""
+                out["cleaned"].append(b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2])).decode()
+                                      if spans else None)
+        yield pa.StructArray.from_arrays([pa.array(out[f.name], f.type) for f in kind], fields=list(kind))
+
+
+def _found(last: bool, keep_text: bool) -> pa.DataType:
+    """What a scan returns: byte spans and the text of rows with hits from the last, word ranges from others."""
+    fields = [("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string()))]
+    if not last:
+        return pa.struct([*fields, ("ranges", pa.list_(pa.int64()))])
+    fields.append(("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
+    return pa.struct([*fields, *([("cleaned", pa.string())] if keep_text else [])])
+
+
+def _scanner(held: Broadcast, carried: bool, last: bool, keep_text: bool):
+    """The scan for the phrases of one block, as a function of the text and of what the scan before found."""
+    kind = from_arrow_type(_found(last, keep_text))
+    if carried:
+        @F.arrow_udf(kind)
+        def scan(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for texts, before in batches:
+                yield from _scan(held.value, texts, before, last, keep_text)
+    else:
+        @F.arrow_udf(kind)
+        def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for texts in batches:
+                yield from _scan(held.value, texts, None, last, keep_text)
+    return scan
+
+
+def _blocks(items: DataFrame, item: str, text: str) -> tuple[int, DataFrame]:
+    """The number of blocks of about ``BLOCK_BYTES`` of text, and the test items with their block."""
     rows = items.select(F.col(f"`{item}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n = total // BLOCK_BYTES + 1
-    for b in range(n):
-        mine = rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b)
-        yield [(r["item"], r["text"]) for r in mine.collect()]
+    return n, rows.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id",
@@ -193,25 +213,17 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item: s
     With ``keep_text=False`` neither the text nor ``cleaned`` is carried on.
     """
     out = free_name(docs, out)
-    kept = [F.col(f"`{c}`") for c in docs.columns if keep_text or c != text]
-    # the rows' columns travel as one struct, so their names may be any
-    frame = docs.select(F.struct(*kept).alias("row"), F.col(f"`{text}`").alias("text"))
-    row_type = frame.schema["row"].dataType
-    blocks = list(_blocks(items, item, item_text))
-    for number, block in enumerate(blocks):
+    frame, found = docs, None
+    n, rows = _blocks(items, item, item_text)
+    for number in range(n):
+        block = [(r["item"], r["text"]) for r in rows.filter(F.col("block") == number).collect()]
         held = docs.sparkSession.sparkContext.broadcast(Phrases(block, width))
-        schema = T.StructType().add("row", row_type).add("text", "string").add("found", _RESULT)
-
-        def scan(batches, held=held, carried=number > 0, last=number == len(blocks) - 1):
-            for batch in batches:
-                texts = batch.column(1)
-                found = _scan(held.value, texts, batch.column(2) if carried else None)
-                if last and not keep_text:
-                    found["cleaned"] = [None] * len(texts)
-                made = pa.StructArray.from_arrays(
-                    [pa.array(found[f.name], f.type) for f in _ARROW], fields=list(_ARROW))
-                again = pa.nulls(len(texts), pa.string()) if last else texts  # for the next block's scan
-                yield pa.RecordBatch.from_arrays([batch.column(0), again, made], names=["row", "text", "found"])
-
-        frame = frame.mapInArrow(scan, schema)
-    return frame.select("row.*", F.col("found").alias(out)), out
+        scan = _scanner(held, number > 0, number == n - 1, keep_text)
+        name = free_name(frame, f"scan_{number}")
+        frame = frame.withColumn(name, scan(F.col(f"`{text}`"), *([F.col(found)] if found else [])))
+        found = name
+    fields = [F.col(found)[f] for f in ("n_words", "n_hit", "items", "spans")]
+    if keep_text:
+        fields.append(F.coalesce(F.col(found)["cleaned"], F.col(f"`{text}`")).alias("cleaned"))
+    kept = [F.col(f"`{c}`") for c in docs.columns if keep_text or c != text]
+    return frame.select(*kept, F.struct(*fields).alias(out)), out
