@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gridloom/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of Spark for the queries run inside; it is put back afterwards."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back.
 
@@ -30,6 +43,15 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+TEXT_ROWS = "1000"  # whole texts that go to Python at once: a batch is held on both sides
+
+
+def stored_by_texts(frame: DataFrame, name: str) -> DataFrame:
+    """The same for rows that Python makes of whole texts, in smaller batches than Spark's own."""
+    with setting(frame.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS):
+        return stored(frame, name)
+
+
 BROADCAST_IDS = 1 << 20
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,16 @@ _VALUES = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64) * n
 _powers: dict[str, np.ndarray] = {}
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return memory that is no longer used to the machine: Python workers live on from batch to batch and task to task."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit integers (a bijection)."""
     h = h ^ (h >> np.uint64(30))
