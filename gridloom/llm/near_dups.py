@@ -10,10 +10,10 @@
    member, not all pairs.
 4. What is left are buckets that hold several components. Classes that such buckets connect
    form a group; a group is dealt into blocks of bounded size, a large component into blocks of
-   its own, and blocks are compared two by two in one task each, estimate first, full sets after.
-   Two blocks of one component are not compared, and a block pair gives only links that join two
-   components. So every pair of a bucket is linked, connected or compared, and no list of
-   candidate pairs is ever made.
+   its own, and blocks that share a bucket are compared two by two in one task each, estimate
+   first, full sets after. Two blocks of one component are not compared, and a block pair gives
+   only links that join two components. So every pair of a bucket is linked, connected or
+   compared, and no list of candidate pairs is ever made.
 
 The component is named by its smallest document id. Cases: an empty or null text has an
 empty set and is linked with nothing. A row without id cannot be named in a link and stays
@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import ids_side, stored
+from gridloom.llm.common import ids_side, stored, stored_by_texts
 from gridloom.llm.components import components
 from gridloom.llm.sketches import REGISTERS, band_keys, estimate, registers, shingle_hashes
-from gridloom.llm.words import IS_SPACE, mix, rows_of, slices, take_ranges, word_hashes, word_spans
+from gridloom.llm.words import IS_SPACE, give_back, mix, rows_of, slices, take_ranges, word_hashes, word_spans
 
 WIDTH, PERCENT = 5, 80
 DEVIATIONS = 6.0
@@ -72,6 +72,8 @@ def sketched(docs: DataFrame, width: int, sets: bool = False) -> DataFrame:
                 columns.append(pa.array(shingles, pa.list_(pa.int64())))
                 names.append("shingles")
             yield pa.RecordBatch.from_arrays(columns, names=names)
+            del n, cls, sketch, shingles, columns
+            give_back()
 
     more = ", shingles array<bigint>" if sets else ""
     return docs.mapInArrow(scan, "doc_id bigint, n_shingles bigint, cls bigint, sketch binary" + more)
@@ -215,11 +217,12 @@ def _compare(rows: pa.Table, percent: int) -> pa.Table:
 def _links_in_blocks(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between components among the classes of open buckets."""
     rows = _blocks(entries, sets)
-    blocks = rows.select("grp", "block", "own").distinct()
-    other = blocks.select("grp", F.col("block").alias("other"), F.col("own").alias("other_own"))
-    # each block with itself and those behind it in its group, but not two blocks of one component
-    pairs = blocks.join(other, "grp").filter("block <= other").filter(
-        "own is null or other_own is null or own <> other_own").select("grp", "block", "other")
+    blocks = stored(entries.select("key", "cls").join(rows.select("cls", "grp", "block", "own"), "cls")
+                    .select("key", "grp", "block", "own").distinct(), "buckets")
+    other = blocks.select("key", "grp", F.col("block").alias("other"), F.col("own").alias("other_own"))
+    # each block with itself and those behind it that have a bucket of it too, but not two blocks of one component
+    pairs = stored(blocks.join(other, ["key", "grp"]).filter("block <= other").filter(
+        "own is null or other_own is null or own <> other_own").select("grp", "block", "other").distinct(), "pairs")
     one = pairs.select("grp", "block", "other", F.col("block").alias("mine"), F.lit(True).alias("first"))
     two = pairs.filter("block <> other").select("grp", "block", "other", F.col("other").alias("mine"),
                                                 F.lit(False).alias("first"))
@@ -233,7 +236,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row; ``kept`` marks one document of each group."""
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    base = stored(sketched(rows, width), "sketches")
+    base = stored_by_texts(sketched(rows, width), "sketches")
     classes = base.filter("cls is not null and doc_id is not null").groupBy("cls") \
         .agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"))
     bands = _bands(classes)
@@ -243,7 +246,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     heads = stored(entries.select("cls").distinct().join(base.select("cls", "doc_id"), "cls")
                    .groupBy("cls").agg(F.min("doc_id").alias("doc_id")), "heads")
     texts = rows.join(ids_side(heads.select("doc_id")), "doc_id", "left_semi")
-    sets = stored(sketched(texts, width, sets=True).filter("cls is not null").join(heads, ["cls", "doc_id"], "left_semi")
+    sets = stored_by_texts(sketched(texts, width, sets=True).filter("cls is not null").join(heads, ["cls", "doc_id"], "left_semi")
                   .dropDuplicates(["cls"]).select("cls", "n_shingles", "sketch", "shingles"), "sets")
 
     links = stored(_linked(_hub_pairs(entries), sets, percent), "links")
