@@ -31,7 +31,7 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from gridloom.llm.common import free_name
 from gridloom.llm.fm_index import FmIndex
-from gridloom.llm.words import NOT_ALNUM, rows_of, slices, take_ranges, word_hashes, word_spans
+from gridloom.llm.words import NOT_ALNUM, give_back, rows_of, slices, take_ranges, word_hashes, word_spans
 
 WIDTH = 10
 BLOCK_BYTES = 16 << 20
@@ -188,11 +188,13 @@ def _scanner(held: Broadcast, carried: bool, last: bool, keep_text: bool):
         def scan(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
             for texts, before in batches:
                 yield from _scan(held.value, texts, before, last, keep_text)
+                give_back()
     else:
         @F.arrow_udf(kind)
         def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in batches:
                 yield from _scan(held.value, texts, None, last, keep_text)
+                give_back()
     return scan
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.bin_completion import NODES, pack_lengths
 from gridloom.llm.common import stored
 from gridloom.llm.tokens import encoder
-from gridloom.llm.words import take_ranges
+from gridloom.llm.words import give_back, take_ranges
 
 CAPACITY = 1024
 BUCKETS = 64
@@ -61,6 +61,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end: int, capacity: int = CAPA
                     columns.append(pa.ListArray.from_arrays(pa.array(edges), pa.array(ids.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+            give_back()
 
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     more = ", ids array<int>" if with_ids else ""

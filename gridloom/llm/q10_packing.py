@@ -5,14 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm.common import stored, table
+from gridloom.llm.common import stored_by_texts, table
 from gridloom.llm.packing import pack_pieces, token_pieces
 from gridloom.llm.registry import query
 
 
 def packed(docs: DataFrame) -> DataFrame:
     pieces = token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), end=2)
-    return pack_pieces(stored(pieces, "pieces"))
+    return pack_pieces(stored_by_texts(pieces, "pieces"))
 
 
 @query("op10_bin_completion")

@@ -21,8 +21,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import TEXT_ROWS, setting
 from gridloom.llm.simple8b import Packed, pack, unpack
 from gridloom.llm.tokens import encoder
+from gridloom.llm.words import give_back
 
 SEGMENT = 1 << 18
 _FORMAT = ("part int, seq int, first bigint, n_ids bigint, doc_ids array<bigint>, sizes array<bigint>, "
@@ -70,10 +72,12 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int, doc_id: str
                         yield _segment(part, seq, first, names, sizes, held)
                         first, seq = first + sum(sizes), seq + 1
                         names, sizes, held = [], [], []
+            give_back()
         if names:
             yield _segment(part, seq, first, names, sizes, held)
 
-    dealt.mapInArrow(code, _FORMAT).write.parquet(path)
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS):
+        dealt.mapInArrow(code, _FORMAT).write.parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:

@@ -23,6 +23,7 @@ from gridloom.llm.words import IS_SPACE, LOWER, slices, take_ranges, word_hashes
 #: The published pattern of byte-level pre-tokenizers: a fixed value.
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHED = 400_000
+SLICE = 1 << 20  # text encoded at once: the positions of its pieces are what takes memory
 _PLAIN = regex.compile(r"[ \t\n\r]?[\x21-\x7e\xa1-\xff]+")
 _LEADS = np.zeros(256, bool)
 _LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True  # first bytes of all white space beyond ASCII
@@ -144,7 +145,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array, end: int):
         """``first row, end row, ids, offsets`` of slices of rows; each text ends with the id ``end``."""
-        for first, last, data, bounds in slices(texts):
+        for first, last, data, bounds in slices(texts, SLICE):
             if self.pattern is None:
                 found = self.whole.encode_batch(texts.slice(first, last - first).fill_null("").to_pylist(),
                                                 add_special_tokens=False)
