@@ -8,7 +8,8 @@ buckets, so that a length with a third of all pieces is many small windows, and
 its sequence and offset by a join with the slots of its length, a table bounded by the
 capacity.
 
-Cases: a null or empty text is a piece of the end id alone. Rows without a document id, and
+Cases: a null or empty text is a piece of the end id alone. A text of any length is encoded
+whole and cut by its ids. Rows without a document id, and
 rows that repeat one, are documents of their own (they only share the id). An empty
 table gives no pieces. Columns beside id and text are not read.
 """

@@ -5,7 +5,8 @@ partition, at least ``SEGMENT`` ids unless it is the partition's last: ``part``
 ``first`` (ids of the partition before it) place it, ``doc_ids`` and ``sizes`` are its
 index, ``words``, ``blocks`` and ``escapes`` its code, little-endian.
 
-Cases: a null text is empty, so its document is the end id alone. Rows without a document
+Cases: a null text is empty, so its document is the end id alone. A text of any length is
+encoded whole and stays in one segment. Rows without a document
 id come first. Rows of one id are ordered by a hash of their text; equal rows are
 documents of their own. An empty table gives files without segments. Columns beside id
 and text are not read.
