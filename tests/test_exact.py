@@ -111,6 +111,19 @@ def test_similar_vectors_are_all_pairs(spark, width, per_task):
     assert pairs.similar_vectors(empty, "id", "features", 0.5)[0].count() == 0
 
 
+def test_similar_vectors_meet_as_blocks_not_as_rows(spark):
+    points = np.random.default_rng(5).normal(size=(90, 16)) * 0.2
+    points[:30] = points[0]  # a crowd of copies, and points without a distance
+    points[40], points[41, 3] = np.nan, np.inf
+    found, _ = pairs.similar_vectors(vectors(spark, points), "id", "features", 0.6, rows_per_task=25)
+    d2 = ((points[:, None] - points[None]) ** 2).sum(2)
+    want = {(i, j) for i in range(90) for j in range(i + 1, 90) if d2[i, j] <= pairs.radius_squared(0.6)}
+    got = [(r.src, r.dst) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 435
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in text and "zip_with(" not in text  # distances of row pairs, one after another
+
+
 # --- mixtures ---
 
 def test_mixture_steps_raise_the_likelihood_and_equal_the_library_at_its_end(spark):
