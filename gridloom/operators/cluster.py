@@ -11,13 +11,14 @@ from pyspark import StorageLevel
 from pyspark.ml.clustering import (
     BisectingKMeans, BisectingKMeansModel, GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel,
     PowerIterationClustering)
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators.metrics import accuracy, cluster_sizes, nearest_centre
 from gridloom.operators.reduce import Components, batch_sums, fit_components
 from gridloom.operators.relabel import relabel
+from gridloom.session import ensure_checkpoint_dir
 
 SEED = 42
 
@@ -212,8 +213,16 @@ def cluster_with_reduction(points: DataFrame, k: int = 3, iterations: int = 50,
     return ReducedClusters(kmeans, components, share, cost, relabelled)
 
 
-def power_iteration(edges: DataFrame, k: int = 3, iterations: int = 50, mode: str = "random") -> DataFrame:
-    """``id, cluster`` for a weighted edge table ``src, dst, weight``."""
+def power_iteration(edges: DataFrame, k: int = 3, iterations: int = 50, mode: str = "random",
+                    members: DataFrame | None = None) -> DataFrame:
+    """``id, cluster`` for a weighted edge table ``src, dst, weight``.
+
+    With ``members`` (``id, class``) the edges are between classes and hold for all members: each member of ``src`` is
+    linked with each of ``dst``, and an edge from a class to itself links its members with one another. A group of
+    equal points is then one edge, not one for every two of them.
+    """
+    if members is not None:
+        return _clusters_of_values(power_values(edges, members, iterations, mode), k)
     learner = PowerIterationClustering(k=k, maxIter=iterations, initMode=mode, weightCol="weight")
     stored = edges.persist(StorageLevel.MEMORY_AND_DISK)  # the iterations read the edges again and again
     try:
@@ -224,6 +233,68 @@ def power_iteration(edges: DataFrame, k: int = 3, iterations: int = 50, mode: st
         stored.unpersist()
 
 
+def power_values(edges: DataFrame, members: DataFrame, iterations: int = 50, mode: str = "random") -> DataFrame:
+    """``id, start, value`` after so many multiplications by the graph's row-normalised weights.
+
+    Members with the same classes have the same neighbours, so their values are ``a * start + b`` with one ``a`` and ``b``
+    for all of them: an iteration reads one row of each such kind and the edges between kinds, not the members. Random
+    starts are normal numbers made of the id, the same on any partitioning. Nodes without a link are left out. A row
+    of weights adds up to 1, so values need no scaling on the way; all ``iterations`` are done.
+    """
+    if mode not in ("random", "degree"):
+        raise ValueError("mode must be random or degree")
+    ensure_checkpoint_dir(edges.sparkSession)
+    # an id that comes several times has links of several times the weight
+    profile = F.array_sort(F.collect_list(F.struct("class", "times")))
+    nodes = (members.select(F.col("id").cast("bigint").alias("id"), "class").where("id IS NOT NULL AND class IS NOT NULL")
+             .groupBy("id", "class").agg(F.count(F.lit(1)).alias("times"))
+             .groupBy("id").agg(profile.alias("profile"))
+             .select("id", F.to_json("profile").alias("kind"), "profile", _normal(F.col("id")).alias("start")).checkpoint())
+    kinds = nodes.groupBy("kind").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("start").alias("starts"),
+                                      F.first("profile").alias("profile"))
+    held = kinds.select("kind", F.explode("profile").alias("p")).select("kind", "p.class", "p.times")
+    both = edges.select("src", "dst", "weight").union(
+        edges.where("src <> dst").select("dst", "src", "weight")).where("weight > 0")
+    there = held.select(F.col("kind").alias("other"), F.col("class").alias("dst"), F.col("times").alias("there"))
+    links = (held.withColumnRenamed("class", "src").join(both, "src").join(there, "dst")
+             .groupBy("kind", "other").agg(F.sum(F.col("weight") * F.col("times") * F.col("there")).alias("weight"))
+             .checkpoint())
+    own = links.where("kind = other").select("kind", F.col("weight").alias("own"))
+    sums = kinds.select(F.col("kind").alias("other"), F.col("n").alias("n_other"))
+    degrees = links.join(sums, "other").groupBy("kind").agg(F.sum(F.col("weight") * F.col("n_other")).alias("all"))
+    degree = F.col("all") - F.col("own")
+    state = (kinds.select("kind", "n", "starts").join(degrees, "kind").join(own, "kind", "left").fillna(0.0, ["own"])
+             .withColumn("degree", degree).where("degree > 0").drop("all"))
+    by_degree = F.lit(mode == "degree")
+    state = state.select("kind", "n", "starts", "own", "degree", F.when(by_degree, 0.0).otherwise(1.0).alias("a"),
+                         F.when(by_degree, F.col("degree")).otherwise(0.0).alias("b")).checkpoint()
+    for _ in range(iterations):
+        sent = state.select(F.col("kind").alias("other"), (F.col("a") * F.col("starts") + F.col("b") * F.col("n")).alias("sent"))
+        came = links.join(sent, "other").groupBy("kind").agg(F.sum(F.col("weight") * F.col("sent")).alias("came"))
+        state = state.join(came, "kind").select(
+            "kind", "n", "starts", "own", "degree", (-F.col("own") * F.col("a") / F.col("degree")).alias("a"),
+            ((F.col("came") - F.col("own") * F.col("b")) / F.col("degree")).alias("b")).checkpoint()
+    return nodes.join(state.select("kind", "a", "b"), "kind").select(
+        "id", "start", (F.col("a") * F.col("start") + F.col("b")).alias("value"))
+
+
+def _normal(key: Column) -> Column:
+    """A normal number made of a key (two uniform ones, by Box and Muller)."""
+    even = [(F.shiftrightunsigned(F.xxhash64(key, F.lit(SEED + i)), 11) + 0.5) / F.lit(float(1 << 53)) for i in range(2)]
+    return F.sqrt(-2.0 * F.log(even[0])) * F.cos(2.0 * F.pi() * even[1])
+
+
+def _clusters_of_values(values: DataFrame, k: int) -> DataFrame:
+    """``id, cluster`` by k-means on the values, scaled to one on average so that its tolerance does not depend on them."""
+    stored = values.select("id", "value").checkpoint()
+    size = stored.agg(F.avg(F.abs("value"))).first()[0]
+    if size is None:
+        return values.sparkSession.createDataFrame([], "id bigint, cluster int")
+    points = stored.select("id", array_to_vector(F.array(F.col("value") / F.lit(size or 1.0))).alias("features"))
+    model = KMeans(k=k, seed=0).fit(points)
+    return model.transform(points).select("id", F.col("prediction").alias("cluster"))
+
+
 def cluster_report(assigned: DataFrame, cluster: str = "cluster", member: str = "id") -> DataFrame:
     """Clusters by ascending size with their sorted members, one row per member.
 
