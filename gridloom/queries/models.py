@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators import bayes, cluster, isotonic, linear, metrics, recommend, reduce, rows, topics
 from gridloom.operators import trees
-from gridloom.operators.pairs import radius_squared, similar_pairs
+from gridloom.operators.pairs import radius_squared, similar_classes
 from gridloom.operators.scoring import score
 from gridloom.queries.base import (
     LINE_POINTS, ORDER_FLAGS, PART_CENTRES, PART_POINTS, RATINGS, SIGNAL_POINTS, TARGET_POINTS,
@@ -463,8 +463,8 @@ SELECT count(DISTINCT id) AS nodes FROM (
 """, uses="part")
 def m21_power_iteration(spark):
     """Similar parts as a graph; every node of an edge gets one of three clusters."""
-    edges = similar_pairs(sql(spark, PLANE), "id", ["a", "b"], MIN_SIMILARITY)
-    assigned = cluster.power_iteration(edges, k=3, iterations=10)
+    edges, members = similar_classes(sql(spark, PLANE), "id", ["a", "b"], MIN_SIMILARITY)
+    assigned = cluster.power_iteration(edges, k=3, iterations=10, members=members)
     return assigned.where(F.col("cluster").between(0, 2)).agg(F.countDistinct("id").alias("nodes"))
 
 

@@ -166,3 +166,39 @@ def test_similar_pairs_are_never_broadcast(spark):
 def test_power_iteration_without_edges(spark):
     edges = spark.createDataFrame([], "src bigint, dst bigint, weight double")
     assert cluster.power_iteration(edges).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["random", "degree"])
+def test_power_iteration_of_classes_is_that_of_all_links(spark, mode):
+    # three places in a row, one apart; ids 3 and 20 come twice, 20 in two classes; class 9 has no link
+    rows = [(i, i % 3) for i in range(14)] + [(3, 0), (20, 3), (20, 4), (21, 3), (22, 4), (23, 4), (30, 9), (None, 1), (31, None)]
+    links = {(0, 0): 1.0, (1, 1): 1.0, (2, 2): 1.0, (0, 1): 0.7, (1, 2): 0.2, (3, 3): 1.0, (4, 4): 0.5}
+    edges = spark.createDataFrame([(*k, w) for k, w in links.items()], "src int, dst int, weight double")
+    members = spark.createDataFrame(rows, "id int, class int")
+    found = {r["id"]: (r["start"], r["value"]) for r in cluster.power_values(edges, members, 4, mode).collect()}
+    ids = sorted({i for i, c in rows if i is not None and c is not None and c != 9})
+    assert sorted(found) == ids
+    weights = np.zeros((len(ids), len(ids)))
+    for i, c in rows:
+        for j, d in rows:
+            if i in found and j in found and i != j and None not in (c, d):
+                weights[ids.index(i), ids.index(j)] += links.get((c, d), links.get((d, c), 0.0))
+    degrees = weights.sum(1)
+    value = np.array([found[i][0] for i in ids]) if mode == "random" else degrees
+    for _ in range(4):
+        value = weights @ value / degrees
+    assert np.allclose([found[i][1] for i in ids], value, rtol=1e-9, atol=1e-12)
+    assigned = cluster.power_iteration(edges, 2, 4, mode, members)
+    assert assigned.columns == ["id", "cluster"] and sorted(r["id"] for r in assigned.collect()) == ids
+    assert cluster.power_iteration(edges.limit(0), members=members).count() == 0
+
+
+def test_links_of_places_are_those_of_all_points(spark):
+    xy = [(1.0, 1.0)] * 5 + [(1.0, 1.5)] * 4 + [(9.0, 9.0), (None, 1.0)]
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(xy)], "id bigint, x double, y double")
+    links, members = pairs.similar_classes(points, "id", ["x", "y"], 0.7)
+    assert links.count() == 4  # three places and one link between two of them, whatever the number of copies
+    of = {r["id"]: r["class"] for r in members.collect()}
+    near = {(r["src"], r["dst"]) for r in links.collect()}
+    found = {(i, j) for i in of for j in of if i < j and ((of[i], of[j]) in near or (of[j], of[i]) in near)}
+    assert found == {(r["src"], r["dst"]) for r in pairs.similar_pairs(points, "id", ["x", "y"], 0.7).collect()}
