@@ -23,13 +23,24 @@ from gridloom.operators.split import split_at_random, split_by_key
 from gridloom.session import ensure_checkpoint_dir
 
 SEED = 42
+ROWS_PER_TASK = 1_000_000  # about 100 bytes each in the learner's memory
 
 
 def _training_rows(rows: DataFrame, categories: str, num_classes: int | None = None) -> DataFrame:
-    typed = with_categories(rows.select("label", "features"), parse_categories(categories))
+    typed = with_categories(_dealt(rows).select("label", "features"), parse_categories(categories))
     return with_class_count(typed, num_classes) if num_classes else typed
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """The rows in parts of about ``ROWS_PER_TASK`` or less, by a hash of the whole row.
+
+    The learners hold all rows in memory, part by part, so what a task holds and reads must not grow with the table.
+    Tables of few rows, or of enough parts, are left as they are.
+    """
+    tasks = -(-rows.count() // ROWS_PER_TASK)
+    return rows.repartition(tasks, F.xxhash64(*rows.columns)) if tasks > max(1, rows.rdd.getNumPartitions()) else rows
+
+
 def train_tree_classifier(rows: DataFrame, num_classes: int = 2, impurity: str = "gini",
                           max_depth: int = 5, max_bins: int = 32,
                           categories: str = "") -> DecisionTreeClassificationModel:

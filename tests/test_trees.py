@@ -47,3 +47,13 @@ def test_held_out_error(planted):
     model, error = trees.tree_with_error(planted, 0.7)
     assert model.depth >= 1 and 0.0 <= error <= 0.2
     assert trees.tree_with_error(planted, 1.0)[1] is None
+
+
+def test_rows_are_dealt_to_parts_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(trees, "ROWS_PER_TASK", 30)
+    points = rows.labelled_points(spark.range(100).selectExpr("id AS k", "id AS y", "id % 7 AS x0", "1 AS x1").coalesce(1))
+    kept = trees._training_rows(points, "")
+    assert kept.rdd.getNumPartitions() == 4
+    assert sorted(map(str, kept.collect())) == sorted(map(str, points.select("label", "features").collect()))
+    monkeypatch.setattr(trees, "ROWS_PER_TASK", 100)
+    assert trees._training_rows(points, "").rdd.getNumPartitions() == 1
