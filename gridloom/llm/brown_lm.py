@@ -149,6 +149,10 @@ class Tables:
         self.classes[self.ending] = CLASSES
         self.codes = np.where(self.symbol >= 0, self.symbol, self.n_symbols + self.classes)
 
+    def present(self) -> tuple[np.ndarray, np.ndarray]:
+        """Codes and classes of the frequent words, which are all that a round changes for the tasks."""
+        return self.codes.astype(np.int32), self.classes.astype(np.int32)
+
     def fit(self, table: np.ndarray, class_words: np.ndarray) -> None:
         """Log probabilities from the class bigrams and the distinct words of each class."""
         size = CLASSES + 1
@@ -317,8 +321,8 @@ def _grouped(contexts: DataFrame) -> DataFrame:
     return contexts.repartition("word").sortWithinPartitions("word").mapInArrow(scan, contexts.schema)
 
 
-def _vectors(contexts: DataFrame, held, rare: DataFrame | None) -> DataFrame:
-    """``word, rare_class, around``: counts of each word by side and code of its neighbours under the present classes.
+def _vectors(contexts: DataFrame, held, now, rare: DataFrame | None) -> DataFrame:
+    """``word, rare_class, around``: counts of each word by side and code of its neighbours under the classes of ``now``.
 
     The entries are packed. ``rare_class`` is the class of a word that is not a frequent one.
     """
@@ -326,7 +330,7 @@ def _vectors(contexts: DataFrame, held, rare: DataFrame | None) -> DataFrame:
     size, n_symbols = tables.end + 1, tables.n_symbols
 
     def scan(batches):
-        codes = held.value.codes
+        codes, _ = now.value
         for batch in batches:
             row, key, n = _entries(batch.column(1), _CONTEXT_BITS)
             code, which = np.unique(row * (2 * size) + (key & 1) * size + codes[key >> 1], return_inverse=True)
@@ -352,16 +356,17 @@ def _vectors(contexts: DataFrame, held, rare: DataFrame | None) -> DataFrame:
         .select("word", F.coalesce("rare_class", F.lit(-1)).alias("rare_class"), "around")
 
 
-def _count_codes(vectors: DataFrame, held) -> DataFrame:
+def _count_codes(vectors: DataFrame, held, now) -> DataFrame:
     """``pair, n``: bigrams of codes in which a word that is no symbol takes part."""
     def scan(batches):
         tables = held.value
+        _, classes = now.value
         size = tables.end + 1
         counts = np.zeros(size * size, np.int64)
         for batch in batches:
             row, key, n = _entries(batch.column(2), _VECTOR_BITS)
             at, known = tables.find(np.asarray(batch.column(0)))
-            own = np.where(known, tables.classes[at], np.asarray(batch.column(1)))[row] + tables.n_symbols
+            own = np.where(known, classes[at], np.asarray(batch.column(1)))[row] + tables.n_symbols
             side, code = np.divmod(key, size)
             # a word behind that is no symbol counts the pair itself, in its own row
             once = (side == 0) | (code < tables.n_symbols) | (code == tables.end)
@@ -374,16 +379,20 @@ def _count_codes(vectors: DataFrame, held) -> DataFrame:
     return vectors.mapInArrow(scan, "pair bigint, n bigint")
 
 
-def _best_classes(vectors: DataFrame, held, ratios) -> DataFrame:
-    """``word, class, rare``: for each word the class that suits its neighbours best."""
+def _best_classes(vectors: DataFrame, held, moved) -> DataFrame:
+    """``word, class, rare``: for each word the class that suits its neighbours best.
+
+    ``moved`` has the classes of the codes and what a context of each class is worth.
+    """
     def scan(batches):
         tables = held.value
-        side_class = np.concatenate([tables.code_classes, tables.code_classes + CLASSES + 1])
+        code_classes, ratios = moved.value
+        side_class = np.concatenate([code_classes, code_classes + CLASSES + 1])
         for batch in batches:
             row, key, n = _entries(batch.column(2), _VECTOR_BITS)
             width = 2 * (CLASSES + 1)
             around = np.bincount(row * width + side_class[key], n, batch.num_rows * width).reshape(-1, width)
-            best = np.argmax(around @ ratios.value, axis=1).astype(np.int32)
+            best = np.argmax(around @ ratios, axis=1).astype(np.int32)
             _, known = tables.find(np.asarray(batch.column(0)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best), pa.array(~known)],
                                              names=["word", "class", "rare"])
@@ -428,9 +437,9 @@ def _cluster(train: DataFrame, tables: Tables, shapes: np.ndarray, rare_words: D
     _forget(spark)
     best, kept = -np.inf, None
     for turn in range(ROUNDS + 1):
-        held = spark.sparkContext.broadcast(tables)
-        vectors = _vectors(contexts, held, rare).persist(StorageLevel.DISK_ONLY)
-        found = _count_codes(vectors, held).groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+        now = spark.sparkContext.broadcast(tables.present())
+        vectors = _vectors(contexts, held, now, rare).persist(StorageLevel.DISK_ONLY)
+        found = _count_codes(vectors, held, now).groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
         pairs = base + _square(found, size)
         codes = exchange(pairs, CLASSES, tables.end, 2, tables.code_classes, n_symbols)
         tables.classify(codes, tables.classes)
@@ -443,19 +452,24 @@ def _cluster(train: DataFrame, tables: Tables, shapes: np.ndarray, rare_words: D
             rises = False
         if not rises or turn == ROUNDS:
             vectors.unpersist()
+            now.destroy()
             break
-        moved = spark.sparkContext.broadcast(tables)
-        chosen = _best_classes(vectors, moved, spark.sparkContext.broadcast(_ratios(table)))
+        moved = spark.sparkContext.broadcast((tables.code_classes, _ratios(table)))
+        chosen = _best_classes(vectors, held, moved)
         if rare is not None:
             chosen = stored(chosen, "classes")
             rare = chosen.filter("rare").select("word", "class")
         own = chosen.filter("NOT rare").select("word", "class").toArrow()
         vectors.unpersist()
         vectors = chosen = None
+        # else a file of each broadcast stays on the driver, and on the executors until the driver collects its garbage
+        now.destroy()
+        moved.destroy()
         _forget(spark)
         classes = tables.classes.copy()
         classes[tables.find(np.asarray(own["word"]))[0]] = np.asarray(own["class"])
         tables.classify(codes, classes)
+    held.destroy()
     codes, classes, rare, table = kept
     tables.classify(codes, classes)
     # a shape has the class that suits its neighbours among the symbols best

@@ -1,5 +1,6 @@
 """The operators that run numpy inside tasks: cases against plain Python."""
 
+import os
 import random
 import zlib
 from collections import Counter
@@ -277,6 +278,20 @@ def test_words_beyond_the_symbols_have_classes_by_their_contexts(spark, monkeypa
     assert found[held[0]].score > found[held[1]].score + 10
 
 
+@pytest.mark.parametrize("frequent", [1 << 19, 30])
+def test_rounds_leave_no_broadcast_files(spark, monkeypatch, frequent):
+    monkeypatch.setattr(brown_lm, "SYMBOLS", 20)
+    monkeypatch.setattr(brown_lm, "FREQUENT", frequent)
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(send(self, value)) or sent[-1])
+    rng = random.Random(6)
+    texts = [" ".join(f"{rng.choice('abc')}{rng.randrange(40)}x" for _ in range(30)) for _ in range(60)]
+    found = brown_lm.score(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), held_out())
+    # what the scores are made of is sent last and is still needed
+    assert len(sent) > 2 and [os.path.exists(b._path) for b in sent] == [False] * (len(sent) - 1) + [True]
+    assert found.count() == 60
+
+
 def test_packed_counts():
     place, packed = brown_lm._packed(np.array([5, 7, 9]), np.array([3, 15, 16]), 4)
     assert [(int(p), int(e) >> 4, int(e) & 15) for p, e in zip(place, packed)] == [
