@@ -37,6 +37,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/gridloom/{name}-{uuid.uuid4().hex}"
 
 
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back, for rows with a join behind them that are read many times."""
+    path = scratch(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def spread(vector: str, names: list[str]) -> list[Column]:
     """A vector column as named double columns."""
     return [vector_to_array(vector)[i].alias(n) for i, n in enumerate(names)]

@@ -11,7 +11,7 @@ from gridloom.operators.pairs import radius_squared, similar_classes
 from gridloom.operators.scoring import score
 from gridloom.queries.base import (
     LINE_POINTS, ORDER_FLAGS, PART_CENTRES, PART_POINTS, RATINGS, SIGNAL_POINTS, TARGET_POINTS,
-    USER_COUNTS, nearest_sql, query, rounded, scratch, spread, sql, training)
+    USER_COUNTS, kept, nearest_sql, query, rounded, scratch, spread, sql, training)
 from gridloom.queries.relational import MIN_SIMILARITY, PLANE
 from gridloom.sources import files
 
@@ -334,7 +334,7 @@ def b2_isotonic_scoring(spark):
 @query("m12_als", uses="orders lineitem")
 def m12_als(spark):
     """Ratings with their predictions."""
-    rated = rows.ratings(sql(spark, RATINGS))
+    rated = kept(rows.ratings(sql(spark, RATINGS)), "rated")
     return recommend.score_ratings(recommend.train_als(rated, rank=4, iterations=5, reg=0.1), rated)
 
 
@@ -343,7 +343,7 @@ SELECT count(*) AS n, count(DISTINCT u) AS users, count(DISTINCT i) AS items
 FROM ({RATINGS}) AS p""", uses="orders lineitem")
 def b4_als_scoring(spark):
     """Every trained (user, item) gets a score: none is dropped."""
-    rated = rows.ratings(sql(spark, RATINGS))
+    rated = kept(rows.ratings(sql(spark, RATINGS)), "rated")
     model = recommend.train_als(rated, rank=2, iterations=2, reg=0.1)
     scored = score(model, rows.user_items(rated)).where(F.col("prediction").isNotNull())
     return scored.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user").alias("users"),

@@ -31,3 +31,16 @@ def test_entry_runs(spark):
     frame = entry.entry(spark)
     assert frame.columns == ["key_id", "rawLabel", "newLabel", "uniqueId"]
     assert frame.count() > 0
+
+
+@pytest.mark.parametrize("name, rows", [("m12_als", 48), ("b4_als_scoring", 1)])
+def test_the_join_behind_the_ratings_is_done_once(spark, tmp_path, name, rows):
+    orders = [(o, o % 8 + 1) for o in range(16)]
+    lines = [(o, (o + 3 * i) % 10 + 1, float(i + o % 5 + 1)) for o, _ in orders for i in range(3)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    found = QUERIES[name](spark, str(tmp_path))
+    # what is scored comes from the stored ratings, not from the tables again
+    assert not any("lineitem" in f or "orders" in f for f in found.inputFiles())
+    assert found.count() == rows
