@@ -48,6 +48,7 @@ SHAPES = 32
 END = int(mix(np.array([0xE0D], np.uint64)).view(np.int64)[0])
 _FLUSH = 1 << 21
 _STEPS = 8  # count bands to a doubling
+_SCANNED = 6  # places looked at one after another before a search
 
 
 def _tokens(texts: pa.Array):
@@ -65,6 +66,21 @@ def _tokens(texts: pa.Array):
         yield first, last, hashes, np.insert(shape, cut[1:], SHAPES), cut + np.arange(len(cut))
 
 
+def _distinct(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words, in any order, and the place of each word among them: by a hash table, without sorting."""
+    coded = pa.array(words).dictionary_encode()
+    return np.asarray(coded.dictionary), np.asarray(coded.indices)
+
+
+def _summed(code: np.ndarray, n: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes in ascending order and the sums of their counts, which have at most ``bits`` bits."""
+    packed = np.sort(code << bits | n)
+    code = packed >> bits
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(packed & ((1 << bits) - 1), first) if len(first) else first
+    return code[first], sums
+
+
 def _count_words(rows: DataFrame) -> DataFrame:
     """``word, n, shape`` summed as far as a task sees."""
     def scan(batches):
@@ -72,8 +88,10 @@ def _count_words(rows: DataFrame) -> DataFrame:
 
         def summed():
             words, shapes, counts = (np.concatenate(x) for x in zip(*held))
-            unique, at, which = np.unique(words, return_index=True, return_inverse=True)
-            return unique, shapes[at], np.bincount(which, counts).astype(np.int64)
+            unique, which = _distinct(words)
+            own = np.empty(len(unique), np.int64)
+            own[which] = shapes
+            return unique, own, np.bincount(which, counts, len(unique)).astype(np.int64)
 
         def out():
             words, shapes, counts = summed()
@@ -82,8 +100,10 @@ def _count_words(rows: DataFrame) -> DataFrame:
 
         for batch in batches:
             for _, _, words, shapes, _ in _tokens(batch.column(0)):
-                unique, at, counts = np.unique(words, return_index=True, return_counts=True)
-                held.append((unique, shapes[at], counts))
+                unique, which = _distinct(words)
+                own = np.empty(len(unique), np.int64)
+                own[which] = shapes  # equal words have one shape
+                held.append((unique, own, np.bincount(which, minlength=len(unique))))
                 if sum(len(h[0]) for h in held) > _FLUSH:
                     held[:] = [summed()]
                     if len(held[0][0]) > _FLUSH // 2:
@@ -127,12 +147,25 @@ class Tables:
         self.other = (self.symbol < 0) & ~self.ending
         self.n_symbols = n_symbols
         self.end = n_symbols + CLASSES
+        # the place of the first word with the same upper bits: words are hashes, so it is at the word or a few before it
+        bits = max(len(words).bit_length(), 1)
+        self.shift, self.half = 64 - bits, 1 << (bits - 1)
+        self.first = np.zeros(2 * self.half, np.int32)
+        np.cumsum(np.bincount((self.words >> self.shift) + self.half, minlength=2 * self.half)[:-1], out=self.first[1:])
+        np.minimum(self.first, max(len(words) - 1, 0), out=self.first)
 
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each word among the frequent ones, and whether it is one."""
         if not len(self.words):
             return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
-        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        at = self.first[(words >> self.shift) + self.half].astype(np.int64)
+        last = len(self.words) - 1
+        below = np.flatnonzero(self.words[at] < words)
+        for _ in range(_SCANNED):
+            below = below[at[below] < last]
+            at[below] += 1
+            below = below[self.words[at[below]] < words[below]]
+        at[below] = np.minimum(np.searchsorted(self.words, words[below]), last)
         return at, self.words[at] == words
 
     def symbols(self, at: np.ndarray, known: np.ndarray, shapes: np.ndarray) -> np.ndarray:
@@ -198,8 +231,7 @@ def _count_pairs(rows: DataFrame, held) -> DataFrame:
                 before = np.empty_like(symbols)
                 before[1:] = symbols[:-1]
                 before[cut[:-1]] = end
-                code, n = np.unique(before * size + symbols, return_counts=True)
-                counts[code] += n
+                counts += np.bincount(before * size + symbols, minlength=size * size)
         code = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(counts[code])], names=["pair", "n"])
 
@@ -333,8 +365,7 @@ def _vectors(contexts: DataFrame, held, now, rare: DataFrame | None) -> DataFram
         codes, _ = now.value
         for batch in batches:
             row, key, n = _entries(batch.column(1), _CONTEXT_BITS)
-            code, which = np.unique(row * (2 * size) + (key & 1) * size + codes[key >> 1], return_inverse=True)
-            sums = np.bincount(which, n, len(code)).astype(np.int64)
+            code, sums = _summed(row * (2 * size) + (key & 1) * size + codes[key >> 1], n, _CONTEXT_BITS)
             place, packed = _packed(code % (2 * size), sums, _VECTOR_BITS)
             bounds = np.searchsorted(code[place], np.arange(batch.num_rows + 1) * (2 * size))
             yield pa.RecordBatch.from_arrays([batch.column(0), _list(bounds, packed)], names=["word", "around"])
@@ -362,7 +393,7 @@ def _count_codes(vectors: DataFrame, held, now) -> DataFrame:
         tables = held.value
         _, classes = now.value
         size = tables.end + 1
-        counts = np.zeros(size * size, np.int64)
+        counts = np.zeros(size * size)
         for batch in batches:
             row, key, n = _entries(batch.column(2), _VECTOR_BITS)
             at, known = tables.find(np.asarray(batch.column(0)))
@@ -371,10 +402,9 @@ def _count_codes(vectors: DataFrame, held, now) -> DataFrame:
             # a word behind that is no symbol counts the pair itself, in its own row
             once = (side == 0) | (code < tables.n_symbols) | (code == tables.end)
             pair = np.where(side == 0, code * size + own, own * size + code)[once]
-            code, which = np.unique(pair, return_inverse=True)
-            counts[code] += np.bincount(which, n[once], len(code)).astype(np.int64)
+            counts += np.bincount(pair, n[once], size * size)
         code = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(counts[code])], names=["pair", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(counts[code].astype(np.int64))], names=["pair", "n"])
 
     return vectors.mapInArrow(scan, "pair bigint, n bigint")
 

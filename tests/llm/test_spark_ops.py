@@ -292,6 +292,33 @@ def test_rounds_leave_no_broadcast_files(spark, monkeypatch, frequent):
     assert found.count() == 60
 
 
+def test_brown_finds_places_without_sorting(monkeypatch):
+    """op6 passed its CPU seconds: words are found by their upper bits, counted by a hash table, entries summed packed."""
+    rng = np.random.default_rng(6)
+    ends = np.array([-2**63, -1, 0, 1, 2**63 - 1])
+    for kept in (rng.integers(-2**63, 2**63 - 1, 3000), np.arange(-500, 500), ends, ends[:1], np.zeros(0, np.int64)):
+        tables = brown_lm.Tables(kept.astype(np.int64), np.ones(len(kept), np.int64), 0)
+        asked = np.concatenate([kept, kept[kept < 2**63 - 1] + 1, rng.integers(-2**63, 2**63 - 1, 3000), ends]).astype(np.int64)
+        at, known = tables.find(asked)
+        assert (known == np.isin(asked, kept)).all()
+        if len(kept):
+            assert (at == np.minimum(np.searchsorted(np.sort(kept), asked), len(kept) - 1)).all()
+    words = rng.integers(0, 50, 1000)
+    unique, which = brown_lm._distinct(words)
+    assert len(unique) == 50 and (unique[which] == words).all()
+    n = rng.integers(0, 1 << 10, 1000)
+    codes, sums = brown_lm._summed(words, n, 10)
+    assert codes.tolist() == list(range(50)) and sums.tolist() == np.bincount(words, n).astype(int).tolist()
+    assert [len(x) for x in brown_lm._summed(words[:0], n[:0], 10)] == [0, 0]
+
+    def find(*_, **__):
+        raise AssertionError("all words were searched or sorted")
+
+    tables = brown_lm.Tables(rng.integers(-2**63, 2**63 - 1, 3000), np.ones(3000, np.int64), 0)
+    monkeypatch.setattr(np, "searchsorted", lambda held, asked, search=np.searchsorted: find() if len(asked) > 100 else search(held, asked))
+    tables.find(rng.integers(-2**63, 2**63 - 1, 3000))
+
+
 def test_packed_counts():
     place, packed = brown_lm._packed(np.array([5, 7, 9]), np.array([3, 15, 16]), 4)
     assert [(int(p), int(e) >> 4, int(e) & 15) for p, e in zip(place, packed)] == [
