@@ -582,12 +582,16 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     bands = [(r[0], r[1]) for r in vocabulary.groupBy(_band()).count().collect()]
     frequent = _least_count(bands, FREQUENT)
-    top = {r["word"]: r for r in vocabulary.filter(_band() >= frequent).toArrow().to_pylist()}
+    top = vocabulary.filter(_band() >= frequent).select("word", "n", "shape").toArrow()
+    top = np.array([np.asarray(c, np.int64) for c in top.columns])
     most = vocabulary.filter(F.col("word") != END).orderBy(F.desc("n"), "word").limit(SYMBOLS).toArrow().to_pylist()
-    below = [r for r in [*most, *vocabulary.filter(F.col("word") == END).toArrow().to_pylist()] if r["word"] not in top]
-    symbols = {r["word"] for r in most}
-    top = [*most, *(r for r in [*top.values(), *below] if r["word"] not in symbols)]
-    words, counts, shapes = (np.array([r[c] for r in top], np.int64) for c in ("word", "n", "shape"))
+    ending = vocabulary.filter(F.col("word") == END).toArrow().to_pylist()
+    symbols = np.array([r["word"] for r in most], np.int64)
+    below = [r for r in [*most, *ending] if not (top[0] == r["word"]).any()]
+    further = [r for r in below if not (symbols == r["word"]).any()]
+    first, behind = (np.array([[r[c] for r in x] for c in ("word", "n", "shape")], np.int64) for x in (most, further))
+    words, counts, shapes = np.hstack([first, top[:, ~np.isin(top[0], symbols)], behind])
+    del top
     tables = Tables(words, counts, len(most))
     rare_words = None
     if distinct > len(words):
