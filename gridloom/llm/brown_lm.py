@@ -28,6 +28,7 @@ every count is zero. Only id and text are read.
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,9 @@ from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import stored
+from gridloom.llm.common import TEXT_ROWS, setting, stored, stored_by_texts
 from gridloom.llm.exchange import exchange, information
-from gridloom.llm.words import IS_SPACE, LOWER, mix, rows_of, slices, word_hashes, word_spans
+from gridloom.llm.words import IS_SPACE, LOWER, give_back, mix, rows_of, slices, word_hashes, word_spans
 
 SYMBOLS, FREQUENT, CLASSES = 1000, 1 << 19, 64
 ADDED = 0.1
@@ -46,14 +47,16 @@ _KEY_BITS, _CONTEXT_BITS, _VECTOR_BITS = 21, 10, 19  # places among the frequent
 _EXACT = 1 << 16  # log ratios are whole parts of 1 / _EXACT: their sums do not depend on the order
 SHAPES = 32
 END = int(mix(np.array([0xE0D], np.uint64)).view(np.int64)[0])
+_SLICE_BYTES = 1 << 21  # text whose words a task holds at once
 _FLUSH = 1 << 21
+_SENT = 1 << 18  # entries of a batch that a task sends at once, but for those of one word
 _STEPS = 8  # count bands to a doubling
 _SCANNED = 6  # places looked at one after another before a search
 
 
 def _tokens(texts: pa.Array):
     """``hashes, shapes, offsets`` of slices of rows; each text's last token is its end."""
-    for first, last, data, bounds in slices(texts):
+    for first, last, data, bounds in slices(texts, _SLICE_BYTES):
         starts, ends = word_spans(data, bounds, IS_SPACE)
         cut = rows_of(starts, bounds)
         beyond = np.concatenate([[0], np.cumsum(data >= 0x80, dtype=np.int32)])
@@ -95,8 +98,11 @@ def _count_words(rows: DataFrame) -> DataFrame:
 
         def out():
             words, shapes, counts = summed()
-            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts), pa.array(shapes, pa.int64())],
-                                              names=["word", "n", "shape"])
+            held.clear()
+            for i in range(0, len(words), _SENT):
+                part = slice(i, i + _SENT)
+                yield pa.RecordBatch.from_arrays([pa.array(words[part]), pa.array(counts[part]), pa.array(shapes[part])],
+                                                 names=["word", "n", "shape"])
 
         for batch in batches:
             for _, _, words, shapes, _ in _tokens(batch.column(0)):
@@ -107,10 +113,11 @@ def _count_words(rows: DataFrame) -> DataFrame:
                 if sum(len(h[0]) for h in held) > _FLUSH:
                     held[:] = [summed()]
                     if len(held[0][0]) > _FLUSH // 2:
-                        yield out()
-                        held.clear()
+                        yield from out()
+                    give_back()
         if held:
-            yield out()
+            yield from out()
+        give_back()
 
     return rows.select("text").mapInArrow(scan, "word bigint, n bigint, shape bigint")
 
@@ -233,7 +240,10 @@ def _count_pairs(rows: DataFrame, held) -> DataFrame:
                 before[cut[:-1]] = end
                 counts += np.bincount(before * size + symbols, minlength=size * size)
         code = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(counts[code])], names=["pair", "n"])
+        for i in range(0, len(code), _SENT):
+            part = code[i: i + _SENT]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], names=["pair", "n"])
+        give_back()
 
     return rows.select("text").mapInArrow(scan, "pair bigint, n bigint")
 
@@ -254,6 +264,22 @@ def _entries(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return np.repeat(np.arange(len(column)), np.asarray(column.value_lengths())), flat >> bits, flat & ((1 << bits) - 1)
 
 
+def _counted(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of sorted codes, and how often each comes."""
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    return code[first], np.diff(np.append(first, len(code)))
+
+
+def _parts(code: np.ndarray, bits: int) -> Iterator[slice]:
+    """Runs of about ``_SENT`` sorted codes; those with the same upper bits, all but ``bits``, stay together."""
+    at = 0
+    while at < len(code):
+        end = min(at + _SENT, len(code))
+        end += int(np.searchsorted(code[end:], code[end - 1] | ((1 << bits) - 1), side="right"))
+        yield slice(at, end)
+        at = end
+
+
 def _list(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
 
@@ -266,30 +292,45 @@ def _contexts(rows: DataFrame, held) -> DataFrame:
     """
     def scan(batches):
         tables = held.value
-        codes, pairs, rare = [], [], [[], []]
+        codes, pairs, rare, none = [], [], [[], []], np.zeros(0, np.int64)
+
+        def joined(parts):
+            whole = [np.concatenate([none, *x]) for x in (zip(*parts) if parts else ([], []))]
+            parts.clear()
+            return whole
 
         def out():
-            none = np.zeros(0, np.int64)
-            mine, keys = (np.concatenate([none, *x]) for x in (zip(*pairs) if pairs else ([], [])))
+            mine, keys = joined(pairs)
             own, which = np.unique(mine, return_inverse=True)
-            code, n = np.unique(np.concatenate([none, *codes, (which + len(tables.words)) << _KEY_BITS | keys]),
-                                return_counts=True)
-            place, packed = _packed(code & ((1 << _KEY_BITS) - 1), n, _CONTEXT_BITS)
-            word = (code >> _KEY_BITS)[place]
-            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else none
-            empty = np.zeros(len(first) + 1, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([tables.words, own])[word[first]]), _list(np.append(first, len(word)), packed),
-                 _list(empty, none), _list(empty, none)], names=names)
+            code = np.concatenate([none, *codes, (which + len(tables.words)) << _KEY_BITS | keys])
+            codes.clear()
+            del mine, keys, which
+            code.sort()
+            for part in _parts(code, _KEY_BITS):
+                key, n = _counted(code[part])
+                place, packed = _packed(key & ((1 << _KEY_BITS) - 1), n, _CONTEXT_BITS)
+                word = (key >> _KEY_BITS)[place]
+                first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+                mine, empty = word[first], np.zeros(len(first) + 1, np.int64)
+                hidden = mine >= len(tables.words)
+                ids = np.empty(len(mine), np.int64)
+                ids[~hidden], ids[hidden] = tables.words[mine[~hidden]], own[mine[hidden] - len(tables.words)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids), _list(np.append(first, len(word)), packed), _list(empty, none), _list(empty, none)],
+                    names=names)
+            del code
             for side in (0, 1):
-                mine, others = (np.concatenate([none, *x]) for x in (zip(*rare[side]) if rare[side] else ([], [])))
+                mine, others = joined(rare[side])
                 order = np.argsort(mine, kind="stable")
-                word, first = np.unique(mine[order], return_index=True)
-                empty, full = np.zeros(len(word) + 1, np.int64), np.append(first, len(mine))
-                lists = [_list(full, others[order]), _list(empty, none)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(word), _list(empty, none.astype(np.int32)), lists[side], lists[1 - side]], names=names)
-            codes.clear(), pairs.clear(), rare[0].clear(), rare[1].clear()
+                mine, others = mine[order], others[order]
+                del order
+                for part in _parts(mine, 0):
+                    word, first = np.unique(mine[part], return_index=True)
+                    empty, full = np.zeros(len(word) + 1, np.int64), np.append(first, part.stop - part.start)
+                    lists = [_list(full, others[part]), _list(empty, none)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(word), _list(empty, none.astype(np.int32)), lists[side], lists[1 - side]], names=names)
+            give_back()
 
         names, size = ["word", "around", "before", "behind"], 0
         for batch in batches:
@@ -439,6 +480,7 @@ def _square(found: pa.Table, size: int) -> np.ndarray:
 def _forget(spark) -> None:
     """Let Spark delete the shuffle files of frames that are no longer held: a round needs those of its own only."""
     gc.collect()
+    give_back()
     spark.sparkContext._jvm.System.gc()
 
 
@@ -450,7 +492,9 @@ def _cluster(train: DataFrame, tables: Tables, shapes: np.ndarray, rare_words: D
     spark = train.sparkSession
     n_symbols, size = tables.n_symbols, tables.end + 1
     held = spark.sparkContext.broadcast(tables)
-    seed = _square(_count_pairs(train, held).groupBy("pair").agg(F.sum("n").alias("n")).toArrow(), n_symbols + SHAPES + 1)
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS):
+        found = _count_pairs(train, held).groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    seed = _square(found, n_symbols + SHAPES + 1)
     start = exchange(seed, CLASSES, n_symbols + SHAPES)
     fixed = np.r_[np.arange(n_symbols), n_symbols + SHAPES]  # symbols and the end
     base = np.zeros((size, size))
@@ -459,7 +503,7 @@ def _cluster(train: DataFrame, tables: Tables, shapes: np.ndarray, rare_words: D
     shape_classes = start[n_symbols:]
     tables.classify(np.r_[start[:n_symbols], np.arange(CLASSES + 1)], shape_classes[shapes])
 
-    contexts, rare = stored(_grouped(_contexts(train, held)), "contexts"), None
+    contexts, rare = stored_by_texts(_grouped(_contexts(train, held)), "contexts"), None
     if rare_words is not None:
         by_shape = F.array(*[F.lit(int(c)) for c in shape_classes])
         rare = rare_words.select("word", F.element_at(by_shape, F.col("shape").cast("int") + 1).alias("class"))
@@ -542,6 +586,7 @@ def _local_scores(rows: DataFrame, held) -> DataFrame:
                      pa.ListArray.from_arrays(offsets, pa.array(places.astype(np.int64)))],
                     names=["key", "doc_id", "held_out", "n_tokens", "moves", "logs", "known", "classes", "rare", "at"])
                 key += n
+        give_back()
 
     return rows.mapInArrow(scan, "key bigint, doc_id bigint, held_out boolean, n_tokens bigint, moves double, logs double, "
                                  "known bigint, classes binary, rare array<bigint>, at array<bigint>")
@@ -577,8 +622,8 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
                        F.coalesce(held_out, F.lit(True)).alias("held_out"), F.col(f"`{text}`").alias("text"))
     train = rows.filter(~F.col("held_out"))
-    vocabulary = stored(_count_words(train).groupBy("word").agg(F.sum("n").alias("n"), F.min("shape").alias("shape")),
-                        "vocabulary")
+    vocabulary = stored_by_texts(_count_words(train).groupBy("word").agg(F.sum("n").alias("n"), F.min("shape").alias("shape")),
+                                 "vocabulary")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     bands = [(r[0], r[1]) for r in vocabulary.groupBy(_band()).count().collect()]
     frequent = _least_count(bands, FREQUENT)
@@ -608,9 +653,9 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     held = spark.sparkContext.broadcast((tables, shape_classes))
     scored = _local_scores(rows, held)
     if rare is None:
-        scored = scored.drop("classes", "rare", "at")
+        scored = stored_by_texts(scored.drop("classes", "rare", "at"), "scores")
     else:
-        scored = stored(scored, "scores")
+        scored = stored_by_texts(scored, "scores")
         inside = scored.select("key", F.explode(F.arrays_zip("rare", "at")).alias("r")) \
             .select("key", F.col("r.rare").alias("word"), F.col("r.at").alias("at"))
         around = inside.join(rare.join(rare_words.select("word", "n"), "word"), "word").groupBy("key").agg(

@@ -2,11 +2,14 @@
 
 import os
 import random
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -319,6 +322,90 @@ def test_brown_finds_places_without_sorting(monkeypatch):
     tables.find(rng.integers(-2**63, 2**63 - 1, 3000))
 
 
+def scanned(scan_of, texts, *held):
+    """What the function that a task runs sends for one batch of texts."""
+    taken = []
+
+    class Rows:
+        def select(self, _):
+            return self
+
+        def mapInArrow(self, scan, _):
+            taken.append(scan)
+
+    scan_of(Rows(), *held)
+    return taken[0]([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])
+
+
+def held_tables(texts, frequent, n_symbols):
+    counts = Counter(w for ws, *_ in (t[2:] for t in brown_lm._tokens(pa.array(texts))) for w in ws.tolist())
+    del counts[brown_lm.END]
+    kept = counts.most_common(frequent)
+    words, n = np.array([*kept, (brown_lm.END, len(texts))], np.int64).T
+    return SimpleNamespace(value=brown_lm.Tables(words, n, n_symbols))
+
+
+@pytest.mark.parametrize("sent", [50, 1 << 18])
+def test_tasks_send_words_pairs_and_contexts_in_bounded_batches(monkeypatch, sent):
+    """op6 was stopped over 3,000 MB of an executor: all that a task had counted was sent as one batch."""
+    monkeypatch.setattr(brown_lm, "_SENT", sent, raising=False)
+    rng = random.Random(7)
+    texts = [" ".join(f"{rng.choice('abc')}{int(rng.expovariate(0.02))}" for _ in range(rng.randrange(60))) for _ in range(200)]
+    held = held_tables(texts, 150, 20)
+    tables = held.value
+    words = [w for _, _, w, _, _ in brown_lm._tokens(pa.array(texts))]
+    words = np.concatenate(words).tolist()
+
+    batches = list(scanned(brown_lm._count_words, texts))
+    assert max(b.num_rows for b in batches) <= sent and sum(b.num_rows for b in batches) == len(set(words))
+    assert {r["word"]: r["n"] for b in batches for r in b.to_pylist()} == Counter(words)
+    batches = list(scanned(brown_lm._count_pairs, texts, held))
+    assert max(b.num_rows for b in batches) <= sent and sum(n for b in batches for n in b["n"].to_pylist()) == len(words)
+
+    wanted = Counter()
+    frequent, symbols = (dict(zip(tables.words.tolist(), x)) for x in (range(len(tables.words)), tables.symbol >= 0))
+    start = True
+    for i, w in enumerate(words):
+        if w != brown_lm.END and not symbols.get(w):
+            for side, near in ((0, brown_lm.END if start else words[i - 1]), (1, words[i + 1])):
+                wanted[w, side, frequent.get(near, near)] += 1
+        start = w == brown_lm.END
+    found, longest = Counter(), 0
+    for batch in scanned(brown_lm._contexts, texts, held):
+        assert sum(len(r) for c in batch.columns[1:] for r in c.to_pylist()) <= sent + 400  # and the last word's others
+        for r in batch.to_pylist():
+            for packed in r["around"]:
+                key = packed >> brown_lm._CONTEXT_BITS
+                found[r["word"], key & 1, key >> 1] += packed & ((1 << brown_lm._CONTEXT_BITS) - 1)
+            for side, name in enumerate(("before", "behind")):
+                for near in r[name]:
+                    found[r["word"], side, near] += 1
+    assert found == wanted
+
+
+def test_contexts_are_sent_within_the_memory_of_a_task():
+    rng = np.random.default_rng(8)
+    texts = [" ".join(map(str, rng.integers(0, 100_000, 2000).tolist())) for _ in range(700)]
+    held = held_tables(texts, 90_000, 1000)
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in scanned(brown_lm._contexts, texts, held)) > 100_000
+        assert tracemalloc.get_traced_memory()[1] < 150_000_000
+    finally:
+        tracemalloc.stop()
+
+
+def test_whole_texts_go_to_tasks_in_small_batches(spark, monkeypatch):
+    def small(texts, tokens=brown_lm._tokens):
+        if len(texts) > 1000:
+            raise AssertionError("more than 1,000 whole texts in a batch")
+        return tokens(texts)
+
+    monkeypatch.setattr(brown_lm, "_tokens", small)
+    rows = spark.range(2500).coalesce(1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("a b"), F.col("id") % 7).alias("text"))
+    assert brown_lm.score(rows, held_out()).agg(F.sum("n_tokens")).first()[0] == 10_000
+
+
 def test_packed_counts():
     place, packed = brown_lm._packed(np.array([5, 7, 9]), np.array([3, 15, 16]), 4)
     assert [(int(p), int(e) >> 4, int(e) & 15) for p, e in zip(place, packed)] == [
