@@ -47,9 +47,14 @@ _KEY_BITS, _CONTEXT_BITS, _VECTOR_BITS = 21, 10, 19  # places among the frequent
 _EXACT = 1 << 16  # log ratios are whole parts of 1 / _EXACT: their sums do not depend on the order
 SHAPES = 32
 END = int(mix(np.array([0xE0D], np.uint64)).view(np.int64)[0])
-_SLICE_BYTES = 1 << 21  # text whose words a task holds at once
+_SLICE_BYTES = 1 << 20  # text whose words a task holds at once
+_WINDOW = 1 << 16
 _FLUSH = 1 << 21
 _SENT = 1 << 18  # entries of a batch that a task sends at once, but for those of one word
+_MARKS = np.full(256, 6, np.int64)  # of a word's last byte: a letter, a comma, a full stop, another
+_MARKS[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(0x80, 256)]] = 0
+_MARKS[[ord(","), ord(".")]] = 2, 4
+_LENGTHS = np.minimum(np.maximum(np.arange(11) - 1, 0) // 3, 3) * 8
 _STEPS = 8  # count bands to a doubling
 _SCANNED = 6  # places looked at one after another before a search
 
@@ -59,13 +64,11 @@ def _tokens(texts: pa.Array):
     for first, last, data, bounds in slices(texts, _SLICE_BYTES):
         starts, ends = word_spans(data, bounds, IS_SPACE)
         cut = rows_of(starts, bounds)
-        beyond = np.concatenate([[0], np.cumsum(data >= 0x80, dtype=np.int32)])
+        beyond = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(data >= 0x80, out=beyond[1:])
         final = data[ends - 1] if len(ends) else data[:0]
-        mark = np.where(final == ord(","), 1, np.where(final == ord("."), 2, np.where(
-            (final >= 0x80) | ((LOWER[final] >= ord("a")) & (LOWER[final] <= ord("z"))), 0, 3)))
-        length = np.minimum((ends - starts - 1) // 3, 3)
-        shape = (length * 8 + mark * 2 + (beyond[ends] > beyond[starts])).astype(np.int64)
-        hashes = np.insert(word_hashes(data, starts, ends).view(np.int64), cut[1:], END)
+        shape = _LENGTHS[np.minimum(ends - starts, len(_LENGTHS) - 1)] + _MARKS[final] + (beyond[ends] > beyond[starts])
+        hashes = np.insert(word_hashes(data, starts, ends, window=_WINDOW).view(np.int64), cut[1:], END)
         yield first, last, hashes, np.insert(shape, cut[1:], SHAPES), cut + np.arange(len(cut))
 
 
@@ -75,6 +78,32 @@ def _distinct(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(coded.dictionary), np.asarray(coded.indices)
 
 
+class _Sums:
+    """Sums of counts by code: codes are held until there are as many as sums, which a small batch would not be worth."""
+
+    def __init__(self, size: int):
+        self.sums, self.held, self.n = np.zeros(size, np.int64), [], 0
+
+    def add(self, code: np.ndarray, n: np.ndarray | None = None) -> None:
+        self.held.append((code, np.ones(len(code), np.int64) if n is None else n))
+        self.n += len(code)
+        if self.n > len(self.sums):
+            self.flush()
+
+    def flush(self) -> None:
+        if self.held:
+            code, n = (np.concatenate(x) for x in zip(*self.held))
+            self.sums += np.bincount(code, n, len(self.sums)).astype(np.int64)
+            self.held, self.n = [], 0
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        self.flush()
+        code = np.flatnonzero(self.sums)
+        for i in range(0, len(code), _SENT):
+            part = code[i: i + _SENT]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(self.sums[part])], names=["pair", "n"])
+
+
 def _summed(code: np.ndarray, n: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct codes in ascending order and the sums of their counts, which have at most ``bits`` bits."""
     packed = np.sort(code << bits | n)
@@ -230,7 +259,7 @@ def _count_pairs(rows: DataFrame, held) -> DataFrame:
         tables = held.value
         end = tables.n_symbols + SHAPES
         size = end + 1
-        counts = np.zeros(size * size, np.int64)
+        counts = _Sums(size * size)
         for batch in batches:
             for _, _, words, shapes, cut in _tokens(batch.column(0)):
                 at, known = tables.find(words)
@@ -238,11 +267,8 @@ def _count_pairs(rows: DataFrame, held) -> DataFrame:
                 before = np.empty_like(symbols)
                 before[1:] = symbols[:-1]
                 before[cut[:-1]] = end
-                counts += np.bincount(before * size + symbols, minlength=size * size)
-        code = np.flatnonzero(counts)
-        for i in range(0, len(code), _SENT):
-            part = code[i: i + _SENT]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], names=["pair", "n"])
+                counts.add(before * size + symbols)
+        yield from counts.batches()
         give_back()
 
     return rows.select("text").mapInArrow(scan, "pair bigint, n bigint")
@@ -259,9 +285,27 @@ def _packed(key: np.ndarray, n: np.ndarray, bits: int) -> tuple[np.ndarray, np.n
 
 
 def _entries(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, key and count of each packed entry of a column of lists."""
-    flat = np.asarray(column.flatten()).astype(np.int64)
-    return np.repeat(np.arange(len(column)), np.asarray(column.value_lengths())), flat >> bits, flat & ((1 << bits) - 1)
+    """Row, key and count of each packed entry of a column."""
+    lengths, flat = _flat(column)
+    flat = flat.astype(np.int64)
+    return np.repeat(np.arange(len(column)), lengths), flat >> bits, flat & ((1 << bits) - 1)
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """How many values each row has and all values, of a column of lists or of 32-bit integers as bytes."""
+    if pa.types.is_list(column.type):
+        return np.asarray(column.value_lengths()), np.asarray(column.flatten())
+    _, offsets, data = column.cast(pa.binary()).buffers()
+    if not len(column) or not data:
+        return np.zeros(len(column), np.int64), np.zeros(0, np.int32)
+    bounds = np.frombuffer(offsets, np.int32)[column.offset: column.offset + len(column) + 1] // 4
+    return np.diff(bounds), np.frombuffer(data, np.int32, bounds[-1])[bounds[0]:]
+
+
+def _bytes(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Lists of 32-bit integers as bytes, which Spark passes on whole."""
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [
+        None, pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(values.astype(np.int32))])
 
 
 def _counted(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -287,8 +331,8 @@ def _list(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
 def _contexts(rows: DataFrame, held) -> DataFrame:
     """``word, around, before, behind``: neighbours of each word that is no symbol, summed as far as a task sees.
 
-    ``around`` has the frequent neighbours, packed: place among the frequent words times two, plus
-    one for those behind. ``before`` and ``behind`` are the rare ones, as often as they come.
+    ``around`` has the frequent neighbours, packed, as bytes: place among the frequent words times two,
+    plus one for those behind. ``before`` and ``behind`` are the rare ones, as often as they come.
     """
     def scan(batches):
         tables = held.value
@@ -316,7 +360,7 @@ def _contexts(rows: DataFrame, held) -> DataFrame:
                 ids = np.empty(len(mine), np.int64)
                 ids[~hidden], ids[hidden] = tables.words[mine[~hidden]], own[mine[hidden] - len(tables.words)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), _list(np.append(first, len(word)), packed), _list(empty, none), _list(empty, none)],
+                    [pa.array(ids), _bytes(np.append(first, len(word)), packed), _list(empty, none), _list(empty, none)],
                     names=names)
             del code
             for side in (0, 1):
@@ -329,7 +373,7 @@ def _contexts(rows: DataFrame, held) -> DataFrame:
                     empty, full = np.zeros(len(word) + 1, np.int64), np.append(first, part.stop - part.start)
                     lists = [_list(full, others[part]), _list(empty, none)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(word), _list(empty, none.astype(np.int32)), lists[side], lists[1 - side]], names=names)
+                        [pa.array(word), _bytes(empty, none), lists[side], lists[1 - side]], names=names)
             give_back()
 
         names, size = ["word", "around", "before", "behind"], 0
@@ -359,7 +403,7 @@ def _contexts(rows: DataFrame, held) -> DataFrame:
             yield from out()
 
     return rows.select("text").mapInArrow(
-        scan, "word bigint, around array<int>, before array<bigint>, behind array<bigint>")
+        scan, "word bigint, around binary, before array<bigint>, behind array<bigint>")
 
 
 def _grouped(contexts: DataFrame) -> DataFrame:
@@ -372,8 +416,10 @@ def _grouped(contexts: DataFrame) -> DataFrame:
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             lists = []
             for column in columns[1:]:
-                bounds = np.concatenate([[0], np.cumsum(np.asarray(column.value_lengths()))])
-                lists.append(_list(np.append(bounds[first], bounds[-1]), np.asarray(column.flatten())))
+                lengths, values = _flat(column)
+                bounds = np.concatenate([[0], np.cumsum(lengths)])
+                made = _list if pa.types.is_list(column.type) else _bytes
+                lists.append(made(np.append(bounds[first], bounds[-1]), values))
             return pa.RecordBatch.from_arrays([pa.array(word[first]), *lists],
                                               names=["word", "around", "before", "behind"])
 
@@ -434,7 +480,7 @@ def _count_codes(vectors: DataFrame, held, now) -> DataFrame:
         tables = held.value
         _, classes = now.value
         size = tables.end + 1
-        counts = np.zeros(size * size)
+        counts = _Sums(size * size)
         for batch in batches:
             row, key, n = _entries(batch.column(2), _VECTOR_BITS)
             at, known = tables.find(np.asarray(batch.column(0)))
@@ -443,9 +489,8 @@ def _count_codes(vectors: DataFrame, held, now) -> DataFrame:
             # a word behind that is no symbol counts the pair itself, in its own row
             once = (side == 0) | (code < tables.n_symbols) | (code == tables.end)
             pair = np.where(side == 0, code * size + own, own * size + code)[once]
-            counts += np.bincount(pair, n[once], size * size)
-        code = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(counts[code].astype(np.int64))], names=["pair", "n"])
+            counts.add(pair, n[once])
+        yield from counts.batches()
 
     return vectors.mapInArrow(scan, "pair bigint, n bigint")
 
@@ -563,6 +608,7 @@ def _local_scores(rows: DataFrame, held) -> DataFrame:
     """
     def scan(batches):
         tables, shape_classes = held.value
+        frequent_logs = np.log10(tables.counts + ADDED)
         key = TaskContext.get().partitionId() << 33
         for batch in batches:
             for first, last, words, shapes, cut in _tokens(batch.column(2)):
@@ -571,7 +617,7 @@ def _local_scores(rows: DataFrame, held) -> DataFrame:
                 logs = np.zeros(len(words))
                 if len(tables.words):
                     classes = np.where(known, tables.classes[at], classes)
-                    logs = np.where(known, np.log10(tables.counts[at] + ADDED), logs)
+                    logs = np.where(known, frequent_logs[at], logs)
                 sums = [np.add.reduceat(x, cut[:-1]) for x in (logs, known.astype(np.int64))]
                 hidden = np.flatnonzero(~known)
                 offsets = pa.array(np.searchsorted(hidden, cut).astype(np.int32))

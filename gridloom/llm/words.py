@@ -86,18 +86,23 @@ def word_spans(data: np.ndarray, bounds: np.ndarray, separator: np.ndarray) -> t
     return np.flatnonzero(begin), np.flatnonzero(finish) + 1
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = LOWER) -> np.ndarray:
-    """64-bit hash of each word's folded bytes, alike in every batch and on every machine."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = LOWER,
+                window: int = _SEGMENT) -> np.ndarray:
+    """64-bit hash of each word's folded bytes, alike in every batch and on every machine.
+
+    ``window`` bytes are summed at once; the sums of few stay in a core's cache.
+    """
     out = np.empty(len(starts), np.uint64)
+    values = _VALUES[fold]
     at = 0
     while at < len(starts):
-        stop = int(np.searchsorted(ends, starts[at] + _SEGMENT, side="right"))
+        stop = int(np.searchsorted(ends, starts[at] + window, side="right"))
         stop = max(stop, at + 1)
         low, high = int(starts[at]), int(ends[stop - 1])
         up, down = _power_tables(high - low + 1)
         sums = np.empty(high - low + 1, np.uint64)
         sums[0] = 0
-        np.cumsum(_VALUES[fold[data[low:high]]] * up[: high - low], out=sums[1:])
+        np.cumsum(values[data[low:high]] * up[: high - low], out=sums[1:])
         s, e = starts[at:stop] - low, ends[at:stop] - low
         out[at:stop] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
         at = stop
