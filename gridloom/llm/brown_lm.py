@@ -522,6 +522,12 @@ def _square(found: pa.Table, size: int) -> np.ndarray:
     return table.reshape(size, size)
 
 
+def _stored_alone(frame: DataFrame, name: str) -> DataFrame:
+    """Rows of whole texts in the shared folder; what was shuffled for them is deleted at once, not when garbage is collected."""
+    with setting(frame.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        return stored_by_texts(frame, name)
+
+
 def _forget(spark) -> None:
     """Let Spark delete the shuffle files of frames that are no longer held: a round needs those of its own only."""
     gc.collect()
@@ -548,7 +554,7 @@ def _cluster(train: DataFrame, tables: Tables, shapes: np.ndarray, rare_words: D
     shape_classes = start[n_symbols:]
     tables.classify(np.r_[start[:n_symbols], np.arange(CLASSES + 1)], shape_classes[shapes])
 
-    contexts, rare = stored_by_texts(_grouped(_contexts(train, held)), "contexts"), None
+    contexts, rare = _stored_alone(_grouped(_contexts(train, held)), "contexts"), None
     if rare_words is not None:
         by_shape = F.array(*[F.lit(int(c)) for c in shape_classes])
         rare = rare_words.select("word", F.element_at(by_shape, F.col("shape").cast("int") + 1).alias("class"))
@@ -668,8 +674,8 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
                        F.coalesce(held_out, F.lit(True)).alias("held_out"), F.col(f"`{text}`").alias("text"))
     train = rows.filter(~F.col("held_out"))
-    vocabulary = stored_by_texts(_count_words(train).groupBy("word").agg(F.sum("n").alias("n"), F.min("shape").alias("shape")),
-                                 "vocabulary")
+    vocabulary = _stored_alone(_count_words(train).groupBy("word").agg(F.sum("n").alias("n"), F.min("shape").alias("shape")),
+                               "vocabulary")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     bands = [(r[0], r[1]) for r in vocabulary.groupBy(_band()).count().collect()]
     frequent = _least_count(bands, FREQUENT)

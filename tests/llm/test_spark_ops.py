@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -421,6 +422,28 @@ def test_counts_by_code_are_summed_once_there_are_as_many_as_codes(monkeypatch):
     assert found == {i: n for i, n in enumerate(wanted.tolist()) if n} and len(steps) == 4
 
 
+def test_shuffle_files_of_words_and_contexts_go_with_their_write(spark, monkeypatch):
+    """op6 held 2.11 GB on 0.51 GB: the shuffled contexts stayed until the driver's garbage was collected."""
+    left, store = {}, brown_lm.stored_by_texts
+    kept = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in kept.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    def watched(frame, name):
+        before = shuffled()
+        found, since = store(frame, name), time.time()
+        while shuffled() - before and time.time() < since + 5:
+            time.sleep(0.1)
+        left[name] = shuffled() - before, frame
+        return found
+
+    monkeypatch.setattr(brown_lm, "stored_by_texts", watched)
+    texts = [(i, f"a b{i % 9} c{i % 7}") for i in range(50)]
+    assert brown_lm.score(spark.createDataFrame(texts, "doc_id long, text string"), held_out()).count() == 50
+    assert not left["vocabulary"][0] and not left["contexts"][0]
+
+
 def test_contexts_as_bytes():
     offsets, values = np.array([0, 2, 2, 5]), np.arange(5)
     column = brown_lm._bytes(offsets, values)
