@@ -14,14 +14,18 @@ from pyspark.sql import functions as F
 
 # Algorithm ids of single trees (5 and 9 are forests, 6 and 10 boosted sums).
 TREES = (4, 8)
+COUNTING = ("DecisionTree", "RandomForest")  # classifiers whose nodes have class counts; boosted ones have trees of numbers
 
 
 def node_table(spark: SparkSession, path: str) -> DataFrame:
     """``tree, weight, node, low, high, feature, threshold, categories, prediction, votes, n`` of a saved model.
 
     ``low`` and ``high`` are the children, null in a leaf. A row goes low when its feature is
-    at most ``threshold`` or, for a categorical feature, one of ``categories``. ``votes`` are the class counts of a node.
+    at most ``threshold`` or, for a categorical feature, one of ``categories``. ``votes`` are the class counts of a node,
+    ``n`` its rows: the sum of the counts, or the first of the sums that a tree of numbers has. A model that was trained on
+    rows with weights counts them by their weight.
     """
+    of_classes = any(f".{kind}ClassificationModel" in spark.read.text(f"{path}/metadata").first()[0] for kind in COUNTING)
     data = spark.read.parquet(f"{path}/data")
     if "nodeData" in data.columns:
         nodes = data.select(F.col("treeID").alias("tree"), "nodeData.*")
@@ -36,7 +40,8 @@ def node_table(spark: SparkSession, path: str) -> DataFrame:
         F.when(inner, F.col("rightChild")).alias("high"), F.when(inner, F.col("split.featureIndex")).alias("feature"),
         F.when(inner & (arity < 0), F.get(cut, F.lit(0))).alias("threshold"),
         F.when(inner & (arity >= 0), cut).alias("categories"), "prediction", F.col("impurityStats").alias("votes"),
-        F.col("rawCount").alias("n"))
+        F.round(F.aggregate("impurityStats", F.lit(0.0), lambda a, b: a + b) if of_classes else F.get("impurityStats", F.lit(0)))
+        .cast("bigint").alias("n"))
 
 
 def _walk(nodes: dict[int, Row], at: int, x: Column, leaf) -> Column:
