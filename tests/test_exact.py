@@ -124,6 +124,17 @@ def test_similar_vectors_meet_as_blocks_not_as_rows(spark):
     assert "aggregate(" not in text and "zip_with(" not in text  # distances of row pairs, one after another
 
 
+def test_vectors_are_sent_in_large_blocks_without_their_distances(spark):
+    assert pairs.block_rows(51_282, 8) == 8192
+    # 600,000 vectors were sent once for each of 74 blocks
+    assert 600_000 / pairs.block_rows(600_000, 12) <= 10 and pairs.block_rows(10**8, 12) == 65_536
+    points = np.random.default_rng(6).normal(size=(60, 8)) * 0.3
+    for found in pairs.similar_vectors(vectors(spark, points), "id", "features", 0.6):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        sent = plan[plan.index("RepartitionByExpression"):].splitlines()[1]
+        assert "block" in sent and "away" not in sent
+
+
 # --- mixtures ---
 
 def test_mixture_steps_raise_the_likelihood_and_equal_the_library_at_its_end(spark):
