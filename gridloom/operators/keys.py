@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.session import shared_dir
+from gridloom.session import shared_dir, write_alone
 
 LARGEST = (1 << 31) - 1  # numbers fit the learners' 32 bits
 
@@ -22,7 +22,7 @@ def dense_keys(rows: DataFrame, column: str) -> DataFrame:
     spark = rows.sparkSession
     path = f"{shared_dir(spark)}/gridloom/keys-{uuid.uuid4().hex}"
     found = rows.select(F.col(f"`{column}`").alias("key")).where(F.col("key").isNotNull()).distinct()
-    found.select("key", F.monotonically_increasing_id().alias("place")).write.parquet(path)
+    write_alone(found.select("key", F.monotonically_increasing_id().alias("place")), path)
     placed = spark.read.schema(f"key {found.schema['key'].dataType.simpleString()}, place bigint").parquet(path)
     part = F.shiftright("place", 33)
     counts = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("low")).collect()

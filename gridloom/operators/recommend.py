@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -10,25 +11,31 @@ from pyspark.sql import functions as F
 
 from gridloom.operators.keys import dense_keys, with_ids
 from gridloom.operators.split import SPAN, key_hash
-from gridloom.session import ensure_checkpoint_dir
+from gridloom.session import ensure_checkpoint_dir, forget, shared_dir, stored
 
 SEED = 42
-UNSEEN = -1  # the number of a key that the dictionary does not have
+RATINGS_PER_BLOCK = 5_000_000  # 12 bytes each while a block is built and sorted in a task's memory
 
 
 def train_als(rated: DataFrame, rank: int = 10, iterations: int = 20, reg: float = 0.01,
               alpha: float = 0.01, nonnegative: bool = False, blocks: int | None = None) -> ALSModel:
     """``alpha`` has no effect on explicit ratings and is accepted for old parameter sets.
 
-    The factors are cut into as many blocks as the cluster has cores (at least
-    10), and the lineage is checkpointed every 10 iterations in the shared folder.
+    The factors are cut into as many blocks as the cluster has cores (at least 10), and into more where a
+    block would have more than ``RATINGS_PER_BLOCK`` ratings, which are counted first. Every iteration is
+    checkpointed in the shared folder, so that the factors it has sent are deleted before the next are sent.
+    The model is the stored one: the blocks of ratings and what was shuffled for them are given back.
     """
-    ensure_checkpoint_dir(rated.sparkSession)
-    blocks = blocks or max(10, rated.sparkSession.sparkContext.defaultParallelism)
+    spark = rated.sparkSession
+    ensure_checkpoint_dir(spark)
+    blocks = blocks or max(10, spark.sparkContext.defaultParallelism, -(-rated.count() // RATINGS_PER_BLOCK))
     learner = ALS(rank=rank, maxIter=iterations, regParam=reg, alpha=alpha, nonnegative=nonnegative,
                   userCol="user", itemCol="item", ratingCol="rate", numUserBlocks=blocks,
-                  numItemBlocks=blocks, coldStartStrategy="drop", checkpointInterval=10, seed=SEED)
-    return learner.fit(rated)
+                  numItemBlocks=blocks, coldStartStrategy="drop", checkpointInterval=1, seed=SEED)
+    path = f"{shared_dir(spark)}/gridloom/factors-{uuid.uuid4().hex}"
+    learner.fit(rated).save(path)
+    forget(spark)
+    return ALSModel.load(path)
 
 
 @dataclass
@@ -41,15 +48,17 @@ class RatingModel:
 
     def transform(self, rows: DataFrame) -> DataFrame:
         """Every row with its prediction, null for a user or item the model has not seen (or a null)."""
-        numbered = rows
-        for column, dictionary in (("user", self.users), ("item", self.items)):
-            numbered = with_ids(numbered, column, dictionary, f"_{column}", "left")
-        known = [F.coalesce(f"_{c}", F.lit(UNSEEN)).alias(f"_{c}") for c in ("user", "item")]
-        keeping = self.factors.copy({self.factors.coldStartStrategy: "nan", self.factors.userCol: "_user",
-                                     self.factors.itemCol: "_item"})
-        found = keeping.transform(numbered.select(*rows.columns, *known))
-        value = F.col("prediction").cast("double")
-        return found.select(*rows.columns, F.when(~F.isnan("prediction"), value).alias("prediction"))
+        found = rows
+        # the factors come by the keys themselves: two joins of the rows, not two for the numbers and two for the factors
+        for column, dictionary, factors in (("user", self.users, self.factors.userFactors),
+                                            ("item", self.items, self.factors.itemFactors)):
+            of_key = dictionary.join(factors, "id").select("key", F.col("features").alias("id"))
+            found = with_ids(found, column, of_key, f"_{column}", "left")
+        # in 32 bits and in the order of the factors, as the library does it
+        value = F.lit(0.0).cast("float")
+        for i in range(self.factors.rank):
+            value = value + F.col("_user")[i] * F.col("_item")[i]
+        return found.select(*rows.columns, F.when(~F.isnan(value), value.cast("double")).alias("prediction"))
 
     def save(self, path: str) -> None:
         self.factors.save(f"{path}/factors")
@@ -64,11 +73,14 @@ class RatingModel:
 
 
 def train_ratings(rated: DataFrame, **options) -> RatingModel:
-    """A model of ``user, item, rate`` with keys of any type; rows with a null key train nothing."""
+    """A model of ``user, item, rate`` with keys of any type; rows with a null key train nothing.
+
+    The numbered ratings are stored, so the joins behind them are done once.
+    """
     users, items = dense_keys(rated, "user"), dense_keys(rated, "item")
     numbered = with_ids(with_ids(rated, "user", users, "_user"), "item", items, "_item")
     rows = numbered.select(F.col("_user").alias("user"), F.col("_item").alias("item"), "rate")
-    return RatingModel(train_als(rows, **options), users, items)
+    return RatingModel(train_als(stored(rows, "numbered"), **options), users, items)
 
 
 def split_ratings(rated: DataFrame, ratio: float) -> tuple[DataFrame, DataFrame | None]:

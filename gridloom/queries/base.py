@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.session import shared_dir
+from gridloom.session import shared_dir, stored
 from gridloom.sources.sql import register_tables, run_sql, spread_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,9 +39,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def kept(rows: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared folder and read back, for rows with a join behind them that are read many times."""
-    path = scratch(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return stored(rows, name)
 
 
 def spread(vector: str, names: list[str]) -> list[Column]:

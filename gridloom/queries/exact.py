@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import partial
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -257,19 +256,16 @@ FROM (SELECT u, i, {_RATING_HASH} AS h, min({_RATING_HASH}) OVER (PARTITION BY u
       FROM ({PLANTED_RATES}) AS p) AS q""", uses="orders lineitem")
 def m12_held_out(spark):
     """A fifth of the ratings held out, none of them a user's last: their error is below that of the mean rate."""
-    # the ratings are read many times: the join behind them is done once
-    rated = rows.keyed_ratings(sql(spark, PLANTED_RATES)).persist(StorageLevel.DISK_ONLY)
-    try:
-        train, test = recommend.split_ratings(rated, 0.8)
-        found = score(recommend.train_ratings(train), test).where(F.col("prediction").isNotNull())
-        mean = train.agg(F.avg("rate")).first()[0]
-        plain = found.withColumn("prediction", F.lit(mean))
-        error, other = (metrics.root_mean_squared_error(f, "rate").first()[0] for f in (found, plain))
-        users = train.select("user").distinct().count()
-        return spark.createDataFrame([(train.count(), test.count(), users, error < other)],
-                                     "trained bigint, held_out bigint, users bigint, better boolean")
-    finally:
-        rated.unpersist()
+    # each of these is read many times: the joins behind them are done once
+    rated = kept(rows.keyed_ratings(sql(spark, PLANTED_RATES)), "rated")
+    train, test = (kept(side, name) for side, name in zip(recommend.split_ratings(rated, 0.8), ("train", "test")))
+    found = kept(score(recommend.train_ratings(train), test).where(F.col("prediction").isNotNull()), "found")
+    mean = train.agg(F.avg("rate")).first()[0]
+    plain = found.withColumn("prediction", F.lit(mean))
+    error, other = (metrics.root_mean_squared_error(f, "rate").first()[0] for f in (found, plain))
+    users = train.select("user").distinct().count()
+    return spark.createDataFrame([(train.count(), test.count(), users, error < other)],
+                                 "trained bigint, held_out bigint, users bigint, better boolean")
 
 
 # --- saved models scored by their nodes (B1) -------------------------------------------------

@@ -359,7 +359,7 @@ SELECT CAST(u AS INT) AS "user", CAST(i AS INT) AS item,
 FROM ({RATINGS}) AS p""", uses="orders lineitem")
 def b4_cold_start(spark):
     """A model of the finished orders scores all pairs: a row for each, null where user or item is new."""
-    model = recommend.train_als(rows.ratings(sql(spark, SEEN_RATINGS)), rank=4, iterations=3, reg=0.1)
+    model = recommend.train_als(kept(rows.ratings(sql(spark, SEEN_RATINGS)), "rated"), rank=4, iterations=3, reg=0.1)
     found = score(model, rows.user_items(rows.ratings(sql(spark, RATINGS))))
     return found.select("user", "item", F.col("prediction").isNotNull().alias("scored"))
 

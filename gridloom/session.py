@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -46,6 +48,33 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_alone(rows: DataFrame, path: str) -> None:
+    """Write the rows as Parquet; what was shuffled for them is deleted with the write, not when garbage is collected."""
+    conf = rows.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written to a new folder of the shared folder and read back."""
+    path = f"{shared_dir(rows.sparkSession)}/gridloom/{name}-{uuid.uuid4().hex}"
+    write_alone(rows, path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def forget(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and stored blocks of what is no longer held."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point the context at the shared folder so that ``checkpoint()`` works."""
     folder = shared_dir(spark)

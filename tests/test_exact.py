@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -9,11 +10,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from gridloom.operators import cluster, isotonic, linear, metrics, pairs, recommend, reduce, rows, terms, topics, trees
-from gridloom.operators.keys import dense_keys
+from gridloom.operators.keys import dense_keys, with_ids
 from gridloom.operators.scoring import score
 from gridloom.operators.split import split_by_key
 from gridloom.operators.tree_nodes import node_table, score_by_nodes
 from gridloom.plans import jobs
+from gridloom.session import forget
 from gridloom.sources.models import load_model
 
 
@@ -188,6 +190,47 @@ def test_ratings_of_any_key_survive_saving(spark, tmp_path):
     assert all(abs(r["prediction"] - r["rate"]) < 0.2 for r in found if r["rate"])
 
 
+def test_predictions_are_those_of_the_library(spark):
+    frame = spark.createDataFrame([r[:3] for r in RATED], "user string, item long, rate double")
+    model = recommend.train_ratings(frame, rank=3, iterations=4)
+    asked = frame.unionByName(spark.createDataFrame([("new", 5_000_000_000, 0.0)], frame.schema))
+    found = model.transform(asked)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2  # was 4: ids, then factors
+    numbered = with_ids(with_ids(frame, "user", model.users, "_user"), "item", model.items, "_item")
+    theirs = numbered.select(F.col("_user").alias("user"), F.col("_item").alias("item"), F.col("user").alias("u"), F.col("item").alias("i"))
+    want = {(r["u"], r["i"]): r["prediction"] for r in model.factors.transform(theirs).collect()}
+    got = {(r["user"], r["item"]): r["prediction"] for r in found.collect()}
+    assert got.pop(("new", 5_000_000_000)) is None and got == want and len(want) == len(RATED)
+
+
+def test_factors_that_were_sent_are_deleted(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    frame = spark.createDataFrame([(u, i, float(u % 3 + i % 2)) for u in range(40) for i in range(30)], "user int, item int, rate double")
+
+    def files():
+        return sum("shuffle" in str(f) for f in manager.getAllFiles().mkString(" ").split(" "))
+    forget(spark)
+    time.sleep(1)
+    before = files()
+    model = recommend.train_als(frame, rank=2, iterations=9)
+    for _ in range(20):
+        if files() - before < 20:
+            break
+        time.sleep(0.5)
+    assert files() - before < 20 and model.userFactors.count() == 40  # was hundreds while the model is held
+
+
+def test_blocks_of_ratings_are_bounded(spark, monkeypatch):
+    made = []
+    real = recommend.ALS
+    monkeypatch.setattr(recommend, "ALS", lambda **options: made.append(options) or real(**options))
+    monkeypatch.setattr(recommend, "RATINGS_PER_BLOCK", 100)
+    frame = spark.createDataFrame([(u, i, 1.0) for u in range(40) for i in range(30)], "user int, item int, rate double")
+    recommend.train_als(frame, rank=2, iterations=1)
+    recommend.train_als(frame.limit(90), rank=2, iterations=1)
+    assert [o["numUserBlocks"] for o in made] == [12, 10] == [o["numItemBlocks"] for o in made]
+
+
 def test_split_of_ratings_keeps_one_of_every_user(spark):
     frame = spark.createDataFrame([r[:3] for r in RATED] + [("single", 1, 1.0), (None, 2, 1.0)],
                                   "user string, item long, rate double")
